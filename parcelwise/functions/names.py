@@ -34,3 +34,23 @@ def present(df: DataFrame, names: Iterable[str]) -> list[str]:
 def aggregate_row(df: DataFrame, aggregates: list[Column]) -> tuple:
     """Run one global aggregation and return its single row of statistics."""
     return tuple(df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggregates)]).head()) if aggregates else ()
+
+
+def long_numbers(df: DataFrame, names: list[str]) -> DataFrame:
+    """``column, x``: the present numbers of several columns stacked, as doubles.
+
+    Grouping this by ``column`` keeps the generated aggregation code small
+    however wide the table is, and spreads the columns over the reducers;
+    rows are combined map-side, so the shuffle carries one buffer per column
+    and task.
+    """
+    stacked = df.select(*[c(n).cast("double").alias(n) for n in names]).unpivot([], [c(n) for n in names], "column", "x")
+    return stacked.where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def per_column(df: DataFrame, names: list[str], **aggregates: Column) -> dict[str, dict]:
+    """Aggregates of ``x`` for each column, collected: one small row per column. Columns without values are left out."""
+    if not names:
+        return {}
+    rows = long_numbers(df, names).groupBy("column").agg(*[a.alias(k) for k, a in aggregates.items()]).collect()
+    return {r["column"]: r.asDict() for r in rows}

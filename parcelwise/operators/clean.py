@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fixed_values as fixed
-from ..functions.names import aggregate_row, c, numeric_columns, present, text_columns
+from ..functions.names import aggregate_row, c, long_numbers, numeric_columns, per_column, present, text_columns
+from ..functions.stats import mode_smallest
 from .order_stats import column_quantiles
 from .profile import missing_counts, modes
 
@@ -78,17 +79,14 @@ def fit_fill(
         counts = {n: n_rows - n_missing[n] for n in numbers}
         values |= {n: q[0] for n, q in column_quantiles(df, {n: [0.5] for n in numbers}, counts, relative_error=relative_error).items()}
     elif numeric == "mean":
-        xs = [c(n).cast("double") for n in numbers]
-        values |= dict(zip(numbers, aggregate_row(df, [F.avg(F.when(~F.isnan(x), x)) for x in xs])))
+        values |= {n: r["mean"] for n, r in per_column(df, numbers, mean=F.avg("x")).items()}
     elif numeric == "constant":
         values |= {n: constants[0] for n in numbers}
     elif numeric == "most_frequent":
-        # counts are keyed by text; the smallest number wins a tie, so compare as numbers
-        as_number = F.min(F.struct((-F.col("n")).alias("n"), F.col("x").alias("v")))["v"]
         if numbers:
-            long = df.select(*[c(n).cast("double").alias(n) for n in numbers]).unpivot([], [c(n) for n in numbers], "column", "x")
-            counted = long.where(F.col("x").isNotNull() & ~F.isnan("x")).groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
-            values |= {r[0]: r[1] for r in counted.groupBy("column").agg(as_number).collect()}
+            counted = long_numbers(df, numbers).groupBy("column", "x").agg(F.count(F.lit(1)).alias("n"))
+            top = counted.groupBy("column").agg(mode_smallest(F.col("x"), F.col("n")).alias("mode"))
+            values |= {r["column"]: r["mode"] for r in top.collect()}
     else:
         raise ValueError(f"unknown numeric strategy {numeric!r}")
     if text == "most_frequent":

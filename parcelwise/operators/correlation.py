@@ -4,58 +4,99 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import c, numeric_columns
+from ..functions.names import c, numeric_columns, per_column
 from ..functions.stats import pairwise_correlation
 
-BLOCK = 24  # columns per side of one aggregation; bounds the expressions per job
+EXPRESSION_PAIRS = 15  # pairs written as plain aggregates; more go through one moment matrix
+PAIR_SCHEMA = "x string, y string, corr double"
 
 
-def _pairs_long(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+def _pair_rows(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     rows = F.array(*[
         F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), pairwise_correlation(c(a), c(b)).alias("corr")) for a, b in pairs
     ])
     return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
-def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``x, y, corr`` for each unordered pair of distinct columns.
+def _second_moments(vectors: DataFrame) -> np.ndarray:
+    """E[v vT] of the vector column ``v``, from its means, variances and correlations."""
+    s = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).select("s.*").head()
+    n, mean, spread = s["count"], s["mean"].toArray(), np.sqrt(s["variance"].toArray())
+    corr = np.nan_to_num(Correlation.corr(vectors, "v").head()[0].toArray())  # NaN beside a constant slot
+    np.fill_diagonal(corr, 1.0)
+    return corr * np.outer(spread, spread) * (n - 1) / n + np.outer(mean, mean)
+
 
-    Up to one block of columns takes one aggregation; wider tables are cut in
-    column blocks, each aggregation reading only the two blocks it needs.
+def correlation_array(df: DataFrame, names: list[str]) -> np.ndarray:
+    """Correlations of every pair over the rows where both are present; NaN where one is constant there.
+
+    Values are centred and scaled first. Beside each value ``z`` the vector
+    holds its square ``q`` and, for columns with gaps, a presence mask ``m``
+    (one shared constant slot for the others), so its second moments contain
+    every pairwise count, sum, square sum and product sum. A fixed number of
+    passes does for any number of columns, and only moments reach the driver.
     """
-    names = columns or numeric_columns(df)
-    blocks = [names[i:i + BLOCK] for i in range(0, len(names), BLOCK)]
-    if len(names) <= 2 * BLOCK:
-        jobs = [list(combinations(names, 2))]
-    else:
-        jobs = [list(combinations(b, 2)) for b in blocks]
-        jobs += [[(a, b) for a in left for b in right] for left, right in combinations(blocks, 2)]
-    out = None
-    for pairs in jobs:
-        if pairs:
-            part = _pairs_long(df, pairs)
-            out = part if out is None else out.unionByName(part)
-    return out
+    base = per_column(df, names, n=F.count("x"), mean=F.avg("x"), spread=F.stddev_pop("x"))
+    total = df.count()
+    values, squares, masks, mask_name = [], [], [], {}
+    for i, name in enumerate(names):
+        s = base.get(name) or {"n": 0, "mean": 0.0, "spread": 1.0}
+        x = c(name).cast("double")
+        x = F.when(~F.isnan(x), x)
+        z = F.coalesce((x - F.lit(s["mean"])) / F.lit(s["spread"] or 1.0), F.lit(0.0))
+        values.append(z.alias(f"z{i}"))
+        squares.append((z * z).alias(f"q{i}"))
+        mask_name[i] = f"m{i}" if s["n"] < total else "one"
+        if s["n"] < total:
+            masks.append(x.isNotNull().cast("double").alias(f"m{i}"))
+    flat = df.select(*values, *squares, *masks, F.lit(1.0).alias("one"))
+    vectors = VectorAssembler(inputCols=flat.columns, outputCol="v").transform(flat).select("v")
+    moments = _second_moments(vectors)
+    at = {n: i for i, n in enumerate(flat.columns)}
+    p = len(names)
+    mask = [at[mask_name[i]] for i in range(p)]
+    n = moments[np.ix_(mask, mask)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = moments[:p][:, mask] / n                         # mean of i where j is present
+        var = moments[p:2 * p][:, mask] / n - mean ** 2
+        cov = moments[:p, :p] / n - mean * mean.T
+        corr = cov / np.sqrt(var * var.T)
+    corr[(var < 1e-12) | (var.T < 1e-12)] = np.nan
+    return np.clip(corr, -1.0, 1.0)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``x, y, corr`` for every ordered pair, the diagonal included (NULL for a constant column)."""
     names = columns or numeric_columns(df)
-    both = correlation_pairs(df, names).select(F.inline(F.array(
-        F.struct("x", "y", "corr"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), "corr"))))
-    diagonal = df.agg(F.array(*[
-        F.struct(F.lit(n).alias("x"), F.lit(n).alias("y"),
-                 F.when(F.stddev_pop(c(n).cast("double")) > 0, 1.0).alias("corr")) for n in names
-    ]).alias("rows")).select(F.inline("rows"))
-    return both.unionByName(diagonal)
+    found = correlation_array(df, names)
+    rows = [
+        (a, b, None if np.isnan(found[i, j]) else 1.0 if i == j else float(found[i, j]))
+        for i, a in enumerate(names) for j, b in enumerate(names)
+    ]
+    return df.sparkSession.createDataFrame(rows, PAIR_SCHEMA)
+
+
+def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``x, y, corr`` for each unordered pair of distinct columns."""
+    names = columns or numeric_columns(df)
+    pairs = list(combinations(names, 2))
+    if len(pairs) <= EXPRESSION_PAIRS:
+        return _pair_rows(df, pairs)
+    order = F.array(*[F.lit(n) for n in names])
+    return correlation_matrix(df, names).where(F.array_position(order, F.col("x")) < F.array_position(order, F.col("y")))
 
 
 def target_correlations(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
-    """``column, corr`` with the target for every other numeric column."""
+    """``column, corr`` with the target for every other numeric column, stacked into one small aggregation."""
     names = columns or numeric_columns(df, exclude=[target])
-    return _pairs_long(df, [(n, target) for n in names]).select(F.col("x").alias("column"), "corr")
+    wide = df.select(c(target).cast("double").alias("__target"), *[c(n).cast("double").alias(n) for n in names])
+    stacked = wide.unpivot(["__target"], [c(n) for n in names], "column", "x")
+    return stacked.groupBy("column").agg(pairwise_correlation(F.col("x"), F.col("__target")).alias("corr"))
 
 
 def top_correlations(df: DataFrame, target: str, k: int = 10, columns: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.names import aggregate_row, c, numeric_columns, present, text_columns
+from ..functions.names import c, numeric_columns, per_column, present, text_columns
 from ..functions.scalar import log1p_clipped
 from ..functions.stats import corrected_skewness
 from .profile import category_counts, label_shares
@@ -21,8 +21,8 @@ WIDE_LABELS = 2_000      # indicator columns one table may get
 def skewed_columns(df: DataFrame, threshold: float = fixed.SKEW_THRESHOLD, exclude: list[str] | None = None) -> list[str]:
     """Numeric columns with absolute corrected skewness above the threshold, in name order."""
     names = sorted(numeric_columns(df, exclude or []))
-    skew = aggregate_row(df, [corrected_skewness(c(n)) for n in names])
-    return [n for n, s in zip(names, skew) if s is not None and abs(s) > threshold]
+    skew = {n: r["g1"] for n, r in per_column(df, names, g1=corrected_skewness(F.col("x"))).items()}
+    return [n for n in names if skew.get(n) is not None and abs(skew[n]) > threshold]
 
 
 def log_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -142,10 +142,8 @@ class Scale:
 
 def fit_scale(df: DataFrame, columns: list[str] | None = None) -> Scale:
     names = columns or numeric_columns(df)
-    xs = [c(n).cast("double") for n in names]
-    row = aggregate_row(df, [a for x in xs for a in (F.avg(x), F.stddev_pop(x))])
-    mean = {n: row[2 * i] for i, n in enumerate(names) if row[2 * i] is not None}
-    return Scale(mean, {n: row[2 * names.index(n) + 1] or 1.0 for n in mean})
+    found = per_column(df, names, mean=F.avg("x"), deviation=F.stddev_pop("x"))
+    return Scale({n: r["mean"] for n, r in found.items()}, {n: r["deviation"] or 1.0 for n, r in found.items()})
 
 
 def apply_scale(df: DataFrame, fitted: Scale) -> DataFrame:

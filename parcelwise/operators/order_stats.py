@@ -16,11 +16,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.names import c
+from ..functions.names import c, long_numbers, per_column
 from ..session import reliable
 
 DIRECT_LIMIT = 250_000        # values per group that one task may hold
-DIRECT_BUDGET = 4_000_000     # values per pass, over all columns taken together
 RESIDUAL_LIMIT = 50_000       # values per bracket that are sorted at the end
 SKETCH_POINTS = 500
 BROADCAST_STATE_ROWS = 10_000
@@ -168,19 +167,6 @@ def _interpolated(i: int, p: float) -> Column:
     return low + (high - low) * (at - F.floor(at))
 
 
-def _batches(names: list[str], counts: dict[str, int]) -> list[list[str]]:
-    """Consecutive columns whose values together fit one pass."""
-    out: list[list[str]] = []
-    used = 0
-    for n in names:
-        if not out or used + counts[n] > DIRECT_BUDGET:
-            out.append([])
-            used = 0
-        out[-1].append(n)
-        used += counts[n]
-    return out
-
-
 def column_quantiles(
     df: DataFrame,
     wanted: dict[str, list[float]],
@@ -196,30 +182,27 @@ def column_quantiles(
     names = [n for n, ps in wanted.items() if ps]
     if not names:
         return {}
-    values = {n: c(n).cast("double") for n in names}
-    values = {n: F.when(~F.isnan(v), v) for n, v in values.items()}
+    probabilities = sorted({p for n in names for p in wanted[n]})
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    x = F.col("x")
+    rows: dict[str, list] = {}
     if relative_error is not None:
-        accuracy = max(1, round(1 / relative_error))
-        row = df.agg(*[F.percentile_approx(values[n], wanted[n], accuracy).alias(f"q{i}") for i, n in enumerate(names)]).head()
-        return {n: list(row[i]) if row[i] is not None else [None] * len(wanted[n]) for i, n in enumerate(names)}
-    if counts is None or any(n not in counts for n in names):
-        row = df.agg(*[F.count(c(n)).alias(f"n{i}") for i, n in enumerate(names)]).head()
-        counts = dict(zip(names, row))
-    small = [n for n in names if counts[n] <= direct_limit]
-    large = [n for n in names if counts[n] > direct_limit]
+        sketch = F.percentile_approx(x, [float(p) for p in probabilities], max(1, round(1 / relative_error)))
+        rows = {n: r["q"] for n, r in per_column(df, names, q=sketch).items()}
+    else:
+        if counts is None or any(n not in counts for n in names):
+            counts = {n: r["n"] for n, r in per_column(df, names, n=F.count(x)).items()}
+        small = [n for n in names if counts.get(n, 0) <= direct_limit]
+        large = [n for n in names if counts.get(n, 0) > direct_limit]
+        rows = {n: r["q"] for n, r in per_column(df, small, q=F.percentile(x, points)).items()}
+        if large:
+            picked = kth_values(long_numbers(df, large), F.col("column"), x, _targets(probabilities))
+            quantiles = F.array(*[_interpolated(i, p) for i, p in enumerate(probabilities)])
+            rows |= {r[0]: r[1] for r in picked.select(_GROUP, quantiles).collect()}
     found: dict[str, list[float | None]] = {}
-    for batch in _batches(small, counts):
-        row = df.agg(*[F.percentile(values[n], F.array(*[F.lit(float(p)) for p in wanted[n]])).alias(f"q{i}") for i, n in enumerate(batch)]).head()
-        found |= {n: list(row[i]) if row[i] is not None else [None] * len(wanted[n]) for i, n in enumerate(batch)}
-    if large:
-        probabilities = sorted({p for n in large for p in wanted[n]})
-        long = df.select(*[values[n].alias(f"v{i}") for i, n in enumerate(large)]).unpivot(
-            [], [f"v{i}" for i in range(len(large))], "name", "x")
-        picked = kth_values(long, F.col("name"), F.col("x"), _targets(probabilities))
-        for row in picked.select(_GROUP, *[_interpolated(i, p).alias(f"q{i}") for i, p in enumerate(probabilities)]).collect():
-            name = large[int(row[0][1:])]
-            by_p = dict(zip(probabilities, row[1:]))
-            found[name] = [by_p[p] for p in wanted[name]]
+    for n in names:
+        by_p = dict(zip(probabilities, rows.get(n) or [None] * len(probabilities)))
+        found[n] = [by_p[p] for p in wanted[n]]
     return found
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.hashing import row_hash
-from ..functions.names import aggregate_row, c, numeric_columns, text_columns
+from ..functions.names import aggregate_row, c, long_numbers, numeric_columns, per_column, text_columns
 from ..functions.stats import corrected_skewness, mode_smallest
 from .order_stats import column_quantiles
 
@@ -60,17 +60,12 @@ def schema_report(df: DataFrame) -> DataFrame:
 
 def value_ranges(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``column, min, max`` of the numeric columns, as doubles."""
-    names = columns or numeric_columns(df)
-    return long_row(df, names, {
-        "min": [F.min(c(n)).cast("double") for n in names],
-        "max": [F.max(c(n)).cast("double") for n in names],
-    })
+    return long_numbers(df, columns or numeric_columns(df)).groupBy("column").agg(F.min("x").alias("min"), F.max("x").alias("max"))
 
 
 def skew_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """``column, skewness`` (bias-corrected) of the numeric columns."""
-    names = columns or numeric_columns(df)
-    return long_row(df, names, {"skewness": [corrected_skewness(c(n)) for n in names]})
+    """``column, skewness`` (bias-corrected) of the numeric columns that have values."""
+    return long_numbers(df, columns or numeric_columns(df)).groupBy("column").agg(corrected_skewness(F.col("x")).alias("skewness"))
 
 
 def category_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -107,6 +102,12 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     return {n: found.get(n) for n in columns}
 
 
+DESCRIBE_SCHEMA = (
+    "column string, count long, unique long, top string, freq long, mean double, std double, min double, "
+    "p25 double, p50 double, p75 double, max double"
+)
+
+
 def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Summary of every numeric and text column.
 
@@ -119,20 +120,14 @@ def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     spark = df.sparkSession
     parts = []
     if numbers:
-        counts = dict(zip(numbers, aggregate_row(df, [F.count(c(n)) for n in numbers])))
-        quartiles = column_quantiles(df, {n: [0.25, 0.5, 0.75] for n in numbers}, counts)
-        fixed = {q: [F.lit(quartiles[n][i]).cast("double") for n in numbers] for i, q in enumerate(("p25", "p50", "p75"))}
-        parts.append(long_row(df, numbers, {
-            "count": [F.count(c(n)) for n in numbers],
-            "unique": [F.lit(None).cast("long") for _ in numbers],
-            "top": [F.lit(None).cast("string") for _ in numbers],
-            "freq": [F.lit(None).cast("long") for _ in numbers],
-            "mean": [F.avg(c(n).cast("double")) for n in numbers],
-            "std": [F.stddev_samp(c(n).cast("double")) for n in numbers],
-            "min": [F.min(c(n)).cast("double") for n in numbers],
-            **fixed,
-            "max": [F.max(c(n)).cast("double") for n in numbers],
-        }))
+        x = F.col("x")
+        basic = per_column(df, numbers, count=F.count(x), mean=F.avg(x), std=F.stddev_samp(x), min=F.min(x), max=F.max(x))
+        quartiles = column_quantiles(df, {n: [0.25, 0.5, 0.75] for n in numbers}, {n: r["count"] for n, r in basic.items()})
+        rows = []
+        for n in numbers:
+            r = basic.get(n) or dict.fromkeys(("mean", "std", "min", "max")) | {"count": 0}
+            rows.append((n, r["count"], None, None, None, r["mean"], r["std"], r["min"], *quartiles[n], r["max"]))
+        parts.append(spark.createDataFrame(rows, DESCRIBE_SCHEMA))
     if labels:
         none = F.lit(None).cast("double")
         seen = category_counts(df, labels).groupBy("column").agg(

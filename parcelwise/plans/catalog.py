@@ -11,7 +11,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.names import c, numeric_columns
+from ..functions.names import c
 from ..operators import clean, contracts, correlation, encode, histogram, housing, metrics, models, order_stats, profile, split, tuning
 from ..session import scratch_dir
 from ..sources import tabular
@@ -337,7 +337,7 @@ def log_skewed(spark, d):
 
 @query
 def log_target(spark, d):
-    return homes(spark, d).select("pid", rounded(F.log1p("sale_price")).alias("log_price"), rounded(F.expm1(F.log1p("sale_price")), 2).alias("price"))
+    return homes(spark, d).select("pid", rounded(F.log1p("sale_price")).alias("log_price"), rounded(F.expm1(F.log1p("sale_price")), 4).alias("price"))
 
 
 @query

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
 HOMES_SQL = """
 SELECT o_orderkey AS pid,
  CASE WHEN o_orderkey % 500 = 9 THEN 600000.0E0 + o_orderkey % 1000
