@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .. import fixed_values as fixed
 from ..functions.names import aggregate_row, c, long_numbers, numeric_columns, per_column, present, text_columns
 from ..functions.stats import mode_smallest
-from .order_stats import column_quantiles
+from .encode import Scale
+from .order_stats import DIRECT_LIMIT, column_quantiles
 from .profile import missing_counts, modes
 
 
@@ -68,15 +70,17 @@ def fit_fill(
     names = present(df, columns) if columns is not None else df.columns
     numbers = [n for n in numeric_columns(df) if n in set(names)]
     labels = [n for n in text_columns(df) if n in set(names)]
-    if gaps is None:
+    counts = None
+    if only_missing and gaps is None:
         gaps = missing_counts(df, numbers + labels) if numbers + labels else (0, {})
-    n_rows, n_missing = gaps
+    if gaps is not None:
+        n_rows, n_missing = gaps
+        counts = {n: n_rows - n_missing[n] for n in numbers}
     if only_missing:
         numbers = [n for n in numbers if n_missing[n]]
         labels = [n for n in labels if n_missing[n]]
     values: dict = {}
     if numeric == "median":
-        counts = {n: n_rows - n_missing[n] for n in numbers}
         values |= {n: q[0] for n, q in column_quantiles(df, {n: [0.5] for n in numbers}, counts, relative_error=relative_error).items()}
     elif numeric == "mean":
         values |= {n: r["mean"] for n, r in per_column(df, numbers, mean=F.avg("x")).items()}
@@ -98,18 +102,44 @@ def fit_fill(
     return Fill({k: v for k, v in values.items() if v is not None})
 
 
+def fit_fill_and_scale(df: DataFrame, names: list[str], numeric: str = "median") -> tuple[dict, Scale]:
+    """Fills of number columns together with the scale of the filled columns.
+
+    Count, mean and variance of the present values come with the medians in
+    one pass; the filled column's mean and deviation follow from them.
+    """
+    n_rows = df.count()
+    x = F.col("x")
+    moments = {"n": F.count(x), "mean": F.avg(x), "var": F.var_pop(x)}
+    fuse = numeric == "median" and n_rows <= DIRECT_LIMIT
+    found = per_column(df, names, **moments, **({"median": F.percentile(x, F.lit(0.5))} if fuse else {}))
+    if numeric == "median" and not fuse:
+        medians = column_quantiles(df, {n: [0.5] for n in found}, {n: r["n"] for n, r in found.items()})
+        found = {n: r | {"median": medians[n][0]} for n, r in found.items()}
+    fill, mean, deviation = {}, {}, {}
+    for n in [n for n in names if n in found]:
+        r = found[n]
+        fill[n] = r["median"] if numeric == "median" else r["mean"]
+        gaps = n_rows - r["n"]
+        mean[n] = (r["n"] * r["mean"] + gaps * fill[n]) / n_rows
+        var = (r["n"] * (r["var"] + (r["mean"] - mean[n]) ** 2) + gaps * (fill[n] - mean[n]) ** 2) / n_rows
+        deviation[n] = math.sqrt(var) or 1.0
+    return fill, Scale(mean, deviation)
+
+
 def apply_fill(df: DataFrame, fill: Fill) -> DataFrame:
     """Replace missing values; a filled number column becomes double."""
-    out = []
+    changed = {}
     for f in df.schema:
-        x = c(f.name)
-        if f.name in fill.values and isinstance(f.dataType, T.NumericType):
+        if f.name not in fill.values:
+            continue
+        x, value = c(f.name), fill.values[f.name]
+        if isinstance(f.dataType, T.NumericType):
             x = x.cast("double")
-            x = F.coalesce(F.when(~F.isnan(x), x), F.lit(float(fill.values[f.name])))
-        elif f.name in fill.values:
-            x = F.coalesce(x, F.lit(fill.values[f.name]))
-        out.append(x.alias(f.name))
-    return df.select(*out)
+            changed[f.name] = F.coalesce(F.when(~F.isnan(x), x), F.lit(float(value)))
+        else:
+            changed[f.name] = F.coalesce(x, F.lit(value))
+    return df.withColumns(changed) if changed else df
 
 
 # --- outliers --------------------------------------------------------------

@@ -14,6 +14,7 @@ from .profile import category_counts, label_shares
 
 LITERAL_LABELS = 1_000   # labels held in an expression; more are joined
 WIDE_LABELS = 2_000      # indicator columns one table may get
+VECTOR_LABELS = 100_000  # labels one sparse encoder may hold
 
 
 # --- skew ------------------------------------------------------------------
@@ -27,8 +28,8 @@ def skewed_columns(df: DataFrame, threshold: float = fixed.SKEW_THRESHOLD, exclu
 
 def log_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """``log1p(max(x, 0))`` on the columns that are present."""
-    hit = set(columns)
-    return df.select(*[log1p_clipped(c(n)).alias(n) if n in hit else c(n) for n in df.columns])
+    hit = present(df, columns)
+    return df.withColumns({n: log1p_clipped(c(n)) for n in hit}) if hit else df
 
 
 # --- rare labels -----------------------------------------------------------
@@ -64,14 +65,11 @@ def fit_frequent_labels(
 
 def apply_frequent_labels(df: DataFrame, fitted: FrequentLabels) -> DataFrame:
     """Anything not kept becomes the other label: rare, unseen and missing values alike."""
-    out = []
-    for n in df.columns:
-        if n in fitted.labels:
-            keep = c(n).isin(fitted.labels[n]) if fitted.labels[n] else F.lit(False)
-            out.append(F.when(keep, c(n)).otherwise(F.lit(fitted.other)).alias(n))
-        else:
-            out.append(c(n))
-    return df.select(*out)
+    changed = {}
+    for n in present(df, fitted.labels):
+        keep = c(n).isin(fitted.labels[n]) if fitted.labels[n] else F.lit(False)
+        changed[n] = F.when(keep, c(n)).otherwise(F.lit(fitted.other))
+    return df.withColumns(changed) if changed else df
 
 
 def collapse_rare_labels(df: DataFrame, threshold: float, column: str, other: str = fixed.RARE_LABEL) -> DataFrame:
@@ -87,6 +85,17 @@ def collapse_rare_labels(df: DataFrame, threshold: float, column: str, other: st
 
 # --- one-hot ---------------------------------------------------------------
 
+def counted_labels(df: DataFrame, columns: list[str], limit: int = VECTOR_LABELS) -> dict[str, dict[str, int]]:
+    """Counts per label and column; refuses more labels than a vector encoder should hold."""
+    rows = category_counts(df, columns).limit(limit + 1).collect() if columns else []
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} labels: collapse rare labels first")
+    out: dict[str, dict[str, int]] = {}
+    for r in rows:
+        out.setdefault(r["column"], {})[r["value"]] = r["n"]
+    return out
+
+
 @dataclass(frozen=True)
 class Indicators:
     """Sorted labels per column, one 0/1 column each."""
@@ -147,8 +156,5 @@ def fit_scale(df: DataFrame, columns: list[str] | None = None) -> Scale:
 
 
 def apply_scale(df: DataFrame, fitted: Scale) -> DataFrame:
-    hit = set(present(df, fitted.mean))
-    return df.select(*[
-        ((c(n).cast("double") - F.lit(fitted.mean[n])) / F.lit(fitted.deviation[n])).alias(n) if n in hit else c(n)
-        for n in df.columns
-    ])
+    hit = present(df, fitted.mean)
+    return df.withColumns({n: (c(n).cast("double") - F.lit(fitted.mean[n])) / F.lit(fitted.deviation[n]) for n in hit}) if hit else df

@@ -191,7 +191,9 @@ def column_quantiles(
         rows = {n: r["q"] for n, r in per_column(df, names, q=sketch).items()}
     else:
         if counts is None or any(n not in counts for n in names):
-            counts = {n: r["n"] for n, r in per_column(df, names, n=F.count(x)).items()}
+            n_rows = df.count()  # bounds every column, and is the cheaper question
+            counts = dict.fromkeys(names, n_rows) if n_rows <= direct_limit else {
+                n: r["n"] for n, r in per_column(df, names, n=F.count(x)).items()}
         small = [n for n in names if counts.get(n, 0) <= direct_limit]
         large = [n for n in names if counts.get(n, 0) > direct_limit]
         rows = {n: r["q"] for n, r in per_column(df, small, q=F.percentile(x, points)).items()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -383,11 +383,13 @@ def feature_matrix(spark, d):
     model = stages.build_features(scale=True, exclude=["PID", "SalePrice"]).fit(df)
     out = model.transform(df)
     names = stages.feature_names(out)
-    slots = out.select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)
-    return slots.groupBy("slot").agg(
-        F.count_if(F.col("x") != 0).alias("non_zero"), rounded(F.avg("x"), 4).alias("mean"), rounded(F.stddev_pop("x"), 4).alias("std"),
-    ).select(label.alias("feature"), "non_zero", "mean", "std")
+    stats = out.select(Summarizer.metrics("count", "mean", "variance", "numNonZeros").summary(F.col("features")).alias("s")).select("s.*").head()
+    shrink = (stats["count"] - 1) / stats["count"]
+    rows = [
+        (n, int(k), round(float(m), 4) + 0.0, round(float((v * shrink) ** 0.5), 4))
+        for n, k, m, v in zip(names, stats["numNonZeros"], stats["mean"], stats["variance"])
+    ]
+    return spark.createDataFrame(rows, "feature string, non_zero long, mean double, std double")
 
 
 @query

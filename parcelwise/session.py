@@ -22,6 +22,29 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
     )
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """Session settings for wide projections.
+
+    HotSpot does not compile methods above 8,000 bytes of bytecode, so a fused
+    stage beyond that runs interpreted; with the limit set Spark falls back to
+    split expressions for such stages. A value the user set is left alone.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key) == "65535":
+        spark.conf.set(key, "8000")
+    return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition a scan that has fewer partitions than there are cores; larger inputs stay as they are.
+
+    For inputs of few files with much work per row. Meant for plain scans, whose
+    partition count is known without running anything.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().executedPlan().execute().getNumPartitions() < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -98,6 +100,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order; the join strategies are left to Spark, by table size."""
     sources = {n: table(spark, sf_dir, n) for n in ("orders", "customer", "nation")}
+    sources["orders"] = spread(sources["orders"])
     text = HOMES_SQL
     for n in sources:
         text = text.replace(f"FROM {n} ", f"FROM {{{n}}} ").replace(f"JOIN {n} ", f"JOIN {{{n}}} ")
