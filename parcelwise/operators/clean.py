@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import fixed_values as fixed
-from ..functions.names import aggregate_row, c, long_numbers, numeric_columns, per_column, present, text_columns
+from ..functions.names import c, long_numbers, number_literal, numeric_columns, per_column, present, quote, replace_columns, text_columns, text_literal
 from ..functions.stats import mode_smallest
 from .encode import Scale
 from .order_stats import DIRECT_LIMIT, column_quantiles
@@ -131,15 +131,14 @@ def apply_fill(df: DataFrame, fill: Fill) -> DataFrame:
     """Replace missing values; a filled number column becomes double."""
     changed = {}
     for f in df.schema:
-        if f.name not in fill.values:
-            continue
-        x, value = c(f.name), fill.values[f.name]
-        if isinstance(f.dataType, T.NumericType):
-            x = x.cast("double")
-            changed[f.name] = F.coalesce(F.when(~F.isnan(x), x), F.lit(float(value)))
-        else:
-            changed[f.name] = F.coalesce(x, F.lit(value))
-    return df.withColumns(changed) if changed else df
+        if f.name in fill.values:
+            q, value = quote(f.name), fill.values[f.name]
+            if isinstance(f.dataType, T.NumericType):
+                x = f"CAST({q} AS double)"
+                changed[f.name] = f"coalesce(nullif({x}, double('NaN')), {number_literal(value)})"
+            else:
+                changed[f.name] = f"coalesce({q}, {text_literal(value)})"
+    return replace_columns(df, changed)
 
 
 # --- outliers --------------------------------------------------------------
@@ -185,7 +184,9 @@ def narrow_types(df: DataFrame) -> DataFrame:
     """
     wide = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.LongType))]
     kinds = dict(df.dtypes)
-    ends = aggregate_row(df, [a for n in wide for a in (F.min(c(n)), F.max(c(n)))])
+    if not wide:
+        return df
+    ends = df.selectExpr(*[f"{f}({quote(n)}) AS {f}{i}" for i, n in enumerate(wide) for f in ("min", "max")]).head()
     target = {}
     for i, n in enumerate(wide):
         low, high = ends[2 * i], ends[2 * i + 1]
@@ -195,4 +196,4 @@ def narrow_types(df: DataFrame) -> DataFrame:
             target[n] = "float"
         elif kinds[n] == "bigint" and low > INT_LIMITS[0] and high < INT_LIMITS[1]:
             target[n] = "int"
-    return df.select(*[c(n).cast(target[n]).alias(n) if n in target else c(n) for n in df.columns])
+    return replace_columns(df, {n: f"CAST({quote(n)} AS {t})" for n, t in target.items()})

@@ -8,12 +8,12 @@ missing values, which only the ``not_null`` rule reports.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.names import c
+from ..functions.names import c, long_row, quote, replace_columns, text_literal
+from .profile import missing_test
 
 _FOUND = "__violations"
 _ABSENT = "column exists"
@@ -25,34 +25,35 @@ class ContractError(ValueError):
 
 @dataclass(frozen=True)
 class Check:
-    """A labelled condition on a present value."""
+    """A labelled condition on a present value, as SQL text about ``{x}``."""
 
     label: str
-    holds: Callable[[Column], Column]
+    condition: str
 
 
 def above(low: float) -> Check:
-    return Check(f"> {low}", lambda x: x > low)
+    return Check(f"> {low}", f"{{x}} > {low}")
 
 
 def below(high: float) -> Check:
-    return Check(f"< {high}", lambda x: x < high)
+    return Check(f"< {high}", f"{{x}} < {high}")
 
 
 def at_least(low: float) -> Check:
-    return Check(f">= {low}", lambda x: x >= low)
+    return Check(f">= {low}", f"{{x}} >= {low}")
 
 
 def at_most(high: float) -> Check:
-    return Check(f"<= {high}", lambda x: x <= high)
+    return Check(f"<= {high}", f"{{x}} <= {high}")
 
 
 def between(low: float, high: float) -> Check:
-    return Check(f"in [{low}, {high}]", lambda x: x.between(low, high))
+    return Check(f"in [{low}, {high}]", f"{{x}} BETWEEN {low} AND {high}")
 
 
 def one_of(values: list) -> Check:
-    return Check("one of " + ", ".join(map(str, values)), lambda x: x.isin(values))
+    listed = ", ".join(text_literal(v) if isinstance(v, str) else str(v) for v in values)
+    return Check("one of " + ", ".join(map(str, values)), f"{{x}} IN ({listed})")
 
 
 @dataclass(frozen=True)
@@ -79,52 +80,49 @@ class Contract:
         return [r.column for r in self.rules if r.required and r.column not in have]
 
 
-def _typed(df: DataFrame, rule: ColumnRule) -> Column:
-    raw = c(rule.column)
-    x = raw.try_cast(rule.dtype)
+def _typed(df: DataFrame, rule: ColumnRule) -> str:
+    q, kind = quote(rule.column), df.schema[rule.column].dataType
     if rule.dtype == "double":
-        return F.when(~F.isnan(x), x)
-    if rule.dtype in ("int", "long") and dict(df.dtypes)[rule.column] == "string":
-        whole = raw.try_cast("double")  # "7.0" is a whole number too
-        return F.coalesce(x, F.when(whole == F.floor(whole), whole).try_cast(rule.dtype))
-    return x
+        return f"nullif(try_cast({q} AS double), double('NaN'))"
+    if rule.dtype in ("int", "long") and isinstance(kind, T.StringType):
+        whole = f"try_cast({q} AS double)"  # "7.0" is a whole number too
+        return f"coalesce(try_cast({q} AS {rule.dtype}), try_cast(CASE WHEN {whole} = floor({whole}) THEN {whole} END AS {rule.dtype}))"
+    return f"try_cast({q} AS {rule.dtype})"
 
 
-def _failures(df: DataFrame, contract: Contract) -> list[tuple[str, str, Column, Column]]:
-    """``(column, check label, fails?, offending value as text)`` for every rule on a column that is there."""
+def _failures(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]]:
+    """``(column, check label, SQL condition of failure)`` for every rule on a column that is there."""
     have = set(df.columns)
     out = []
     for rule in contract.rules:
         if rule.column not in have:
             continue
-        raw, x = c(rule.column), _typed(df, rule)
-        text = raw.cast("string")
-        is_nan = F.isnan(raw) if dict(df.dtypes)[rule.column] in ("double", "float") else F.lit(False)
-        missing = raw.isNull() | is_nan
+        x, missing = _typed(df, rule), missing_test(df, rule.column)
         if rule.dtype != "string" and not isinstance(df.schema[rule.column].dataType, T.NumericType):
-            out.append((rule.column, f"is {rule.dtype}", ~missing & x.isNull(), text))
+            out.append((rule.column, f"is {rule.dtype}", f"(NOT {missing} AND {x} IS NULL)"))
         if not rule.nullable:
-            out.append((rule.column, "not null", missing, text))
+            out.append((rule.column, "not null", missing))
         for check in rule.checks:
-            out.append((rule.column, check.label, ~F.coalesce(check.holds(x), F.lit(True)), text))
+            out.append((rule.column, check.label, f"NOT coalesce({check.condition.format(x=x)}, true)"))
     return out
 
 
 def coerce(df: DataFrame, contract: Contract) -> DataFrame:
     """The table with every declared column cast to its type; values that cannot be become NULL."""
-    rules = {r.column: r for r in contract.rules}
-    return df.select(*[_typed(df, rules[n]).alias(n) if n in rules else c(n) for n in df.columns])
+    return replace_columns(df, {r.column: _typed(df, r) for r in contract.rules if r.column in set(df.columns)})
+
+
+def _found(name: str, label: str, value: str) -> str:
+    return f"named_struct('column', {text_literal(name)}, 'check', {text_literal(label)}, 'value', {value})"
 
 
 def annotate(df: DataFrame, contract: Contract, column: str = _FOUND) -> DataFrame:
     """Add an array of ``(column, check, value)`` structs, empty for a valid row."""
-    absent = [F.struct(F.lit(n).alias("column"), F.lit(_ABSENT).alias("check"), F.lit(None).cast("string").alias("value"))
-              for n in contract.missing_columns(df)]
-    found = absent + [
-        F.when(fails, F.struct(F.lit(name).alias("column"), F.lit(label).alias("check"), text.alias("value")))
-        for name, label, fails, text in _failures(df, contract)
+    found = [_found(n, _ABSENT, "CAST(NULL AS string)") for n in contract.missing_columns(df)] + [
+        f"CASE WHEN {fails} THEN {_found(name, label, f'CAST({quote(name)} AS string)')} END"
+        for name, label, fails in _failures(df, contract)
     ]
-    return df.withColumn(column, F.array_compact(F.array(*found)))
+    return df.selectExpr("*", f"array_compact(array({', '.join(found)})) AS {quote(column)}")
 
 
 def violations(df: DataFrame, contract: Contract, keys: list[str]) -> DataFrame:
@@ -143,21 +141,18 @@ def violations(df: DataFrame, contract: Contract, keys: list[str]) -> DataFrame:
 
 def violation_counts(df: DataFrame, contract: Contract) -> DataFrame:
     """``column, check, n`` for every rule, zero included, from one aggregation; a missing column counts once."""
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("column"), F.lit(_ABSENT).alias("check"), F.lit(1).cast("long").alias("n"))
-        for n in contract.missing_columns(df)
-    ], *[
-        F.struct(F.lit(name).alias("column"), F.lit(label).alias("check"), F.count_if(fails).alias("n"))
-        for name, label, fails, _ in _failures(df, contract)
-    ])
-    return df.agg(rows.alias("rows")).select(F.inline("rows"))
+    rules = [(n, _ABSENT, "1L") for n in contract.missing_columns(df)]
+    rules += [(name, label, f"count_if({fails})") for name, label, fails in _failures(df, contract)]
+    return long_row(df, [n for n, _, _ in rules], {"check": [text_literal(x) for _, x, _ in rules], "n": [n for _, _, n in rules]})
 
 
 def split_valid(df: DataFrame, contract: Contract, reasons: str = "reasons") -> tuple[DataFrame, DataFrame]:
     """``(valid rows coerced to their types, quarantined rows as they came with their reasons)``."""
-    marked = annotate(df, contract, reasons)
-    valid = coerce(marked.where(F.size(reasons) == 0).drop(reasons), contract)
-    return valid, marked.where(F.size(reasons) > 0)
+    if contract.missing_columns(df):
+        ok = "false"
+    else:
+        ok = " AND ".join(f"NOT ({fails})" for _, _, fails in _failures(df, contract)) or "true"
+    return coerce(df.where(ok), contract), annotate(df, contract, reasons).where(F.size(reasons) > 0)
 
 
 def enforce(df: DataFrame, contract: Contract) -> DataFrame:

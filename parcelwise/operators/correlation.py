@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import c, numeric_columns, per_column
+from ..functions.names import c, number_literal, numeric_columns, per_column, quote, stacked
 from ..functions.stats import pairwise_correlation
 
 EXPRESSION_PAIRS = 15  # pairs written as plain aggregates; more go through one moment matrix
@@ -46,15 +46,13 @@ def correlation_array(df: DataFrame, names: list[str]) -> np.ndarray:
     values, squares, masks, mask_name = [], [], [], {}
     for i, name in enumerate(names):
         s = base.get(name) or {"n": 0, "mean": 0.0, "spread": 1.0}
-        x = c(name).cast("double")
-        x = F.when(~F.isnan(x), x)
-        z = F.coalesce((x - F.lit(s["mean"])) / F.lit(s["spread"] or 1.0), F.lit(0.0))
-        values.append(z.alias(f"z{i}"))
-        squares.append((z * z).alias(f"q{i}"))
+        x = f"nullif(CAST({quote(name)} AS double), double('NaN'))"
+        values.append(f"coalesce(({x} - {number_literal(s['mean'])}) / {number_literal(s['spread'] or 1.0)}, 0D) AS z{i}")
+        squares.append(f"z{i} * z{i} AS q{i}")
         mask_name[i] = f"m{i}" if s["n"] < total else "one"
         if s["n"] < total:
-            masks.append(x.isNotNull().cast("double").alias(f"m{i}"))
-    flat = df.select(*values, *squares, *masks, F.lit(1.0).alias("one"))
+            masks.append(f"CAST({x} IS NOT NULL AS double) AS m{i}")
+    flat = df.selectExpr(*values, *masks, "1D AS one").selectExpr(*[f"z{i}" for i in range(len(names))], *squares, *[m.split()[-1] for m in masks], "one")
     vectors = VectorAssembler(inputCols=flat.columns, outputCol="v").transform(flat).select("v")
     moments = _second_moments(vectors)
     at = {n: i for i, n in enumerate(flat.columns)}
@@ -94,9 +92,8 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
 def target_correlations(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
     """``column, corr`` with the target for every other numeric column, stacked into one small aggregation."""
     names = columns or numeric_columns(df, exclude=[target])
-    wide = df.select(c(target).cast("double").alias("__target"), *[c(n).cast("double").alias(n) for n in names])
-    stacked = wide.unpivot(["__target"], [c(n) for n in names], "column", "x")
-    return stacked.groupBy("column").agg(pairwise_correlation(F.col("x"), F.col("__target")).alias("corr"))
+    pairs = stacked(df, names, "double", (f"CAST({quote(target)} AS double) AS __target",))
+    return pairs.groupBy("column").agg(pairwise_correlation(F.col("x"), F.col("__target")).alias("corr"))
 
 
 def top_correlations(df: DataFrame, target: str, k: int = 10, columns: list[str] | None = None) -> DataFrame:

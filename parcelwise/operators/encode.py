@@ -7,8 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.names import c, numeric_columns, per_column, present, text_columns
-from ..functions.scalar import log1p_clipped
+from ..functions.names import c, number_literal, numeric_columns, per_column, present, quote, replace_columns, text_columns, text_literal
 from ..functions.stats import corrected_skewness
 from .profile import category_counts, label_shares
 
@@ -28,8 +27,8 @@ def skewed_columns(df: DataFrame, threshold: float = fixed.SKEW_THRESHOLD, exclu
 
 def log_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """``log1p(max(x, 0))`` on the columns that are present."""
-    hit = present(df, columns)
-    return df.withColumns({n: log1p_clipped(c(n)) for n in hit}) if hit else df
+    return replace_columns(df, {
+        n: f"log1p(CASE WHEN {q} < 0 THEN 0D ELSE CAST({q} AS double) END)" for n, q in ((n, quote(n)) for n in present(df, columns))})
 
 
 # --- rare labels -----------------------------------------------------------
@@ -67,9 +66,9 @@ def apply_frequent_labels(df: DataFrame, fitted: FrequentLabels) -> DataFrame:
     """Anything not kept becomes the other label: rare, unseen and missing values alike."""
     changed = {}
     for n in present(df, fitted.labels):
-        keep = c(n).isin(fitted.labels[n]) if fitted.labels[n] else F.lit(False)
-        changed[n] = F.when(keep, c(n)).otherwise(F.lit(fitted.other))
-    return df.withColumns(changed) if changed else df
+        kept, other = ", ".join(map(text_literal, fitted.labels[n])), text_literal(fitted.other)
+        changed[n] = f"CASE WHEN {quote(n)} IN ({kept}) THEN {quote(n)} ELSE {other} END" if kept else other
+    return replace_columns(df, changed)
 
 
 def collapse_rare_labels(df: DataFrame, threshold: float, column: str, other: str = fixed.RARE_LABEL) -> DataFrame:
@@ -123,10 +122,12 @@ def fit_indicators(df: DataFrame, columns: list[str] | None = None, limit: int =
 def apply_indicators(df: DataFrame, fitted: Indicators) -> DataFrame:
     """Replace each column with its indicator columns, appended in label order; missing and unseen give zeros."""
     flags = []
-    for n, labels in fitted.labels.items():
-        if n in df.columns:
-            flags += [F.coalesce((c(n) == v).cast("double"), F.lit(0.0)).alias(name) for v, name in zip(labels, fitted.names(n))]
-    return df.select(*[c(n) for n in df.columns if n not in fitted.labels], *flags)
+    for n in present(df, fitted.labels):
+        flags += [
+            f"CASE WHEN {quote(n)} = {text_literal(v)} THEN 1D ELSE 0D END AS {quote(name)}"
+            for v, name in zip(fitted.labels[n], fitted.names(n))
+        ]
+    return df.selectExpr(*[quote(n) for n in df.columns if n not in fitted.labels], *flags)
 
 
 def melt_indicators(df: DataFrame, prefix: str, keep: list[str], label: str) -> DataFrame:
@@ -135,8 +136,8 @@ def melt_indicators(df: DataFrame, prefix: str, keep: list[str], label: str) ->
     One array per row is filtered in place, so unset flags are never written out.
     """
     flags = [n for n in df.columns if n.startswith(prefix) and n not in keep]
-    named = F.array_compact(F.array(*[F.when(c(n) == 1, F.lit(n)) for n in flags]))
-    return df.select(*[c(k) for k in keep], F.explode(named).alias(label))
+    named = ", ".join(f"CASE WHEN {quote(n)} = 1 THEN {text_literal(n)} END" for n in flags)
+    return df.selectExpr(*map(quote, keep), f"explode(array_compact(array({named}))) AS {quote(label)}")
 
 
 # --- scaling ---------------------------------------------------------------
@@ -156,5 +157,6 @@ def fit_scale(df: DataFrame, columns: list[str] | None = None) -> Scale:
 
 
 def apply_scale(df: DataFrame, fitted: Scale) -> DataFrame:
-    hit = present(df, fitted.mean)
-    return df.withColumns({n: (c(n).cast("double") - F.lit(fitted.mean[n])) / F.lit(fitted.deviation[n]) for n in hit}) if hit else df
+    return replace_columns(df, {
+        n: f"((CAST({quote(n)} AS double) - {number_literal(fitted.mean[n])}) / {number_literal(fitted.deviation[n])})"
+        for n in present(df, fitted.mean)})

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import aggregate_row, c
+from ..functions.names import c
 from ..functions.scalar import equal_width_bin
 from .order_stats import column_quantiles, grouped_quantiles
 
@@ -14,7 +14,7 @@ from .order_stats import column_quantiles, grouped_quantiles
 def auto_bins(df: DataFrame, column: str) -> tuple[float, float, int]:
     """``low, width, bins`` by the finer of the Sturges and Freedman-Diaconis rules."""
     x = c(column).cast("double")
-    n, low, high = aggregate_row(df, [F.count(x), F.min(x), F.max(x)])
+    n, low, high = df.agg(F.count(x), F.min(x), F.max(x)).head()
     if not n or high == low:
         return (low if n else 0.0) - 0.5, 1.0, 1
     q1, q3 = column_quantiles(df, {column: [0.25, 0.75]}, {column: n})[column]
@@ -62,7 +62,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | Non
     centre instead, which makes the kernel work independent of the row count.
     """
     v = c(column).cast("double")
-    n, low, high, spread = aggregate_row(df, [F.count(v), F.min(v), F.max(v), F.stddev_samp(v)])
+    n, low, high, spread = df.agg(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).head()
     if not n or n < 2 or not spread:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
     h = spread * n ** (-0.2)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.names import c, long_numbers, per_column
+from ..functions.names import c, long_numbers, per_column, quote
 from ..session import reliable
 
 DIRECT_LIMIT = 250_000        # values per group that one task may hold
@@ -30,10 +30,10 @@ _VALUE = "__value"
 
 @dataclass(frozen=True)
 class RankTarget:
-    """A wanted zero-based rank, as an expression over the group size column ``n``."""
+    """A wanted zero-based rank, as SQL text over the group size ``n``."""
 
     name: str
-    rank: Column
+    rank: str
 
 
 def _with_state(facts: DataFrame, state: DataFrame, state_rows: int) -> DataFrame:
@@ -42,81 +42,57 @@ def _with_state(facts: DataFrame, state: DataFrame, state_rows: int) -> DataFram
     return facts.join(side, _GROUP)
 
 
-def _inside(t: str) -> Column:
-    v = F.col(_VALUE)
-    return (
-        F.col(f"{t}_hit").isNull()
-        & (F.col(f"{t}_lo").isNull() | (v > F.col(f"{t}_lo")))
-        & (F.col(f"{t}_hi").isNull() | (v < F.col(f"{t}_hi")))
-    )
-
-
-def _narrow(facts: DataFrame, state: DataFrame, names: list[str], rows: int, points: int) -> DataFrame:
-    """One round: sketch inside the brackets, count around two sketch points, keep the right part."""
-    grid = [i / points for i in range(points + 1)]
-    sketched = (
-        _with_state(facts, state, rows)
-        .groupBy(_GROUP)
-        .agg(*[F.percentile_approx(F.when(_inside(t), F.col(_VALUE)), grid, points * 20).alias(f"{t}_grid") for t in names])
-    )
-    picked = state.join(sketched, _GROUP, "left")
+def _inside(t: str) -> str:
+    return f"({t}_hit IS NULL AND ({t}_lo IS NULL OR {_VALUE} > {t}_lo) AND ({t}_hi IS NULL OR {_VALUE} < {t}_hi))"
+
+
+def _narrow(facts: DataFrame, state: DataFrame, names: list[str], rows: int, points: int, first: bool) -> DataFrame:
+    """One round: sketch inside the brackets, count around two sketch points, keep the right part.
+
+    In the first round every bracket is the whole group, so one sketch serves all targets.
+    """
+    grid = "array(" + ", ".join(f"{i / points!r}D" for i in range(points + 1)) + ")"
+    accuracy = points * 4
+    if first:
+        sketched = facts.groupBy(_GROUP).agg(F.expr(f"percentile_approx({_VALUE}, {grid}, {accuracy}) AS grid"))
+    else:
+        sketched = _with_state(facts, state, rows).groupBy(_GROUP).agg(*[
+            F.expr(f"percentile_approx(CASE WHEN {_inside(t)} THEN {_VALUE} END, {grid}, {accuracy}) AS {t}_grid") for t in names])
+    cuts = []
     for t in names:
-        at = (F.col(f"{t}_rank") - F.col(f"{t}_below")) / F.col(f"{t}_cnt") * points
-        low = F.greatest(F.floor(at).cast("int") - 1, F.lit(0))
-        high = F.least(F.ceil(at).cast("int") + 2, F.lit(points))
-        picked = (
-            picked.withColumn(f"{t}_a", F.get(f"{t}_grid", low))
-            .withColumn(f"{t}_b", F.get(f"{t}_grid", high))
-            .drop(f"{t}_grid")
-        )
-    picked = reliable(picked)
-    v = F.col(_VALUE)
+        at, found = f"(({t}_rank - {t}_below) / {t}_cnt * {points})", "grid" if first else f"{t}_grid"
+        cuts.append(f"get({found}, greatest(int(floor({at})) - 1, 0)) AS {t}_a")
+        cuts.append(f"get({found}, least(int(ceil({at})) + 2, {points})) AS {t}_b")
+    # one row per group, used twice below
+    picked = reliable(state.join(sketched, _GROUP, "left").selectExpr(*state.columns, *cuts))
     counts = []
     for t in names:
-        a, b, inside = F.col(f"{t}_a"), F.col(f"{t}_b"), _inside(t)
-        counts += [
-            F.count_if(inside & (v < a)).alias(f"{t}_n0"),
-            F.count_if(inside & (v == a)).alias(f"{t}_n1"),
-            F.count_if(inside & (v > a) & (v < b)).alias(f"{t}_n2"),
-            F.count_if(inside & (v == b) & (b > a)).alias(f"{t}_n3"),
-            F.count_if(inside & (v > b)).alias(f"{t}_n4"),
-        ]
+        tests = (f"{_VALUE} < {t}_a", f"{_VALUE} = {t}_a", f"{_VALUE} > {t}_a AND {_VALUE} < {t}_b", f"{_VALUE} = {t}_b AND {t}_b > {t}_a")
+        counts += [F.expr(f"count_if({_inside(t)} AND {test}) AS {t}_n{i}") for i, test in enumerate(tests)]
     counted = _with_state(facts, picked, rows).groupBy(_GROUP).agg(*counts)
-    joined = picked.join(counted, _GROUP)
-    kept = [F.col(_GROUP), F.col("n")]
+    kept = [_GROUP, "n"]
     for t in names:
-        a, b = F.col(f"{t}_a"), F.col(f"{t}_b")
-        n0, n1, n2, n3, n4 = (F.col(f"{t}_n{i}") for i in range(5))
-        lo, hi, below, cnt, hit = (F.col(f"{t}_{s}") for s in ("lo", "hi", "below", "cnt", "hit"))
-        r = F.col(f"{t}_rank") - below
-        open_ = hit.isNull()
-        part = (
-            F.when(~open_, -1).when(r < n0, 0).when(r < n0 + n1, 1).when(r < n0 + n1 + n2, 2)
-            .when(r < n0 + n1 + n2 + n3, 3).otherwise(4)
-        )
+        n0, n1, n2, n3 = (f"{t}_n{i}" for i in range(4))
+        upto = [n0, f"{n0} + {n1}", f"{n0} + {n1} + {n2}", f"{n0} + {n1} + {n2} + {n3}"]
+        r = f"({t}_rank - {t}_below)"
+        part = (f"CASE WHEN {t}_hit IS NOT NULL THEN -1 " + " ".join(f"WHEN {r} < {u} THEN {i}" for i, u in enumerate(upto)) + " ELSE 4 END")
         kept += [
-            F.col(f"{t}_rank"),
-            F.when(part == 2, a).when(part == 4, b).otherwise(lo).alias(f"{t}_lo"),
-            F.when(part == 0, a).when(part == 2, b).otherwise(hi).alias(f"{t}_hi"),
-            F.when(part == 2, below + n0 + n1).when(part == 4, below + n0 + n1 + n2 + n3).otherwise(below).alias(f"{t}_below"),
-            F.when(part == 0, n0).when(part == 2, n2).when(part == 4, n4).otherwise(cnt).alias(f"{t}_cnt"),
-            F.when(part == 1, a).when(part == 3, b).otherwise(hit).alias(f"{t}_hit"),
+            f"{t}_rank",
+            f"CASE {part} WHEN 2 THEN {t}_a WHEN 4 THEN {t}_b ELSE {t}_lo END AS {t}_lo",
+            f"CASE {part} WHEN 0 THEN {t}_a WHEN 2 THEN {t}_b ELSE {t}_hi END AS {t}_hi",
+            f"CASE {part} WHEN 2 THEN {t}_below + {upto[1]} WHEN 4 THEN {t}_below + {upto[3]} ELSE {t}_below END AS {t}_below",
+            f"CASE {part} WHEN 0 THEN {n0} WHEN 2 THEN {n2} WHEN 4 THEN {t}_cnt - ({upto[3]}) ELSE {t}_cnt END AS {t}_cnt",
+            f"CASE {part} WHEN 1 THEN {t}_a WHEN 3 THEN {t}_b ELSE {t}_hit END AS {t}_hit",
         ]
-    return reliable(joined.select(*kept))
+    return reliable(picked.join(counted, _GROUP).selectExpr(*kept))
 
 
 def _pick_residual(facts: DataFrame, state: DataFrame, names: list[str], rows: int) -> DataFrame:
     """Sort what is left in each (bounded) bracket and take the wanted element."""
-    gathered = (
-        _with_state(facts, state, rows)
-        .groupBy(_GROUP)
-        .agg(*[F.sort_array(F.collect_list(F.when(_inside(t), F.col(_VALUE)))).alias(f"{t}_left") for t in names])
-    )
-    found = [
-        F.coalesce(F.col(f"{t}_hit"), F.get(f"{t}_left", (F.col(f"{t}_rank") - F.col(f"{t}_below")).cast("int"))).alias(t)
-        for t in names
-    ]
-    return state.join(gathered, _GROUP).select(_GROUP, "n", *found)
+    gathered = _with_state(facts, state, rows).groupBy(_GROUP).agg(*[
+        F.expr(f"sort_array(collect_list(CASE WHEN {_inside(t)} THEN {_VALUE} END)) AS {t}_left") for t in names])
+    found = [f"coalesce({t}_hit, get({t}_left, int({t}_rank - {t}_below))) AS {t}" for t in names]
+    return state.join(gathered, _GROUP).selectExpr(_GROUP, "n", *found)
 
 
 def kth_values(
@@ -131,40 +107,36 @@ def kth_values(
 
     A rank below 0 gives NULL. Runs jobs; the result holds one row per group.
     """
-    facts = df.select(group.alias(_GROUP), value.alias(_VALUE)).where(F.col(_VALUE).isNotNull())
+    facts = df.select(group.alias(_GROUP), value.alias(_VALUE)).where(f"{_VALUE} IS NOT NULL")
     names = [t.name for t in targets]
-    kind = facts.schema[_VALUE].dataType
-    empty = F.lit(None).cast(kind)
-    sizes = facts.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    start = [F.col(_GROUP), F.col("n")]
+    empty = f"CAST(NULL AS {facts.schema[_VALUE].dataType.simpleString()})"
+    start = [_GROUP, "n"]
     for t in targets:
-        start += [
-            t.rank.cast("long").alias(f"{t.name}_rank"), empty.alias(f"{t.name}_lo"), empty.alias(f"{t.name}_hi"),
-            F.lit(0).cast("long").alias(f"{t.name}_below"), F.col("n").alias(f"{t.name}_cnt"), empty.alias(f"{t.name}_hit"),
-        ]
-    state = reliable(sizes.select(*start))
-    widest = F.greatest(*[F.when(F.col(f"{t}_hit").isNull() & (F.col(f"{t}_rank") >= 0), F.col(f"{t}_cnt")).otherwise(0) for t in names], F.lit(0))
+        start += [f"CAST({t.rank} AS bigint) AS {t.name}_rank", f"{empty} AS {t.name}_lo", f"{empty} AS {t.name}_hi",
+                  f"0L AS {t.name}_below", f"n AS {t.name}_cnt", f"{empty} AS {t.name}_hit"]
+    sizes = facts.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("n"))
+    state = reliable(sizes.selectExpr(*start))
+    open_ = ", ".join(f"CASE WHEN {t}_hit IS NULL AND {t}_rank >= 0 THEN {t}_cnt ELSE 0 END" for t in names)
+    first = True
     while True:
-        rows, left = state.agg(F.count(F.lit(1)), F.max(widest)).head()
+        rows, left = state.selectExpr("count(*)", f"max(greatest({open_}, 0))").head()
         if (left or 0) <= residual_limit:
-            break
-        state = _narrow(facts, state, names, rows, points)
-    return _pick_residual(facts, state, names, rows)
+            return _pick_residual(facts, state, names, rows)
+        state = _narrow(facts, state, names, rows, points, first)
+        first = False
 
 
 def _targets(probabilities: list[float]) -> list[RankTarget]:
-    n = F.col("n")
     out = []
     for i, p in enumerate(probabilities):
-        at = (n - 1) * F.lit(float(p))
-        out += [RankTarget(f"f{i}", F.floor(at)), RankTarget(f"g{i}", F.ceil(at))]
+        at = f"(n - 1) * {float(p)!r}D"
+        out += [RankTarget(f"f{i}", f"floor({at})"), RankTarget(f"g{i}", f"ceil({at})")]
     return out
 
 
-def _interpolated(i: int, p: float) -> Column:
-    at = (F.col("n") - 1) * F.lit(float(p))
-    low, high = F.col(f"f{i}").cast("double"), F.col(f"g{i}").cast("double")
-    return low + (high - low) * (at - F.floor(at))
+def _interpolated(i: int, p: float) -> str:
+    at = f"((n - 1) * {float(p)!r}D)"
+    return f"f{i} + (g{i} - f{i}) * ({at} - floor({at}))"
 
 
 def column_quantiles(
@@ -199,8 +171,8 @@ def column_quantiles(
         rows = {n: r["q"] for n, r in per_column(df, small, q=F.percentile(x, points)).items()}
         if large:
             picked = kth_values(long_numbers(df, large), F.col("column"), x, _targets(probabilities))
-            quantiles = F.array(*[_interpolated(i, p) for i, p in enumerate(probabilities)])
-            rows |= {r[0]: r[1] for r in picked.select(_GROUP, quantiles).collect()}
+            quantiles = ", ".join(_interpolated(i, p) for i, p in enumerate(probabilities))
+            rows |= {r[0]: r[1] for r in picked.selectExpr(_GROUP, f"array({quantiles})").collect()}
     found: dict[str, list[float | None]] = {}
     for n in names:
         by_p = dict(zip(probabilities, rows.get(n) or [None] * len(probabilities)))
@@ -230,5 +202,5 @@ def grouped_quantiles(
         return facts.groupBy(_GROUP).agg(F.count(_VALUE).alias("n"), qs.alias("q")).select(
             F.col(_GROUP).alias(key), "n", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)])
     picked = kth_values(facts, F.col(_GROUP), F.col(_VALUE), _targets(probabilities))
-    return picked.select(
-        F.col(_GROUP).alias(key), "n", *[_interpolated(i, p).alias(n) for i, (p, n) in enumerate(zip(probabilities, names))])
+    return picked.selectExpr(
+        f"{_GROUP} AS {quote(key)}", "n", *[f"{_interpolated(i, p)} AS {quote(n)}" for i, (p, n) in enumerate(zip(probabilities, names))])

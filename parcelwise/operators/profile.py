@@ -2,47 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hashing import row_hash
-from ..functions.names import aggregate_row, c, long_numbers, numeric_columns, per_column, text_columns
+from ..functions.names import c, long_numbers, long_row, numeric_columns, per_column, quote, stacked, text_columns, text_literal
 from ..functions.stats import corrected_skewness, mode_smallest
 from .order_stats import column_quantiles
 
 
-def _missing(df: DataFrame, name: str) -> Column:
-    x = c(name)
-    return x.isNull() | F.isnan(x) if dict(df.dtypes)[name] in ("double", "float") else x.isNull()
-
-
-def long_row(df: DataFrame, columns: list[str], fields: dict[str, list[Column]]) -> DataFrame:
-    """One global aggregation laid out as one row per column.
-
-    ``fields[name][i]`` is the aggregate called ``name`` for ``columns[i]``.
-    """
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("column"), *[values[i].alias(f) for f, values in fields.items()])
-        for i, n in enumerate(columns)
-    ])
-    return df.agg(rows.alias("rows")).select(F.inline("rows"))
+def missing_test(df: DataFrame, name: str) -> str:
+    """SQL condition for a missing value: NULL, and NaN in floating columns."""
+    q = quote(name)
+    return f"({q} IS NULL OR isnan({q}))" if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else f"({q} IS NULL)"
 
 
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> tuple[int, dict[str, int]]:
     """Row count and missing values per column, in one job."""
     names = columns or df.columns
-    row = aggregate_row(df, [F.count(F.lit(1)), *[F.count_if(_missing(df, n)) for n in names]])
+    row = df.selectExpr("count(*) AS n", *[f"count_if({missing_test(df, n)}) AS m{i}" for i, n in enumerate(names)]).head()
     return row[0], dict(zip(names, row[1:]))
 
 
 def missing_profile(df: DataFrame, columns: list[str] | None = None, only_missing: bool = True) -> DataFrame:
     """``column, n_missing, fraction, percent`` sorted by count, most first."""
     names = columns or df.columns
-    gaps = [_missing(df, n) for n in names]
-    out = long_row(df, names, {
-        "n_missing": [F.count_if(g) for g in gaps],
-        "fraction": [F.avg(g.cast("double")) for g in gaps],
-        "percent": [F.round(100 * F.avg(g.cast("double")), 2) for g in gaps],
-    })
+    gaps = [missing_test(df, n) for n in names]
+    counted = long_row(df, names, {"n_missing": [f"count_if({g})" for g in gaps], "n_rows": ["count(*)" for _ in gaps]})
+    share = F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows"))
+    out = counted.select("column", "n_missing", share.alias("fraction"), F.round(100 * share, 2).alias("percent"))
     if only_missing:
         out = out.where(F.col("n_missing") > 0)
     return out.orderBy(F.desc("n_missing"), "column")
@@ -50,11 +37,10 @@ def missing_profile(df: DataFrame, columns: list[str] | None = None, only_missin
 
 def schema_report(df: DataFrame) -> DataFrame:
     """``column, dtype, non_null, n_rows`` for every column."""
-    kinds = dict(df.dtypes)
     return long_row(df, df.columns, {
-        "dtype": [F.lit(kinds[n]) for n in df.columns],
-        "non_null": [F.count(c(n)) for n in df.columns],
-        "n_rows": [F.count(F.lit(1)) for _ in df.columns],
+        "dtype": [text_literal(t) for _, t in df.dtypes],
+        "non_null": [f"count({quote(n)})" for n in df.columns],
+        "n_rows": ["count(*)" for _ in df.columns],
     })
 
 
@@ -77,13 +63,8 @@ def category_counts(df: DataFrame, columns: list[str] | None = None) -> DataFram
     names = columns or text_columns(df)
     if not names:
         return df.sparkSession.createDataFrame([], "column string, value string, n long")
-    picked = df.select(*[c(n).cast("string").alias(n) for n in names])
-    return (
-        picked.unpivot([], [c(n) for n in names], "column", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    labels = stacked(df, names, "string").withColumnRenamed("x", "value").where("value IS NOT NULL")
+    return labels.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def label_shares(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -54,12 +54,11 @@ def stratified_split(
         u = key_fraction(c(key), seed)
         return df.withColumn("split", F.when(u < test_size, "test").when(u < test_size + val_size, "val").otherwise("train"))
     stratum = F.coalesce(stratum.cast("string"), F.lit(""))
-    n = F.col("n")
-    n_test = F.round(n * test_size)
-    n_val = F.round((n - n_test) * (val_size / (1 - test_size)))
+    n_test = f"round(n * {test_size!r}D)"
+    n_val = f"round((n - {n_test}) * {val_size / (1 - test_size)!r}D)"
     cuts = kth_values(
         df, stratum, key_hash(c(key), seed),
-        [RankTarget("last_test", n_test - 1), RankTarget("last_val", n_test + n_val - 1)],
+        [RankTarget("last_test", f"{n_test} - 1"), RankTarget("last_val", f"{n_test} + {n_val} - 1")],
     ).collect()
     h = key_hash(c(key), seed)
     out = F.lit("train")

@@ -11,9 +11,9 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fixed
-from ..functions.names import c
+from ..functions.names import c, quote, replace_columns
 from ..operators import clean, contracts, correlation, encode, histogram, housing, metrics, models, order_stats, profile, split, tuning
-from ..session import scratch_dir
+from ..session import scratch_dir, spread
 from ..sources import tabular
 from ..sources.homes import canonical, homes, homes_bad, table
 from ..streaming.score_stream import read_request_stream, start_scoring
@@ -34,7 +34,7 @@ def rounded(x: Column | str, digits: int = 6) -> Column:
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[rounded(c(n), digits).alias(n) if t == "double" else c(n) for n, t in df.dtypes])
+    return replace_columns(df, {n: f"(round({quote(n)}, {digits}) + 0D)" for n, t in df.dtypes if t == "double"})
 
 
 # Housing contract without the one column that homes does not have.
@@ -44,6 +44,10 @@ BAD_NAMES = {"sale_price": "SalePrice", "overall_qual": "Overall Qual", "yr_sold
 BAD_CONTRACT = housing.RAW_CONTRACT.only(list(BAD_NAMES.values()))
 
 
+def lines(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "lineitem"))
+
+
 # --- source and flagship ---------------------------------------------------
 
 @query
@@ -161,7 +165,7 @@ def describe_all(spark, d):
 
 @query
 def describe_lineitem(spark, d):
-    return round_doubles(profile.describe_all(table(spark, d, "lineitem").drop("l_shipdate")), 4)
+    return round_doubles(profile.describe_all(lines(spark, d).drop("l_shipdate")), 4)
 
 
 @query
@@ -187,7 +191,7 @@ def fingerprint(spark, d):
 @query
 def group_quartiles(spark, d):
     return order_stats.grouped_quantiles(
-        table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
+        lines(spark, d), "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75], ["p25", "p50", "p75"]
     ).transform(round_doubles, 4)
 
 
@@ -195,7 +199,7 @@ def group_quartiles(spark, d):
 def group_quartiles_narrowed(spark, d):
     """The same by bracket search, the way taken when a group outgrows one task."""
     return order_stats.grouped_quantiles(
-        table(spark, d, "lineitem"), "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], direct_limit=0
+        lines(spark, d), "l_returnflag", "l_extendedprice", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], direct_limit=0
     ).transform(round_doubles, 4)
 
 
@@ -251,7 +255,7 @@ def density_curve(spark, d):
 
 @query
 def density_curve_binned(spark, d):
-    curve = histogram.density_curve(table(spark, d, "lineitem"), "l_extendedprice", 200, bins=512)
+    curve = histogram.density_curve(lines(spark, d), "l_extendedprice", 200, bins=512)
     return curve.select("point", rounded("x", 4).alias("x"), rounded(F.col("density") * 1e6).alias("density_e6"))
 
 

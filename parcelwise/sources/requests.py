@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fixed
-from ..functions.names import c, present
+from ..functions.names import c, present, quote, text_literal
 
 # Two fields start with a digit and may also come under a spelled-out name.
 SPELLED = {"FirstFlrSF": "1stFlrSF", "SecondFlrSF": "2ndFlrSF"}
@@ -35,11 +35,11 @@ def with_defaults(df: DataFrame) -> DataFrame:
     """Fill optional fields with their defaults, constant or copied; absent fields are added."""
     have = set(df.columns)
 
-    def given(name: str, dtype: str) -> Column:
+    def given(name: str, dtype: str) -> str:
         if name not in have:
-            return F.lit(None).cast(dtype)
-        x = c(name).try_cast(dtype)
-        return F.coalesce(x, c(name).try_cast("double").try_cast("int")) if dtype == "int" else x
+            return f"CAST(NULL AS {dtype})"
+        x = f"try_cast({quote(name)} AS {dtype})"
+        return f"coalesce({x}, try_cast(try_cast({quote(name)} AS double) AS int))" if dtype == "int" else x
 
     kinds = {f[0]: f[2] for f in fixed.REQUEST_FIELDS}
     filled = {}
@@ -48,11 +48,11 @@ def with_defaults(df: DataFrame) -> DataFrame:
             filled[name] = given(name, dtype)
         elif isinstance(default, str) and default.startswith("="):
             source = default[1:]
-            filled[name] = F.coalesce(given(name, dtype), given(source, kinds[source]).cast(dtype))
+            filled[name] = f"coalesce({given(name, dtype)}, CAST({given(source, kinds[source])} AS {dtype}))"
         else:
-            filled[name] = F.coalesce(given(name, dtype), F.lit(default).cast(dtype))
-    others = [c(n) for n in df.columns if n not in filled]
-    return df.select(*others, *[x.alias(n) for n, x in filled.items()])
+            value = text_literal(default) if isinstance(default, str) else str(default)
+            filled[name] = f"coalesce({given(name, dtype)}, CAST({value} AS {dtype}))"
+    return df.selectExpr(*[quote(n) for n in df.columns if n not in filled], *[f"{x} AS {quote(n)}" for n, x in filled.items()])
 
 
 def canonical_names(df: DataFrame) -> DataFrame:

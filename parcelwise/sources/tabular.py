@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fixed
-from ..functions.names import aggregate_row, c, present
+from ..functions.names import c, present, quote, replace_columns, stacked, text_literal
 from ..operators.contracts import Contract, enforce
 
 SPLITS = ("train", "val", "test")
@@ -26,24 +26,13 @@ def _read(reader, kind: str, path: str, hint: str) -> DataFrame:
 
 def infer_types(df: DataFrame) -> dict[str, str]:
     """Type per text column: bigint, double, boolean or string, from one aggregation over the whole table."""
-    checks = []
-    for n in df.columns:
-        x = F.trim(c(n))
-        checks += [F.count(x), F.count_if(x.rlike(_WHOLE)), F.count_if(x.rlike(_NUMBER)), F.count_if(x.rlike(_TRUTH))]
-    row = aggregate_row(df, checks)
-    out = {}
-    for i, n in enumerate(df.columns):
-        seen, whole, number, truth = row[4 * i:4 * i + 4]
-        if seen == 0:
-            out[n] = "string"
-        elif whole == seen:
-            out[n] = "bigint"
-        elif number == seen:
-            out[n] = "double"
-        elif truth == seen:
-            out[n] = "boolean"
-        else:
-            out[n] = "string"
+    x = F.trim("x")
+    cells = stacked(df, df.columns, "string").where("x IS NOT NULL")
+    found = cells.groupBy("column").agg(
+        F.bool_and(x.rlike(_WHOLE)).alias("whole"), F.bool_and(x.rlike(_NUMBER)).alias("number"), F.bool_and(x.rlike(_TRUTH)).alias("truth"))
+    out = dict.fromkeys(df.columns, "string")
+    for r in found.collect():
+        out[r["column"]] = "bigint" if r["whole"] else "double" if r["number"] else "boolean" if r["truth"] else "string"
     return out
 
 
@@ -57,10 +46,10 @@ def read_csv(
     """
     reader = spark.read.option("header", True).options(**options)
     text = _read(reader, "csv", path, "Raw data")
-    cells = {n: F.when(~F.trim(c(n)).isin(null_tokens), c(n)) for n in text.columns}
-    text = text.select(*[x.alias(n) for n, x in cells.items()])
-    kinds = {f.name: f.dataType for f in schema} if schema else infer_types(text)
-    return text.select(*[c(n).try_cast(kinds[n]).alias(n) if kinds.get(n, "string") != "string" else c(n) for n in text.columns])
+    tokens = ", ".join(map(text_literal, null_tokens))
+    text = replace_columns(text, {n: f"CASE WHEN trim({quote(n)}) NOT IN ({tokens}) THEN {quote(n)} END" for n in text.columns})
+    kinds = {f.name: f.dataType.simpleString() for f in schema} if schema else infer_types(text)
+    return replace_columns(text, {n: f"try_cast({quote(n)} AS {t})" for n, t in kinds.items() if t != "string" and n in set(text.columns)})
 
 
 # --- names and labels ------------------------------------------------------
