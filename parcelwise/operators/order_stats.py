@@ -105,8 +105,11 @@ def kth_values(
 ) -> DataFrame:
     """Exact value at each wanted rank per group: columns ``__group, n, <target names>``.
 
-    A rank below 0 gives NULL. Runs jobs; the result holds one row per group.
+    A round keeps at most four steps of the ``points`` sketched, so more points
+    mean fewer rounds. A rank below 0 gives NULL. Runs jobs; the result holds one row per group.
     """
+    if points < 16:
+        raise ValueError("points must be at least 16, or brackets hardly shrink")
     facts = df.select(group.alias(_GROUP), value.alias(_VALUE)).where(f"{_VALUE} IS NOT NULL")
     names = [t.name for t in targets]
     empty = f"CAST(NULL AS {facts.schema[_VALUE].dataType.simpleString()})"
