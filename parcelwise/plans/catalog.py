@@ -487,7 +487,7 @@ def ols_pair(spark, d):
 def tree_group_means(spark, d):
     df = _labelled(spark, d)
     scored = _group_tree().fit(df).transform(df)
-    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 4).alias("prediction"))
+    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 2).alias("prediction"))
 
 
 @query
@@ -495,14 +495,14 @@ def gbt_group_means(spark, d):
     df = _labelled(spark, d)
     stages_ = _group_tree().getStages()[:2] + [GBTRegressor(labelCol="label", maxDepth=24, maxIter=2, maxBins=32, seed=fixed.SEED)]
     scored = Pipeline(stages=stages_).fit(df).transform(df)
-    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 4).alias("prediction"))
+    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 2).alias("prediction"))
 
 
 @query
 def fold_predictions(spark, d):
     """Out-of-fold predictions of the group tree."""
     df = split.with_fold(_labelled(spark, d), "pid")
-    return tuning.fold_predictions(df, _group_tree()).select("pid", rounded("prediction", 4).alias("prediction"))
+    return tuning.fold_predictions(df, _group_tree()).select("pid", rounded("prediction", 2).alias("prediction"))
 
 
 @query
@@ -595,7 +595,7 @@ def registry_round_trip(spark, d):
     df = _labelled(spark, d)
     path = registry.save_model(spark, _group_tree().fit(df), scratch_dir(spark, "registry"), ["index"], {}, {"maxDepth": 30})
     scored = registry.load_model(spark, path).transform(df)
-    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 4).alias("prediction"))
+    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 2).alias("prediction"))
 
 
 @query

@@ -348,12 +348,12 @@ ORACLES["ols_single"] = homes(f"""SELECT {r('regr_slope(sale_price, gr_liv_area)
 ORACLES["ols_pair"] = homes(f""", m AS (SELECT avg(sale_price) AS y, avg(overall_qual) AS a, avg(gr_liv_area) AS b, var_pop(overall_qual) AS aa, var_pop(gr_liv_area) AS bb,
  covar_pop(overall_qual, gr_liv_area) AS ab, covar_pop(overall_qual, sale_price) AS ay, covar_pop(gr_liv_area, sale_price) AS bye FROM homes)
  SELECT pid, {r('y + (ay * bb - bye * ab) / (aa * bb - ab * ab) * (overall_qual - a) + (bye * aa - ay * ab) / (aa * bb - ab * ab) * (gr_liv_area - b)', 2)} AS prediction FROM homes, m""")
-GROUP_MEANS = homes(f"SELECT neighborhood, {r('avg(sale_price)', 4)} AS prediction FROM homes GROUP BY 1")
+GROUP_MEANS = homes(f"SELECT neighborhood, {r('avg(sale_price)', 2)} AS prediction FROM homes GROUP BY 1")
 ORACLES["tree_group_means"] = ORACLES["gbt_group_means"] = ORACLES["registry_round_trip"] = GROUP_MEANS
 FOLDED = f""", f AS (SELECT pid, neighborhood AS g, sale_price AS y, {FOLD.format(key='pid')} AS fold FROM homes),
 k AS (SELECT g, fold, sum(y) AS s, count(*) AS n FROM f GROUP BY 1, 2), w AS (SELECT g, sum(s) AS s, sum(n) AS n FROM k GROUP BY 1),
 pr AS (SELECT pid, fold, y, (w.s - k.s) / (w.n - k.n) AS p FROM f JOIN k USING (g, fold) JOIN w USING (g))"""
-ORACLES["fold_predictions"] = homes(FOLDED + f" SELECT pid, {r('p', 4)} AS prediction FROM pr")
+ORACLES["fold_predictions"] = homes(FOLDED + f" SELECT pid, {r('p', 2)} AS prediction FROM pr")
 ORACLES["fold_metrics"] = homes(FOLDED + f" SELECT {scores()} FROM pr")
 ORACLES["fold_scores"] = homes(FOLDED + f" SELECT fold, {scores()} FROM pr GROUP BY 1")
 ORACLES["counterfactual"] = homes(union([
