@@ -7,12 +7,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import fixed_values as fixed
 from ..functions.hashing import key_fold, key_fraction, key_hash
 from ..functions.names import c
+from ..session import reliable
 from .order_stats import RankTarget, column_quantiles, kth_values
 
 
-def quantile_edges(df: DataFrame, column: str, bins: int = 5, relative_error: float | None = None) -> list[float]:
-    """Distinct interpolated quantile edges, lowest to highest."""
-    q = column_quantiles(df, {column: [i / bins for i in range(bins + 1)]}, relative_error=relative_error)[column]
+LITERAL_STRATA = 200  # strata whose cuts become literals; the cuts of more are joined
+
+
+def quantile_edges(
+    df: DataFrame, column: str, bins: int = 5, relative_error: float | None = None, at_most: int | None = None,
+) -> list[float]:
+    """Distinct interpolated quantile edges, lowest to highest; ``at_most`` is a known bound on the rows and saves a count."""
+    counts = {column: at_most} if at_most is not None else None
+    q = column_quantiles(df, {column: [i / bins for i in range(bins + 1)]}, counts, relative_error=relative_error)[column]
     return sorted({x for x in q if x is not None})
 
 
@@ -56,20 +63,26 @@ def stratified_split(
     stratum = F.coalesce(stratum.cast("string"), F.lit(""))
     n_test = f"round(n * {test_size!r}D)"
     n_val = f"round((n - {n_test}) * {val_size / (1 - test_size)!r}D)"
-    cuts = kth_values(
+    cuts = reliable(kth_values(
         df, stratum, key_hash(c(key), seed),
         [RankTarget("last_test", f"{n_test} - 1"), RankTarget("last_val", f"{n_test} + {n_val} - 1")],
-    ).collect()
+    ))
     h = key_hash(c(key), seed)
+    if cuts.count() > LITERAL_STRATA:
+        side = cuts.select(F.col("__group").alias("__stratum"), "last_test", "last_val")
+        name = F.when(h <= F.col("last_test"), "test").when(h <= F.col("last_val"), "val").otherwise("train")
+        return df.join(side, stratum == F.col("__stratum"), "left").select(*[c(n) for n in df.columns], name.alias("split"))
     out = F.lit("train")
-    for row in cuts:
+    for row in cuts.collect():
         here = stratum == F.lit(row["__group"])
         out = F.when(here & F.coalesce(h <= F.lit(row["last_test"]), F.lit(False)), "test").when(
             here & F.coalesce(h <= F.lit(row["last_val"]), F.lit(False)), "val").otherwise(out)
     return df.withColumn("split", out)
 
 
-def split_by_target(df: DataFrame, key: str, target: str = fixed.TARGET, bins: int = 5, **options) -> DataFrame:
+def split_by_target(
+    df: DataFrame, key: str, target: str = fixed.TARGET, bins: int = 5, at_most: int | None = None, **options,
+) -> DataFrame:
     """Stratified split on the target's quantile bins."""
-    edges = quantile_edges(df, target, bins)
+    edges = quantile_edges(df, target, bins, at_most=at_most)
     return stratified_split(df, key, quantile_bin(c(target), edges), **options)

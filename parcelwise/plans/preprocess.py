@@ -60,11 +60,23 @@ def prepare(raw: DataFrame, options: Options = Options()) -> Prepared:
     dropped = [n for n in body if n_rows and gaps[n] / n_rows > o.missing_threshold]
     df = df.drop(*dropped)
     kept = [n for n in body if n not in dropped]
-    fill = clean.fit_fill(df, o.numeric_fill, columns=[n for n in kept if gaps[n]], gaps=(n_rows, gaps))
+    gapped = [n for n in kept if gaps[n]]
+    quartiles = None
+    if o.numeric_fill == "median":
+        # medians of the gapped columns and, where filling cannot move them, the target's quartiles in one pass
+        wanted = {n: [0.5] for n in numeric_columns(df) if n in set(gapped)}
+        if o.remove_outliers and o.target not in gapped:
+            wanted[o.target] = [0.25, 0.75]
+        found = column_quantiles(df, wanted, {n: n_rows - gaps[n] for n in wanted})
+        quartiles = found.pop(o.target, None) if o.target not in gapped else None
+        values = {n: q[0] for n, q in found.items()} | clean.modes(df, [n for n in text_columns(df) if n in set(gapped)])
+        fill = clean.Fill({n: v for n, v in values.items() if v is not None})
+    else:
+        fill = clean.fit_fill(df, o.numeric_fill, columns=gapped, gaps=(n_rows, gaps))
     df = clean.apply_fill(df, fill)
     bounds = None
     if o.remove_outliers:
-        q1, q3 = column_quantiles(df, {o.target: [0.25, 0.75]}, {o.target: n_rows})[o.target]
+        q1, q3 = quartiles or column_quantiles(df, {o.target: [0.25, 0.75]}, {o.target: n_rows})[o.target]
         reach = fixed.IQR_FACTOR * (q3 - q1)
         bounds = clean.Bounds(o.target, q1 - reach, q3 + reach)
         df = clean.apply_bounds(df, bounds)
@@ -77,7 +89,7 @@ def prepare(raw: DataFrame, options: Options = Options()) -> Prepared:
     features = [n for n in numeric_columns(df) if n not in (o.key, o.target)]
     df = df.select(c(o.key), *[c(n) for n in features], c(o.target))
     table = split.split_by_target(
-        df, o.key, o.target, test_size=o.test_size, val_size=o.val_size, seed=o.seed, exact=o.exact_split)
+        df, o.key, o.target, at_most=n_rows, test_size=o.test_size, val_size=o.val_size, seed=o.seed, exact=o.exact_split)
     return Prepared(table, dropped, fill, bounds, skewed, indicators, features)
 
 

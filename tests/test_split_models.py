@@ -46,6 +46,13 @@ def test_missing_stratum_is_split_too(spark):
         (None, "test"): 6, (None, "val"): 6, (None, "train"): 28, ("a", "test"): 9, ("a", "val"): 9, ("a", "train"): 42}
 
 
+def test_many_strata_are_joined_to_the_same_result(sales, monkeypatch):
+    few = as_dict(split.split_by_target(sales, "PID"))
+    monkeypatch.setattr(split, "LITERAL_STRATA", 2)
+    many = split.split_by_target(sales, "PID")
+    assert many.columns == [*sales.columns, "split"] and as_dict(many) == few
+
+
 def test_random_split_and_folds(sales):
     parts = Counter(as_dict(split.random_split(sales, "PID")).values())
     assert abs(parts["train"] / 300 - 0.7) < 0.1 and abs(parts["val"] - parts["test"]) < 40
