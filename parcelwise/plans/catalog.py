@@ -37,6 +37,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return replace_columns(df, {n: f"(round({quote(n)}, {digits}) + 0D)" for n, t in df.dtypes if t == "double"})
 
 
+def settled(df: DataFrame, cached: DataFrame) -> DataFrame:
+    """A few result rows computed now, so that the cached input can be released."""
+    rows = df.collect()
+    cached.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 # Housing contract without the one column that homes does not have.
 HOMES_CONTRACT = housing.RAW_CONTRACT.only([r.column for r in housing.RAW_CONTRACT.rules if r.column != "Sale Condition"])
 BAD_NAMES = {"sale_price": "SalePrice", "overall_qual": "Overall Qual", "yr_sold": "Yr Sold",
@@ -537,14 +544,14 @@ def model_comparison(spark, d):
         "Gradient Boosting": models.boosted_trees(trees=10),
         "AdaBoost": models.AdaBoostR2(rounds=5),
     })
-    return round_doubles(found)
+    return settled(round_doubles(found), data)
 
 
 @query
 def adaboost(spark, d):
     data = _matrix(spark, d, log=False).persist()
     model = models.AdaBoostR2(rounds=6, cut_every=3).fit(data.where(F.col("split") == "train"))
-    return round_doubles(metrics.regression_metrics(model.transform(data), "label", "prediction", ["split"]))
+    return settled(round_doubles(metrics.regression_metrics(model.transform(data), "label", "prediction", ["split"])), data)
 
 
 @query
@@ -556,8 +563,9 @@ def grid_search(spark, d):
 @query
 def random_search(spark, d):
     space = {"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 2, 4]}
-    _, trials = tuning.random_search(_matrix(spark, d).persist(), models.decision_tree(max_depth=4, max_bins=64), space, trials=3)
-    return round_doubles(trials.select("trial", F.to_json("params").alias("params"), "rmse"))
+    data = _matrix(spark, d).persist()
+    _, trials = tuning.random_search(data, models.decision_tree(max_depth=4, max_bins=64), space, trials=3)
+    return settled(round_doubles(trials.select("trial", F.to_json("params").alias("params"), "rmse")), data)
 
 
 @query
