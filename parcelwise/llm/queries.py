@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelwise.llm import url_filters
+from parcelwise.llm import line_rules, url_filters
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -29,6 +29,44 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_rules.clean_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP2_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split),
+win AS (
+  SELECT r, i, string_agg(word, ' ') OVER e AS win, count(*) OVER e AS n
+  FROM words WINDOW e AS (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS c FROM win WHERE n = 8),
+covered AS (SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM twice, range(8) t(j) WHERE c > 1 GROUP BY r),
+raw AS (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM docs),
+lines AS (
+  SELECT r, line, k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words, len(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS differing,
+    len(regexp_extract_all(line, '[#*$%&|<>]')) AS symbols, row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS earlier
+  FROM raw),
+judged AS (
+  SELECT r, words, line, earlier, symbols >= 0.25 * words
+    OR len(regexp_extract_all(line, '!!')) >= 0.25 * words OR (words >= 3 AND line <> lower(line) AND line = upper(line))
+    OR (words >= 16 AND differing <= 0.4 * words)
+    OR (words < 5 AND NOT regexp_matches(line, '[.!?…]["'')\]»”]*[\x20\x09-\x0D]*$'))
+    OR (words >= 5 AND NOT regexp_matches(line, '[.,;:!?…。।]'))
+    OR earlier OR (words < 20 AND regexp_matches(lower(line),
+      'all rights reserved|cookie policy|privacy policy|terms of use|terms of service|click here|read more|sign up|log in')) AS failed
+  FROM lines WHERE words > 0),
+by_doc AS (SELECT r, sum(words) FILTER (NOT failed) AS stays, count(*) - count(DISTINCT line) AS n_dup_lines FROM judged GROUP BY r),
+base AS (
+  SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(stays, 0) AS stays
+  FROM split LEFT JOIN covered USING (r) LEFT JOIN by_doc USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND stays >= 0.5 * n_words AS kept
+FROM base
+"""
+
 OP4_SQL = r"""
 WITH parts AS (
   SELECT page_id,
@@ -46,5 +84,5 @@ SELECT page_id, parts.host, parts.path, rule, coalesce(verdict,
 FROM parts LEFT JOIN best USING (host, path)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op4_url_filters": op4_url_filters}
-SQL: dict[str, str] = {"op4_url_filters": OP4_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op4_url_filters": op4_url_filters}
+SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
