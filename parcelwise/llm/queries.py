@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import line_rules, url_filters
+from parcelwise.llm import kd_shards, line_rules, url_filters
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_kd_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = kd_shards.narrow_rows(docs, {
+        "source": kd_shards.text_number(F.col("source")), "lang": kd_shards.text_number(F.col("lang")), "length": F.log2(1 + F.octet_length("text")),
+    })
+    placed = kd_shards.with_slots(kd_shards.kd_shards(rows, shards))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filters.filter_urls(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_SITES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -84,5 +93,5 @@ SELECT page_id, parts.host, parts.path, rule, coalesce(verdict,
 FROM parts LEFT JOIN best USING (host, path)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op4_url_filters": op4_url_filters}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters}
 SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
