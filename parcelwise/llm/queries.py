@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import kd_shards, line_rules, url_filters
+from parcelwise.llm import compression_quality, kd_shards, line_rules, url_filters
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -93,5 +93,17 @@ SELECT page_id, parts.host, parts.path, rule, coalesce(verdict,
 FROM parts LEFT JOIN best USING (host, path)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters}
+def id_remainder(column: str, modulus: int):
+    """crc32 of an id as text, modulo."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = compression_quality.fit(docs, table(spark, sf_dir, "labels"), where=id_remainder("id", 5) != 0)
+    scored = compression_quality.score(docs, model)
+    return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality}
 SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
