@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, kd_shards, line_rules, url_filters
+from parcelwise.llm import compression_quality, kd_shards, language_spans, line_rules, url_filters
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -105,5 +105,12 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality}
+def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_spans.fit(docs, where=id_remainder("id", 4) != 2)
+    labelled = language_spans.label_spans(docs, model)
+    return labelled.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
 SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
