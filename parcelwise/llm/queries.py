@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, kd_shards, language_spans, line_rules, url_filters
+from parcelwise.llm import compression_quality, kd_shards, language_spans, line_rules, url_filters, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -38,6 +38,37 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return done.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP1_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+dw AS (
+  SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS win
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (SELECT DISTINCT k FROM iw) WHERE len(w) >= k)),
+met AS (SELECT r, i, k, item_id FROM dw JOIN iw USING (k, win)),
+hit AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM (SELECT DISTINCT r, i, k FROM met), range(10) t(j) WHERE j < k GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS sha FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
+
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_rules.clean_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -112,5 +143,5 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
-SQL: dict[str, str] = {"op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
+SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
