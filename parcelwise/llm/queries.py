@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, kd_shards, language_spans, line_rules, url_filters, winnowing
+from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, url_filters, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -129,6 +130,10 @@ def id_remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = compression_quality.fit(docs, table(spark, sf_dir, "labels"), where=id_remainder("id", 5) != 0)
@@ -143,5 +148,5 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
 SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
