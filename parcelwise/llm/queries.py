@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, url_filters, winnowing
+from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, ngram_join, url_filters, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -141,6 +141,25 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+size AS (SELECT r, count(*) AS n FROM sh GROUP BY r),
+pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM sh a JOIN sh b USING (s) WHERE a.r <> b.r GROUP BY a.r, b.r),
+links AS (SELECT a, b FROM pairs JOIN size x ON a = x.r JOIN size y ON b = y.r WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach(r, t) AS (SELECT r, r FROM docs UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.t = links.a),
+least AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN docs d ON d.r = reach.t GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs LEFT JOIN size USING (r) LEFT JOIN least USING (r)
+"""
+
+
 def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_spans.fit(docs, where=id_remainder("id", 4) != 2)
@@ -148,5 +167,5 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op9_language_spans": op9_language_spans}
-SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans}
+SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL}
