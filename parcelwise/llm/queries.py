@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, ngram_join, url_filters, winnowing
+from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, ngram_join, super_kmers, url_filters, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -167,5 +167,19 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans}
-SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL}
+def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_kmers.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs WHERE len(w) >= 50)),
+again AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY h) AS least FROM win) WHERE doc_id > least),
+gone AS (SELECT DISTINCT r, i + j AS i FROM again, range(50) t(j)),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM word ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (r)
+"""
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans, "op10_super_kmers": op10_super_kmers}
+SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL, "op10_super_kmers": OP10_SQL}

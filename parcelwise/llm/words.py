@@ -70,6 +70,7 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray  # bytes of text r: bounds[r]:bounds[r + 1]
 
     def __len__(self) -> int:
         return len(self.start)
@@ -122,7 +123,7 @@ def find_words(texts: pa.Array, word_bytes: np.ndarray = SPACED, lower: bool = F
         begins[edges] = inside[edges]
         ends[edges - 1] = inside[edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return Words(data, start, end, np.searchsorted(start, offsets))
+    return Words(data, start, end, np.searchsorted(start, offsets), offsets)
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
