@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, curve_packing, kd_shards, language_spans, line_rules, ngram_join, super_kmers, url_filters, winnowing
+from parcelwise.llm import compression_quality, context_trees, curve_packing, kd_shards, language_spans, line_rules, ngram_join, super_kmers, url_filters, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -130,6 +130,13 @@ def id_remainder(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+def op5_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = context_trees.score_texts(table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", id_remainder("doc_id", 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op6_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -181,5 +188,5 @@ kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (r)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans, "op10_super_kmers": op10_super_kmers}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op5_context_trees": op5_context_trees, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans, "op10_super_kmers": op10_super_kmers}
 SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL, "op10_super_kmers": OP10_SQL}
