@@ -133,3 +133,14 @@ def score(docs: DataFrame, model: CompressionModel, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(judge, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: CompressionModel, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more; decided where the rows are read."""
+    at = docs.columns.index(text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.scores(batch.column(at)) >= threshold))
+
+    return docs.mapInArrow(judge, docs.schema)

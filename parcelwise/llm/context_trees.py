@@ -29,7 +29,7 @@ from parcelwise.llm.words import SPACED, Words, find_words, slices
 from parcelwise.session import reliable
 
 DEPTH = 5
-CONTEXTS = 1 << 16
+CONTEXTS = 1 << 18
 HOT = 1 << 18
 CACHED = 2_000_000
 BUCKET_TOKENS = 6_000_000

@@ -222,15 +222,55 @@ def repeated_windows(docs: DataFrame, span: int = 50, id_col: str = "doc_id", te
     return marks.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "windows"))).alias("runs"))
 
 
-def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, least_heavy: int = 256) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) of every row.
+def _cut(starts, sizes, count: int, span: int) -> np.ndarray:
+    """Which of a text's words are covered by none of the runs of windows."""
+    edge = np.zeros(count + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + sizes + span - 1, -1)
+    return np.flatnonzero(np.cumsum(edge)[:-1] == 0)
 
-    kept_sha256 is over the kept words joined by one space; kept_text keeps the white space that follows each kept word.
-    """
+
+def _with_runs(docs: DataFrame, span: int, id_col: str, text_col: str, least_heavy: int) -> DataFrame:
+    """(row, text, start, windows): every row of ``docs`` as a struct, with its text's runs; null where there is none."""
     found = repeated_windows(docs, span, id_col, text_col, least_heavy).select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
-    joined = rows.join(found, (rows["doc_id"].cast("bigint") == found["run_id"]) & (rows["text_key"] == found["run_key"]), "left")
-    joined = joined.select("doc_id", "text", "runs.start", "runs.windows")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    joined = rows.join(found, (F.col("id") == F.col("run_id")) & (F.col("text_key") == F.col("run_key")), "left")
+    return joined.select("row", "text", "runs.start", "runs.windows")
+
+
+def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) of every row; kept_sha256 is over the kept words joined by one space."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                words = find_words(part.column(1), SPACED)
+                data, counts = words.data.tobytes(), words.counts
+                removed, digests = [], []
+                for i, (starts, sizes) in enumerate(zip(part.column(2), part.column(3))):
+                    if not starts.is_valid:
+                        kept = data[words.bounds[i] : words.bounds[i + 1]].split()
+                    else:
+                        stays = words.first[i] + _cut(np.asarray(starts.values), np.asarray(sizes.values), counts[i], span)
+                        kept = [data[a:b] for a, b in zip(words.start[stays], words.end[stays])]
+                    removed.append(int(counts[i]) - len(kept))
+                    digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
+                    names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+                )
+
+    found = _with_runs(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), span, "doc_id", "text", least_heavy)
+    found = found.select("row.doc_id", "text", "start", "windows")
+    id_type = found.schema["doc_id"].dataType.simpleString()
+    return found.mapInArrow(cut, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string")
+
+
+def cut_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256) -> DataFrame:
+    """``docs`` with all its columns, the repeated words cut from the text.
+
+    Kept words keep the white space after them; untouched texts stay as they are; rows that lose all their words go.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,28 +280,17 @@ def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text
                 following = np.concatenate((words.start[1:], [len(data)]))
                 if len(words):
                     following = np.minimum(following, words.bounds[1:][words.rows()])
-                removed, digests, kept = [], [], []
+                kept: list[str | None] = []
                 for i, (text, starts, sizes) in enumerate(zip(part.column(1), part.column(2), part.column(3))):
                     if not starts.is_valid:
-                        own = (text.as_py() or "").encode()
-                        removed.append(0)
-                        digests.append(hashlib.sha256(b" ".join(own.split())).hexdigest())
-                        kept.append(text.as_py() if with_text else None)
+                        kept.append(text.as_py())
                         continue
-                    edge = np.zeros(counts[i] + 1, np.int64)
-                    starts, sizes = np.asarray(starts.values), np.asarray(sizes.values)
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, starts + sizes + span - 1, -1)
-                    stays = words.first[i] + np.flatnonzero(np.cumsum(edge)[:-1] == 0)
-                    removed.append(int(counts[i]) - len(stays))
-                    digests.append(hashlib.sha256(b" ".join(data[a:b] for a, b in zip(words.start[stays], words.end[stays]))).hexdigest())
-                    kept.append(b"".join(data[a:b] for a, b in zip(words.start[stays], following[stays])).decode() if with_text else None)
-                arrays = [part.column(0), pa.array(counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(digests, pa.string())]
-                names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-                if with_text:
-                    arrays.append(pa.array(kept, pa.string()))
-                    names.append("kept_text")
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * with_text)
+                    stays = words.first[i] + _cut(np.asarray(starts.values), np.asarray(sizes.values), counts[i], span)
+                    kept.append(b"".join(data[a:b] for a, b in zip(words.start[stays], following[stays])).decode())
+                done = pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.string())], names=["row", "text"])
+                yield done.filter(pa.array([not s.is_valid or k != "" for s, k in zip(part.column(2), kept)], pa.bool_()))
+
+    found = _with_runs(docs, span, id_col, text_col, least_heavy)
+    row_type = found.schema["row"].dataType.simpleString()
+    done = found.mapInArrow(cut, f"row {row_type}, text string")
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
