@@ -27,6 +27,7 @@ def key_fold(key: Column, seed: int, folds: int) -> Column:
 
 
 def row_hash(columns: list[Column]) -> Column:
-    """32-bit hash of a row's text form; NULL and '' differ."""
-    parts = [F.coalesce(F.concat(F.lit("="), x.cast("string")), F.lit("~")) for x in columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
+    """A long in [0, 2**60) from a row's text form; each part carries its length, so no two rows have one form."""
+    texts = [x.cast("string") for x in columns]
+    parts = [F.coalesce(F.concat(F.length(x).cast("string"), F.lit("="), x), F.lit("~")) for x in texts]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")

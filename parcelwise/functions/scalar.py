@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def nan_to_null(x: Column) -> Column:
+def number(x: Column) -> Column:
+    """The value as a double, NaN as NULL: every numeric statistic counts NaN as missing."""
+    x = x.cast("double")
     return F.when(~F.isnan(x), x)
 
 
@@ -33,11 +35,6 @@ def ratio_or_zero(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def log1p_clipped(x: Column) -> Column:
-    """``log1p(max(x, 0))``, NULL kept."""
-    return F.log1p(clip_low(x.cast("double"), 0.0))
-
-
 def relative_band(x: Column, width: float) -> tuple[Column, Column]:
     """Lower and upper end of ``x`` plus or minus a relative width."""
     return x * (1 - width), x * (1 + width)

@@ -4,21 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .scalar import number
+
 
 def corrected_skewness(x: Column) -> Column:
     """Sample skewness G1 = g1 * sqrt(n(n-1)) / (n-2).
 
     NULL below three values; 0 for a constant column.
     """
+    x = number(x)
     n = F.count(x).cast("double")
-    g1 = F.skewness(x.cast("double"))
+    g1 = F.skewness(x)
     scaled = F.try_divide(g1 * F.sqrt(n * (n - 1)), n - 2)
     return F.when(n >= 3, F.coalesce(F.when(~F.isnan(scaled), scaled), F.lit(0.0)))
 
 
 def pairwise_correlation(a: Column, b: Column) -> Column:
     """Pearson correlation over rows where both are present; NULL if either is constant there."""
-    a, b = a.cast("double"), b.cast("double")
+    a, b = number(a), number(b)
     a_seen = F.when(b.isNotNull(), a)
     b_seen = F.when(a.isNotNull(), b)
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_seen) * F.stddev_pop(b_seen))

@@ -110,7 +110,7 @@ def fit_fill_and_scale(df: DataFrame, names: list[str], numeric: str = "median")
     """
     n_rows = df.count()
     x = F.col("x")
-    moments = {"n": F.count(x), "mean": F.avg(x), "var": F.var_pop(x)}
+    moments = {"n": F.count(x), "mean": F.avg(x), "var": F.var_pop(x), "low": F.min(x), "high": F.max(x)}
     fuse = numeric == "median" and n_rows <= DIRECT_LIMIT
     found = per_column(df, names, **moments, **({"median": F.percentile(x, F.lit(0.5))} if fuse else {}))
     if numeric == "median" and not fuse:
@@ -121,6 +121,10 @@ def fit_fill_and_scale(df: DataFrame, names: list[str], numeric: str = "median")
         r = found[n]
         fill[n] = r["median"] if numeric == "median" else r["mean"]
         gaps = n_rows - r["n"]
+        if r["low"] == r["high"] and (not gaps or fill[n] == r["low"] or numeric == "mean"):
+            fill[n] = mean[n] = r["low"]  # constant: moments would leave rounding dust to divide by
+            deviation[n] = 1.0
+            continue
         mean[n] = (r["n"] * r["mean"] + gaps * fill[n]) / n_rows
         var = (r["n"] * (r["var"] + (r["mean"] - mean[n]) ** 2) + gaps * (fill[n] - mean[n]) ** 2) / n_rows
         deviation[n] = math.sqrt(var) or 1.0
@@ -186,7 +190,8 @@ def narrow_types(df: DataFrame) -> DataFrame:
     kinds = dict(df.dtypes)
     if not wide:
         return df
-    ends = df.selectExpr(*[f"{f}({quote(n)}) AS {f}{i}" for i, n in enumerate(wide) for f in ("min", "max")]).head()
+    value = {n: f"nullif({quote(n)}, double('NaN'))" if kinds[n] == "double" else quote(n) for n in wide}
+    ends = df.selectExpr(*[f"{f}({value[n]}) AS {f}{i}" for i, n in enumerate(wide) for f in ("min", "max")]).head()
     target = {}
     for i, n in enumerate(wide):
         low, high = ends[2 * i], ends[2 * i + 1]

@@ -85,11 +85,23 @@ def _typed(df: DataFrame, rule: ColumnRule) -> str:
     if rule.dtype == "double":
         return f"nullif(try_cast({q} AS double), double('NaN'))"
     if rule.dtype in ("int", "long") and isinstance(kind, T.StringType):
-        whole = f"try_cast({q} AS double)"  # "7.0" is a whole number too
+        whole = f"try_cast({q} AS double)"  # "7.0" is a whole number too; beyond 2**53 only digits will do
         return f"coalesce(try_cast({q} AS {rule.dtype}), try_cast(CASE WHEN {whole} = floor({whole}) THEN {whole} END AS {rule.dtype}))"
+    if rule.dtype in ("int", "long") and isinstance(kind, (T.FractionalType, T.DecimalType)):
+        return f"CASE WHEN {q} = floor({q}) THEN try_cast({q} AS {rule.dtype}) END"
     return f"try_cast({q} AS {rule.dtype})"
 
 
+def _always_fits(kind: T.DataType, dtype: str) -> bool:
+    """Does every value of the source type have one in the declared type?"""
+    if dtype == "string":
+        return True
+    if dtype == "double":
+        return isinstance(kind, T.NumericType)
+    small = (T.ByteType, T.ShortType, T.IntegerType)
+    return isinstance(kind, small if dtype == "int" else (*small, T.LongType))
+
+
 def _failures(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]]:
     """``(column, check label, SQL condition of failure)`` for every rule on a column that is there."""
     have = set(df.columns)
@@ -98,7 +110,7 @@ def _failures(df: DataFrame, contract: Contract) -> list[tuple[str, str, str]]:
         if rule.column not in have:
             continue
         x, missing = _typed(df, rule), missing_test(df, rule.column)
-        if rule.dtype != "string" and not isinstance(df.schema[rule.column].dataType, T.NumericType):
+        if not _always_fits(df.schema[rule.column].dataType, rule.dtype):
             out.append((rule.column, f"is {rule.dtype}", f"(NOT {missing} AND {x} IS NULL)"))
         if not rule.nullable:
             out.append((rule.column, "not null", missing))

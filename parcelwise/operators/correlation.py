@@ -2,27 +2,17 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.names import c, number_literal, numeric_columns, per_column, quote, stacked
+from ..functions.names import number_literal, numeric_columns, per_column, quote, stacked
 from ..functions.stats import pairwise_correlation
 
-EXPRESSION_PAIRS = 15  # pairs written as plain aggregates; more go through one moment matrix
 PAIR_SCHEMA = "x string, y string, corr double"
 
 
-def _pair_rows(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), pairwise_correlation(c(a), c(b)).alias("corr")) for a, b in pairs
-    ])
-    return df.agg(rows.alias("rows")).select(F.inline("rows"))
-
-
 def _second_moments(vectors: DataFrame) -> np.ndarray:
     """E[v vT] of the vector column ``v``, from its means, variances and correlations."""
     s = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).select("s.*").head()
@@ -82,9 +72,6 @@ def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataF
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``x, y, corr`` for each unordered pair of distinct columns."""
     names = columns or numeric_columns(df)
-    pairs = list(combinations(names, 2))
-    if len(pairs) <= EXPRESSION_PAIRS:
-        return _pair_rows(df, pairs)
     order = F.array(*[F.lit(n) for n in names])
     return correlation_matrix(df, names).where(F.array_position(order, F.col("x")) < F.array_position(order, F.col("y")))
 

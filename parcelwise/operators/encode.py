@@ -13,6 +13,7 @@ from .profile import category_counts, label_shares
 
 LITERAL_LABELS = 1_000   # labels held in an expression; more are joined
 WIDE_LABELS = 2_000      # indicator columns one table may get
+BROADCAST_LABELS = 100_000  # kept labels that are sent to every task
 VECTOR_LABELS = 100_000  # labels one sparse encoder may hold
 
 
@@ -74,10 +75,12 @@ def apply_frequent_labels(df: DataFrame, fitted: FrequentLabels) -> DataFrame:
 def collapse_rare_labels(df: DataFrame, threshold: float, column: str, other: str = fixed.RARE_LABEL) -> DataFrame:
     """The same for one column with any number of kept labels, by a join with the label table.
 
-    The join side is left to Spark, which broadcasts it only below its size
-    limit and otherwise splits hot labels at run time.
+    At most ``1/threshold`` labels can be kept. Up to ``BROADCAST_LABELS`` they are sent to the tasks, so a hot label moves
+    no rows; beyond that the join is left to Spark.
     """
     keep = frequent_label_table(df, threshold, [column]).select(F.col("value").alias("__keep"))
+    if threshold * BROADCAST_LABELS >= 1:
+        keep = F.broadcast(keep)
     return df.join(keep, c(column) == F.col("__keep"), "left").select(
         *[F.coalesce("__keep", F.lit(other)).alias(n) if n == column else c(n) for n in df.columns])
 
@@ -152,8 +155,10 @@ class Scale:
 
 def fit_scale(df: DataFrame, columns: list[str] | None = None) -> Scale:
     names = columns or numeric_columns(df)
-    found = per_column(df, names, mean=F.avg("x"), deviation=F.stddev_pop("x"))
-    return Scale({n: r["mean"] for n, r in found.items()}, {n: r["deviation"] or 1.0 for n, r in found.items()})
+    found = per_column(df, names, mean=F.avg("x"), deviation=F.stddev_pop("x"), low=F.min("x"), high=F.max("x"))
+    same = {n for n, r in found.items() if r["low"] == r["high"]}
+    return Scale(
+        {n: r["low"] if n in same else r["mean"] for n, r in found.items()}, {n: 1.0 if n in same else r["deviation"] or 1.0 for n, r in found.items()})
 
 
 def apply_scale(df: DataFrame, fitted: Scale) -> DataFrame:

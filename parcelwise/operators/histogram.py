@@ -7,13 +7,13 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import c
-from ..functions.scalar import equal_width_bin
+from ..functions.scalar import equal_width_bin, number
 from .order_stats import column_quantiles, grouped_quantiles
 
 
 def auto_bins(df: DataFrame, column: str) -> tuple[float, float, int]:
     """``low, width, bins`` by the finer of the Sturges and Freedman-Diaconis rules."""
-    x = c(column).cast("double")
+    x = number(c(column))
     n, low, high = df.agg(F.count(x), F.min(x), F.max(x)).head()
     if not n or high == low:
         return (low if n else 0.0) - 0.5, 1.0, 1
@@ -30,7 +30,7 @@ def histogram(df: DataFrame, column: str, low: float | None = None, width: float
 
     With the automatic rule the last bin also holds the maximum.
     """
-    x = c(column).cast("double")
+    x = number(c(column))
     if width is None:
         low, width, bins = auto_bins(df, column)
         index = F.least(equal_width_bin(x, low, width), F.lit(bins - 1).cast("long"))
@@ -45,7 +45,7 @@ def histogram(df: DataFrame, column: str, low: float | None = None, width: float
 
 def banded_histogram(df: DataFrame, column: str, edges: list[float]) -> DataFrame:
     """``band, lower, n, share`` over given lower edges; the last band is open above."""
-    x = c(column).cast("double")
+    x = number(c(column))
     band = sum((F.when(x >= e, 1).otherwise(0) for e in edges), F.lit(0)) - 1
     counted = df.where(x >= edges[0]).groupBy(band.cast("long").alias("band")).agg(F.count(F.lit(1)).alias("n"))
     total = df.agg(F.count(x)).head()[0]
@@ -53,15 +53,14 @@ def banded_histogram(df: DataFrame, column: str, edges: list[float]) -> DataFram
     return counted.select("band", lower.alias("lower"), "n", F.try_divide(F.col("n").cast("double"), F.lit(float(total))).alias("share"))
 
 
-def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | None = None) -> DataFrame:
+def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | None = 2048) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid from minimum to maximum.
 
-    ``point, x, density``. Every value adds to every grid point before the
-    map-side combine, so the shuffle carries ``points`` rows per task. ``bins``
-    first counts the values in that many equal bins and spreads each bin's
-    centre instead, which makes the kernel work independent of the row count.
+    ``point, x, density``. Values are first counted in ``bins`` equal bins and each bin's centre is spread over the grid, so
+    the kernel work does not depend on the row count. ``bins=None`` counts equal values instead, which is exact and costs
+    ``points`` rows for every distinct value.
     """
-    v = c(column).cast("double")
+    v = number(c(column))
     n, low, high, spread = df.agg(F.count(v), F.min(v), F.max(v), F.stddev_samp(v)).head()
     if not n or n < 2 or not spread:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
@@ -69,7 +68,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | Non
     step = (high - low) / (points - 1)
     values = df.select(v.alias("v")).where(F.col("v").isNotNull())
     if bins is None:
-        weighted = values.withColumn("w", F.lit(1.0))
+        weighted = values.groupBy("v").agg(F.count(F.lit(1)).cast("double").alias("w"))
     else:
         width = (high - low) / bins
         index = F.least(equal_width_bin(F.col("v"), low, width), F.lit(bins - 1).cast("long"))
@@ -84,7 +83,7 @@ def density_curve(df: DataFrame, column: str, points: int = 200, bins: int | Non
 
 def scatter_grid(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> DataFrame:
     """``x_bin, y_bin, n``: counts on a grid instead of one mark per row."""
-    a, b = c(x).cast("double"), c(y).cast("double")
+    a, b = number(c(x)), number(c(y))
     return df.where(a.isNotNull() & b.isNotNull()).groupBy(
         equal_width_bin(a, 0.0, x_width).alias("x_bin"), equal_width_bin(b, 0.0, y_width).alias("y_bin"),
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -92,7 +91,7 @@ def scatter_grid(df: DataFrame, x: str, y: str, x_width: float, y_width: float)
 
 def regression_line(df: DataFrame, x: str, y: str) -> DataFrame:
     """``n, slope, intercept, low, high``: the line through a scatter and the ends of its diagonal."""
-    a, b = c(x).cast("double"), c(y).cast("double")
+    a, b = number(c(x)), number(c(y))
     both = F.when(a.isNotNull() & b.isNotNull(), b)
     return df.agg(
         F.regr_count(b, a).alias("n"), F.regr_slope(b, a).alias("slope"), F.regr_intercept(b, a).alias("intercept"),

@@ -62,9 +62,10 @@ def derived_features(df: DataFrame) -> dict[str, Column]:
     def x(name: str) -> Column:
         return c(name) if name in have else F.lit(0)
 
+    # fixed values: the published formulas, in their order
     return {
         "TotalSF": x("Total Bsmt SF") + x("1st Flr SF") + x("2nd Flr SF"),
-        "TotalBath": x("Full Bath") + x("Bsmt Full Bath") + (x("Half Bath") + x("Bsmt Half Bath")) * F.lit(0.5),
+        "TotalBath": x("Full Bath") + 0.5 * x("Half Bath") + x("Bsmt Full Bath") + 0.5 * x("Bsmt Half Bath"),
         "PorchSF": x("Open Porch SF") + x("Enclosed Porch") + x("3Ssn Porch") + x("Screen Porch"),
         "HouseAge": clip_low(x("Yr Sold") - x("Year Built")),
         "RemodelAge": clip_low(x("Yr Sold") - x("Year Remod/Add")),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.hashing import row_hash
 from ..functions.names import c, long_numbers, long_row, numeric_columns, per_column, quote, stacked, text_columns, text_literal
+from ..functions.scalar import number
 from ..functions.stats import corrected_skewness, mode_smallest
 from .order_stats import column_quantiles
 
@@ -39,7 +40,7 @@ def schema_report(df: DataFrame) -> DataFrame:
     """``column, dtype, non_null, n_rows`` for every column."""
     return long_row(df, df.columns, {
         "dtype": [text_literal(t) for _, t in df.dtypes],
-        "non_null": [f"count({quote(n)})" for n in df.columns],
+        "non_null": [f"count_if(NOT {missing_test(df, n)})" for n in df.columns],
         "n_rows": ["count(*)" for _ in df.columns],
     })
 
@@ -71,7 +72,8 @@ def label_shares(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``category_counts`` plus each label's share of the column's present values."""
     counts = category_counts(df, columns)
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "column").select("column", "value", "n", (F.col("n") / F.col("total")).alias("share"))
+    return counts.join(F.broadcast(totals), "column").select(  # one row for each column asked for
+        "column", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
 def modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
@@ -131,7 +133,7 @@ def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def target_summary(df: DataFrame, target: str) -> DataFrame:
     """``count, mean, median, std, min, p25, p75, max`` of one column."""
     q = column_quantiles(df, {target: [0.25, 0.5, 0.75]})[target]
-    x = c(target).cast("double")
+    x = number(c(target))
     return df.agg(
         F.count(x).alias("count"), F.avg(x).alias("mean"), F.lit(q[1]).cast("double").alias("median"),
         F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.lit(q[0]).cast("double").alias("p25"),

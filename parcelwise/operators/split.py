@@ -25,6 +25,8 @@ def quantile_edges(
 
 def quantile_bin(x: Column, edges: list[float]) -> Column:
     """Zero-based right-closed bin; the lowest value belongs to the first. NULL for a missing value or one outside the edges."""
+    if not edges:  # an empty table
+        return F.lit(None).cast("int")
     inner = sum((F.when(x > e, 1).otherwise(0) for e in edges[1:-1]), F.lit(0))
     return F.when(x.between(edges[0], edges[-1]), inner)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import fixed_values as fixed
 from ..functions.names import c, quote, replace_columns
 from ..operators import clean, contracts, correlation, encode, histogram, housing, metrics, models, order_stats, profile, split, tuning
-from ..session import scratch_dir, spread
+from ..session import scratch_dir, spread, use_checkpoints
 from ..sources import tabular
 from ..sources.homes import canonical, homes, homes_bad, table
 from ..streaming.score_stream import read_request_stream, start_scoring
@@ -81,8 +81,7 @@ def csv_scan(spark, d):
 def normalise_names(spark, d):
     """An underscore-named table with coordinates and worded ratings comes back canonical."""
     words = F.create_map(*[F.lit(x) for k, v in fixed.ORDINAL_LABELS.items() for x in (v, k.replace(" ", "_"))])
-    odd = {"SalePrice": "Sale_Price", "Yr Sold": "Year_Sold", "1st Flr SF": "First_Flr_SF", "2nd Flr SF": "Second_Flr_SF",
-           "3Ssn Porch": "Three_season_porch", "Year Remod/Add": "Year_Remod_Add"}
+    odd = {name: other.replace(" ", "_") for other, name in fixed.NAME_OVERRIDES.items()}
     df = canonical(homes(spark, d))
     df = df.withColumn("Overall Qual", F.element_at(words, c("Overall Qual"))).withColumn("Overall Cond", F.element_at(words, c("Overall Cond")))
     df = df.toDF(*[odd.get(n, n.replace(" ", "_")) for n in df.columns]).withColumns({"Longitude": F.lit(1.0), "Latitude": F.lit(2.0)})
@@ -256,7 +255,7 @@ def price_bands(spark, d):
 
 @query
 def density_curve(spark, d):
-    curve = histogram.density_curve(homes(spark, d), "sale_price", 200)
+    curve = histogram.density_curve(homes(spark, d), "sale_price", 200, bins=None)
     return curve.select("point", rounded("x", 4).alias("x"), rounded(F.col("density") * 1e6).alias("density_e6"))
 
 
@@ -527,6 +526,7 @@ def fold_scores(spark, d):
 
 def _matrix(spark, d, log: bool = True, scale: bool = False) -> DataFrame:
     """Feature vectors with label, fold and split, fitted on the train rows."""
+    use_checkpoints(spark)  # long boosted fits cut their lineage there
     df = canonical(homes(spark, d))
     df = split.with_fold(split.random_split(df, "PID"), "PID")
     df = df.withColumn("label", F.log1p("SalePrice") if log else c("SalePrice"))
@@ -570,9 +570,9 @@ def random_search(spark, d):
 
 @query
 def feature_importance(spark, d):
-    data = _matrix(spark, d)
+    data = _matrix(spark, d).persist()
     model = models.boosted_trees(trees=8).fit(data.where(F.col("split") == "train"))
-    return round_doubles(models.feature_importance(model, stages.feature_names(data), spark))
+    return settled(round_doubles(models.feature_importance(model, stages.feature_names(data), spark)), data)
 
 
 @query

@@ -177,9 +177,9 @@ ORACLES["label_shares"] = union([
     f"""SELECT '{n}' AS "column", {n} AS value, count(*) AS n, {r('count(*) / sum(count(*)) OVER ()')} AS share
  FROM part WHERE {n} IS NOT NULL GROUP BY {n}""" for n in ("p_brand", "p_type")])
 ORDER_TEXT = " || '|' || ".join(
-    f"coalesce('=' || CAST({n} AS VARCHAR), '~')"
+    f"coalesce(CAST(length(CAST({n} AS VARCHAR)) AS VARCHAR) || '=' || CAST({n} AS VARCHAR), '~')"
     for n in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
-ORACLES["fingerprint"] = f"SELECT count(*) AS n_rows, CAST(sum(('0x' || substr(md5({ORDER_TEXT}), 1, 8))::BIGINT) AS VARCHAR) AS fingerprint FROM orders"
+ORACLES["fingerprint"] = f"SELECT count(*) AS n_rows, CAST(sum(('0x' || substr(md5({ORDER_TEXT}), 1, 15))::BIGINT) AS VARCHAR) AS fingerprint FROM orders"
 ORACLES["group_quartiles"] = ORACLES["group_quartiles_narrowed"] = f"""
 SELECT l_returnflag, count(l_extendedprice) AS n, {r('quantile_cont(l_extendedprice, 0.25)', 4)} AS p25,
  {r('median(l_extendedprice)', 4)} AS p50, {r('quantile_cont(l_extendedprice, 0.75)', 4)} AS p75 FROM lineitem GROUP BY 1"""

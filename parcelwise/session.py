@@ -66,10 +66,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/parcelwise/{name}-{uuid.uuid4().hex}"
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Name the shared folder as the place of checkpoints, for ``reliable`` and for the periodic ones of long fits."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a checkpoint that outlives lost executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
+    use_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
