@@ -77,6 +77,15 @@ def csv_scan(spark, d):
     return tabular.read_csv(spark, path)
 
 
+@query
+def csv_orders(spark, d):
+    """Keys of nineteen digits through a written CSV."""
+    path = scratch_dir(spark, "orders-csv")
+    wide = F.lit(9_000_000_000_000_000_000).cast("bigint") + F.col("o_orderkey")
+    table(spark, d, "orders").select(wide.alias("id"), "o_totalprice", "o_orderpriority").write.option("header", True).csv(path)
+    return tabular.read_csv(spark, path)
+
+
 @query
 def normalise_names(spark, d):
     """An underscore-named table with coordinates and worded ratings comes back canonical."""
@@ -127,6 +136,29 @@ def contract_quarantine(spark, d):
     return bad.select("pid", F.size("reasons").alias("n_reasons"))
 
 
+TYPED_RULES = contracts.Contract("typed orders", (
+    contracts.ColumnRule("year", "int", False, (contracts.between(1800, 2025),)), contracts.ColumnRule("n", "int", False, (contracts.at_most(5),))))
+
+
+def _typed_orders(spark, d) -> DataFrame:
+    """Numbers that their declared whole type cannot hold: too large, fractions, NaN."""
+    return table(spark, d, "orders").selectExpr(
+        "o_orderkey",
+        "CASE o_orderkey % 5 WHEN 0 THEN 1e30D WHEN 1 THEN 7.5D WHEN 2 THEN double('NaN') ELSE CAST(1990 + o_orderkey % 50 AS double) END AS year",
+        "CASE WHEN o_orderkey % 7 = 0 THEN 10000000000L + o_orderkey ELSE CAST(o_orderkey % 10 AS bigint) END AS n")
+
+
+@query
+def contract_overflow_counts(spark, d):
+    return contracts.violation_counts(_typed_orders(spark, d), TYPED_RULES)
+
+
+@query
+def contract_overflow_valid(spark, d):
+    valid, _ = contracts.split_valid(_typed_orders(spark, d), TYPED_RULES)
+    return valid
+
+
 @query
 def homes_contract_counts(spark, d):
     return contracts.violation_counts(canonical(homes(spark, d)), housing.RAW_CONTRACT)
@@ -179,6 +211,26 @@ def target_summary(spark, d):
     return round_doubles(profile.target_summary(homes(spark, d), "sale_price"), 4)
 
 
+def _nan_lines(spark, d) -> DataFrame:
+    """Lines whose price is NaN on every first line of an order."""
+    return lines(spark, d).selectExpr("l_quantity", "CASE WHEN l_linenumber = 1 THEN double('NaN') ELSE l_extendedprice END AS price")
+
+
+@query
+def target_summary_nan(spark, d):
+    return round_doubles(profile.target_summary(_nan_lines(spark, d), "price"), 4)
+
+
+@query
+def corr_nan(spark, d):
+    return round_doubles(correlation.correlation_pairs(_nan_lines(spark, d), ["l_quantity", "price"]))
+
+
+@query
+def histogram_nan(spark, d):
+    return histogram.histogram(_nan_lines(spark, d), "price", 0.0, 2500.0)
+
+
 @query
 def category_counts(spark, d):
     return profile.category_counts(homes(spark, d))
@@ -617,6 +669,24 @@ def model_meta(spark, d):
     return round_doubles(registry.metrics_table(registry.load_meta(spark, path)))
 
 
+@query
+def train_and_save(spark, d):
+    """One training run: compare on val, refit the winner on train, save it with its metrics, and read those back."""
+    df = split.random_split(homes(spark, d).select("pid", "neighborhood", "gr_liv_area", F.col("sale_price").alias("label")), "pid")
+    candidates = {
+        "groups": _group_tree(),
+        "area": Pipeline(stages=[VectorAssembler(inputCols=["gr_liv_area"], outputCol="features"), models.linear_regression()]),
+    }
+    _, found = models.compare_models(df, candidates)
+    best = metrics.best_by(found.where(F.col("dataset") == "val")).first()["model"]
+    model = tuning.refit(df, candidates[best])
+    scored = metrics.regression_metrics(model.transform(df), "label", "prediction", ["split"]).where(F.col("split") != "train").collect()
+    scores = {r["split"]: {n: r[n] for n in ("r2", "rmse", "mae", "mape")} for r in scored}
+    path = registry.save_model(spark, model, scratch_dir(spark, "registry"), ["neighborhood", "gr_liv_area"], scores, {}, "r1", best)
+    registry.load_model(spark, path)
+    return round_doubles(registry.metrics_table(registry.load_meta(spark, path)))
+
+
 # homes columns by request field; the other fields take their defaults.
 REQUEST_SOURCE = {
     "OverallQual": "overall_qual", "GrLivArea": "gr_liv_area", "YearBuilt": "year_built", "YearRemodAdd": "year_remod_add",

@@ -198,6 +198,21 @@ ORACLES["corr_lineitem"] = union([
     f"SELECT '{a}' AS x, '{b}' AS y, {r(f'corr({a}, {b})')} AS corr FROM lineitem"
     for i, a in enumerate(LINE_FACTORS) for b in LINE_FACTORS[i + 1:]])
 
+NAN_LINES = "WITH lines AS (SELECT l_quantity, CASE WHEN l_linenumber <> 1 THEN l_extendedprice END AS price FROM lineitem) "
+ORACLES["target_summary_nan"] = NAN_LINES + (
+    f"""SELECT count(price) AS count, {r('avg(price)', 4)} AS mean, {r('median(price)', 4)} AS median, {r('stddev_samp(price)', 4)} AS std,
+ {r('min(price)', 4)} AS min, {r('quantile_cont(price, 0.25)', 4)} AS p25, {r('quantile_cont(price, 0.75)', 4)} AS p75, {r('max(price)', 4)} AS max FROM lines""")
+ORACLES["corr_nan"] = NAN_LINES + f"SELECT 'l_quantity' AS x, 'price' AS y, {r('corr(l_quantity, price)')} AS corr FROM lines"
+ORACLES["histogram_nan"] = NAN_LINES + """SELECT CAST(floor(price / 2500.0E0) AS BIGINT) AS bin, floor(price / 2500.0E0) * 2500.0E0 AS lower,
+ floor(price / 2500.0E0) * 2500.0E0 + 2500.0E0 AS upper, count(*) AS n FROM lines WHERE price IS NOT NULL GROUP BY 1, 2, 3"""
+ORACLES["csv_orders"] = "SELECT 9000000000000000000 + o_orderkey AS id, o_totalprice, o_orderpriority FROM orders"
+TYPED_ORDERS = """WITH t AS (SELECT o_orderkey, o_orderkey % 5 AS k, 1990 + o_orderkey % 50 AS year, o_orderkey % 7 = 0 AS large, o_orderkey % 10 AS n FROM orders) """
+ORACLES["contract_overflow_counts"] = TYPED_ORDERS + union([
+    f"""SELECT '{column}' AS "column", '{check}' AS "check", count(*) FILTER ({fails}) AS n FROM t""" for column, check, fails in (
+        ("year", "is int", "k IN (0, 1)"), ("year", "not null", "k = 2"), ("year", "in [1800, 2025]", "k IN (3, 4) AND year > 2025"),
+        ("n", "is int", "large"), ("n", "not null", "false"), ("n", "<= 5", "NOT large AND n > 5"))])
+ORACLES["contract_overflow_valid"] = TYPED_ORDERS + "SELECT o_orderkey, year, n FROM t WHERE k IN (3, 4) AND year <= 2025 AND NOT large AND n <= 5"
+
 # --- plot data
 ORACLES["histogram_fixed"] = """SELECT CAST(floor(l_extendedprice / 2500.0E0) AS BIGINT) AS bin, floor(l_extendedprice / 2500.0E0) * 2500.0E0 AS lower,
  floor(l_extendedprice / 2500.0E0) * 2500.0E0 + 2500.0E0 AS upper, count(*) AS n FROM lineitem GROUP BY 1, 2, 3"""
@@ -343,6 +358,12 @@ ORACLES["best_model"] = homes(FORMULAS + f", m AS (SELECT model, split, {scores(
 ORACLES["model_meta"] = homes(
     FORMULAS + f", m AS (SELECT split AS dataset, {scores()} FROM pr WHERE model = 'by quality and area' GROUP BY 1) "
     + union([f"SELECT 'formula' AS model_type, '0.1.0' AS version, dataset, '{n}' AS metric, {n} AS value FROM m" for n in ("r2", "rmse", "mae", "mape")]))
+ORACLES["train_and_save"] = homes(f""", sp AS (SELECT pid, neighborhood, gr_liv_area, sale_price AS y, {split_of('pid')} AS split FROM homes),
+g AS (SELECT neighborhood, avg(y) AS p FROM sp WHERE split = 'train' GROUP BY 1),
+l AS (SELECT regr_slope(y, gr_liv_area) AS a, regr_intercept(y, gr_liv_area) AS b FROM sp WHERE split = 'train'),
+pr AS (SELECT 'groups' AS model, split, y, p FROM sp JOIN g USING (neighborhood) UNION ALL SELECT 'area', split, y, a * gr_liv_area + b FROM sp, l),
+m AS (SELECT model, split AS dataset, {scores()} FROM pr GROUP BY 1, 2), best AS (SELECT model FROM m WHERE dataset = 'val' ORDER BY rmse, model LIMIT 1) """
+    + union([f"SELECT model AS model_type, '0.1.0' AS version, dataset, '{n}' AS metric, {n} AS value FROM m JOIN best USING (model) WHERE dataset <> 'train'" for n in ("r2", "rmse", "mae", "mape")]))
 ORACLES["ols_single"] = homes(f"""SELECT {r('regr_slope(sale_price, gr_liv_area)')} AS slope, {r('regr_intercept(sale_price, gr_liv_area)', 4)} AS intercept,
  {r('regr_r2(sale_price, gr_liv_area)')} AS r2 FROM homes""")
 ORACLES["ols_pair"] = homes(f""", m AS (SELECT avg(sale_price) AS y, avg(overall_qual) AS a, avg(gr_liv_area) AS b, var_pop(overall_qual) AS aa, var_pop(gr_liv_area) AS bb,
