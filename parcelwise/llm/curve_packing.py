@@ -8,7 +8,7 @@ padded there either. The texts are shuffled once and encoded once, after the shu
 the range bounds are sampled from it.
 
 Encoding goes word by word: the vocabulary never joins across ASCII white space, so each distinct word of a slice is encoded
-once (with a bounded cache between slices) and the ids are gathered with numpy.
+once (with a bounded cache between slices and tasks) and the ids are gathered with numpy.
 
 Defined results: a null text is an empty one and gives the single end id; repeated rows are packed each; ids may be null
 or of any type; an empty table gives no pieces; only the named columns are read.
@@ -19,16 +19,18 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from parcelwise.llm.words import SPACED, Words, find_words, mix, slices
+from parcelwise.llm.words import LOWER, SPACED, Words, find_words, mix, slices
 
 DIMENSIONS, BITS = 4, 15
-CACHED_WORDS = 200_000
+CACHED_WORDS = 700_000
 #: How far a mean coordinate of 1 lies out before it is squeezed into (0, 1).
 SCALE = 8.0
 
@@ -75,40 +77,109 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
+#: ASCII letters and everything outside ASCII; ASCII marks.
+_LETTERS = np.array([0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
+_MARKS = np.array([0x21 <= b <= 0x7E and not chr(b).isalnum() for b in range(256)])
+
+
+def word_pieces(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, is lower-cased, where each text's pieces begin): words, cut where letters at their start meet an ASCII mark.
+
+    A vocabulary that sets letters and other signs apart encodes both parts as it would the word: the last letter
+    is one for sure (ASCII or Latin-1), nothing combines with an ASCII mark, and no contraction or special token ends in front
+    of one. It leaves far fewer distinct pieces than words.
+    """
+    data, start, end = words.data, words.start, words.end
+    other = np.append(np.flatnonzero(~_LETTERS[data]), len(data))
+    cut = other[np.searchsorted(other, start)]
+    inside = (cut > start) & (cut < end)
+    at = np.where(inside, cut, start + 1)
+    last, before = data[at - 1], data[np.maximum(at - 2, 0)]
+    letter = (last < 0x80) | ((before == 0xC3) & (last != 0x97) & (last != 0xB7) & (at - 2 >= start))
+    split = inside & letter & _MARKS[data[np.minimum(at, len(data) - 1)]] if len(data) else inside
+    whole = ~inside & (cut >= end)  # letters only
+    n = 1 + split
+    stops = np.cumsum(n)
+    head = stops - n
+    piece_start, piece_end, low = np.empty(stops[-1] if len(stops) else 0, np.int64), np.empty(stops[-1] if len(stops) else 0, np.int64), np.zeros(stops[-1] if len(stops) else 0, bool)
+    piece_start[head], piece_end[head], low[head] = start, np.where(split, cut, end), split | whole
+    tail = head[split] + 1
+    piece_start[tail], piece_end[tail] = cut[split], end[split]
+    return piece_start, piece_end, low, np.concatenate(([0], stops))[words.first]
+
+
+def distinct_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each piece's string, a place of each string); found by hash, then compared byte by byte."""
+    whole = np.array([0, len(start)])
+    code, _ = pd.factorize(Words(data, start, end, whole, np.array([0, len(data)])).hashes())
+    at = np.zeros(code.max(initial=-1) + 1, np.int64)
+    at[code[::-1]] = np.arange(len(code))[::-1]
+    length = end - start
+    same = (length == length[at][code]).all()
+    if same and len(start):
+        twin = np.repeat(start[at][code] - start, length) + np.arange(len(data))
+        same = (data[twin] == data).all()
+    if not same:  # two strings with one hash
+        raw = data.tobytes()
+        code, strings = pd.factorize(np.array([raw[a:b] for a, b in zip(start, end)], object))
+        at = np.zeros(len(strings), np.int64)
+        at[code[::-1]] = np.arange(len(code))[::-1]
+    return code.astype(np.int64), at
+
+
 class WordEncoder:
-    """Ids of texts by way of their distinct words."""
+    """Ids of texts by way of their distinct pieces. One for each vocabulary and Python worker, so tasks share what is known."""
+
+    made: dict[str, WordEncoder] = {}
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # the number of a piece
+        self.ids, self.stops = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # piece i: ids[stops[i]:stops[i + 1]]
+
+    def _learn(self, pieces: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), np.uint32)))
+        self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))))
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        if path not in cls.made:
+            cls.made[path] = cls(path)
+        return cls.made[path]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, each with ``end_id`` at its end; where each text begins)."""
         words = find_words(texts, SPACED)
-        length = words.end - words.start
-        offsets = np.concatenate(([0], np.cumsum(length)))
-        data = np.ascontiguousarray(words.data[SPACED[words.data]])
-        column = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).dictionary_encode()
-        distinct = column.dictionary.to_pylist()
+        start, end, low, first = word_pieces(words)
+        length = end - start
+        stops = np.cumsum(length)
+        data = words.data[SPACED[words.data]]  # pieces cover the words without a gap
+        data = np.where(np.repeat(low, length), LOWER[data], data)
+        code, at = distinct_pieces(data, stops - length, stops)
+        raw = data.tobytes()
+        distinct = [raw[a:b].decode() for a, b in zip((stops - length)[at].tolist(), stops[at].tolist())]
         new = [w for w in distinct if w not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, distinct
-        for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, np.uint32)
-        end = np.array([end_id], np.uint32)
-        tables = [*(self.known[w] for w in distinct), end]
-        size = np.array([len(t) for t in tables], np.int64)
-        place = np.concatenate(([0], np.cumsum(size)))[:-1]
-        table = np.concatenate(tables)
-        # each text's words, then its end
-        code = np.insert(column.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.first[1:], len(distinct))
+            self._forget()
+            new = distinct
+        self._learn(new)
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        place, size = np.append(self.stops[number], len(self.ids)), np.append(self.stops[number + 1] - self.stops[number], 1)
+        table = np.append(self.ids, np.uint32(end_id))
+        # each text's pieces, then its end
+        code = np.insert(code, first[1:], len(distinct))
         sizes = size[code]
         stops = np.cumsum(sizes)
         ids = table[np.repeat(place[code] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
-        ends = stops[words.first[1:] + np.arange(len(words.first) - 1)] if len(stops) else np.zeros(0, np.int64)
+        ends = stops[first[1:] + np.arange(len(first) - 1)] if len(stops) else np.zeros(0, np.int64)
         return ids, np.concatenate(([0], ends))
 
 
@@ -134,7 +205,7 @@ def pack(
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(key)], names=["doc_id", "text", "check", "key"])
 
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = WordEncoder.of(tokenizer_path)
         base = TaskContext.get().partitionId() << 32
         sequence, filled = 0, 0
         held: list[tuple] = []  # pieces of the sequence that is being filled
@@ -143,7 +214,7 @@ def pack(
             return doc, start, size, zlib.crc32(np.ascontiguousarray(ids[start : start + size], "<u4").tobytes()), total, base + sequence, at, ids[start : start + size]
 
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 4 << 20):
                 done: list[tuple] = []
                 ids, first = encoder.encode(part.column(1), end_id)
                 for doc, a, b in zip(part.column(0).to_pylist(), first[:-1], first[1:]):
