@@ -5,10 +5,14 @@
    of bounded size. Any order gives right results; this one keeps phrases that many texts share out of the prefixes.
 2. Two sets with Jaccard t or more share an n-gram among the first n - ceil(t n) + 1 of each. Those prefixes are
    shuffled by n-gram; n-grams with one class only drop out.
-3. Candidates are verified by fragments: the order is cut into ``FRAGMENTS`` ranges, each set into segments, the overlap of
+3. A set's counts in ``PARTS`` ranges of the hash bound every overlap: no more than the lesser count in each range can be
+   common. Most candidates that share some n-gram by chance fall by that bound before any set is sent.
+   The others are verified by fragments: the order is cut into ``FRAGMENTS`` ranges, each set into segments, the overlap of
    two segments is counted by itself (``array_intersect``), and partial overlaps are summed by pair.
-4. Links are sought in two rounds. First each n-gram's classes are tested against the first of them and against
-   their neighbours in size: linear in the rows. Their links give components; then all pairs that
+4. A pair is formed under an n-gram only if the ranks of that n-gram in both sets leave the similarity possible, were it the
+   first they share; so near copies with many changes do not meet under the n-grams that all have.
+5. Links are sought in two rounds. First each n-gram's classes are tested against the one in which it ranks first (of near
+   copies, the one with fewest changes) and against their neighbours in size: linear in the rows. Their links give components; then all pairs that
    share a prefix n-gram but not yet a component, and fit in size, are tested. A pair within one component is never needed,
    so a large group of near copies is not spelled out, and no link between two groups can be missed.
 
@@ -35,6 +39,8 @@ from parcelwise.session import reliable
 
 SLOTS = 1 << 16
 FRAGMENTS = 8
+#: Parts of the hash range whose counts bound an overlap from above, one byte each; FULL stands for itself and more.
+PARTS, FULL = 256, 255
 
 
 def ngram_sets(texts: pa.Array, n: int, slot_counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -69,31 +75,40 @@ def _class_keys(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return sums[0], sums[1]
 
 
+def _part_counts(value: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The counts of each set's hashes by range."""
+    rows = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    counts = np.bincount(rows * PARTS + (value >> np.uint64(24) & np.uint64(PARTS - 1)).astype(np.int64), minlength=PARTS * (len(first) - 1))
+    raw = np.minimum(counts, FULL).astype(np.uint8)
+    offsets = np.arange(len(first), dtype=np.int32) * PARTS
+    return pa.BinaryArray.from_buffers(pa.binary(), len(first) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
 def _read(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, size, c, slot, seen): a row for each document and, with slot, a row for each slot a task has counted."""
+    """(doc_id, size, c1, c2, parts, seen): a row for each document, and one with ``seen`` for the slots that a task has counted."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SLOTS, np.int64)
-        names = ["doc_id", "size", "c1", "c2", "seen"]
+        names = ["doc_id", "size", "c1", "c2", "parts", "seen"]
         for batch in batches:
             for part in slices(batch, 1):
                 value, first = ngram_sets(part.column(1), n)
                 seen += np.bincount((value >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
                 c1, c2 = _class_keys(value, first)
                 nothing = pa.nulls(part.num_rows, pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(c1), pa.array(c2), nothing], names=names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(first)), pa.array(c1), pa.array(c2), _part_counts(value, first), nothing], names=names)
         if seen.any():
             ids = pa.nulls(1, id_arrow)
             zero = pa.array([0], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, zero, zero, zero, pa.array([seen], pa.list_(pa.int64()))], names=names)
+            yield pa.RecordBatch.from_arrays([ids, zero, zero, zero, pa.nulls(1, pa.binary()), pa.array([seen], pa.list_(pa.int64()))], names=names)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     id_arrow = docs.limit(0).select("doc_id").toArrow().schema.field(0).type
-    return docs.mapInArrow(scan, f"doc_id {id_type}, size bigint, c1 bigint, c2 bigint, seen array<bigint>")
+    return docs.mapInArrow(scan, f"doc_id {id_type}, size bigint, c1 bigint, c2 bigint, parts binary, seen array<bigint>")
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, slots: Broadcast) -> DataFrame:
-    """(gram, c1, c2, size): the first n-grams of every set, enough that linked sets share one."""
+    """(gram, c1, c2, place): the first n-grams of every set, enough that linked sets share one; place is the set's size and the n-gram's rank in it."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,23 +118,43 @@ def _prefixes(docs: DataFrame, n: int, percent: int, slots: Broadcast) -> DataFr
                 size = np.diff(first)
                 length = np.where(size > 0, size - -(-size * percent // 100) + 1, 0)
                 stops = np.cumsum(length)
-                taken = value[np.repeat(first[:-1] - (stops - length), length) + np.arange(length.sum())]
+                rank = np.arange(length.sum()) - np.repeat(stops - length, length)
+                taken = value[np.repeat(first[:-1], length) + rank]
+                place = np.repeat(size, length) << 32 | rank
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(taken.view(np.int64)), *(pa.array(np.repeat(x, length)) for x in (c1, c2, size))], names=["gram", "c1", "c2", "size"]
+                    [pa.array(taken.view(np.int64)), *(pa.array(np.repeat(x, length)) for x in (c1, c2)), pa.array(place)], names=["gram", "c1", "c2", "place"]
                 )
 
-    return docs.mapInArrow(scan, "gram bigint, c1 bigint, c2 bigint, size bigint")
+    return docs.mapInArrow(scan, "gram bigint, c1 bigint, c2 bigint, place bigint")
+
+
+def _may_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b, na, nb) whose counts by range leave the similarity possible, with the documents that stand for them."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(x.as_py() for x in batch.column(name)), np.uint8).reshape(-1, PARTS) for name in ("parts_a", "parts_b"))
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            most = np.where(((a == FULL) & (b == FULL)).any(axis=1), np.minimum(na, nb), most)
+            yield batch.select(names).filter(pa.array(100 * most >= percent * (na + nb - most)))
+
+    of_a = classes.select(F.col("c").alias("a"), F.col("parts").alias("parts_a"), F.col("stands").alias("stands_a"))
+    of_b = classes.select(F.col("c").alias("b"), F.col("parts").alias("parts_b"), F.col("stands").alias("stands_b"))
+    joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "na", "nb", "stands_a", "stands_b", "parts_a", "parts_b")
+    names = ["a", "b", "na", "nb", "stands_a", "stands_b"]
+    return reliable(joined.mapInArrow(judge, joined.select(names).schema))
 
 
 def _segments(docs: DataFrame, n: int, slots: Broadcast, pivots: np.ndarray, wanted: Broadcast) -> DataFrame:
-    """(c, fragment, grams): the segments of the wanted classes."""
+    """(c, fragment, grams): the segments of the wanted classes, from the documents that stand for them."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 value, first = ngram_sets(part.column(1), n, slots.value)
                 c1, c2 = _class_keys(value, first)
-                use = passes(wanted.value, c1.view(np.uint64))
+                use = passes(wanted.value, (c1 ^ part.column(2).to_numpy()).view(np.uint64))
                 rows = np.repeat(np.arange(len(c1)), np.diff(first))
                 fragment = np.searchsorted(pivots, slots.value[value >> np.uint64(48)], side="right")
                 inside = use[rows]
@@ -132,24 +167,26 @@ def _segments(docs: DataFrame, n: int, slots: Broadcast, pivots: np.ndarray, wan
                     [pa.array(c1[rows[turn]]), pa.array(c2[rows[turn]]), pa.array(fragment[turn].astype(np.int32)), lists], names=["c1", "c2", "fragment", "grams"]
                 )
 
-    found = docs.mapInArrow(scan, "c1 bigint, c2 bigint, fragment int, grams array<bigint>")
-    # copies of one class bring the same segments
-    return found.groupBy("c1", "c2", "fragment").agg(F.first("grams").alias("grams")).select(F.struct("c1", "c2").alias("c"), "fragment", "grams")
+    found = docs.withColumn("id_hash", F.xxhash64("doc_id")).mapInArrow(scan, "c1 bigint, c2 bigint, fragment int, grams array<bigint>")
+    return found.select(F.struct("c1", "c2").alias("c"), "fragment", "grams")
 
 
-def _fits(a: Column, b: Column, percent: int) -> Column:
-    """May sets of these sizes reach the similarity?"""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _fits(x: Column, y: Column, percent: int) -> Column:
+    """May two sets reach the similarity if this is the first n-gram that they share? What comes before it in either is not common."""
+    most = F.least(x["size"] - x["rank"], y["size"] - y["rank"])
+    return 100 * most >= percent * (x["size"] + y["size"] - most)
 
 
 def _links(pairs: DataFrame, docs: DataFrame, n: int, percent: int, slots: Broadcast, pivots: np.ndarray) -> DataFrame:
-    """(u, v) of those distinct pairs (a, b, na, nb) whose overlap is large enough, counted fragment by fragment."""
-    ends = pairs.select("a.c1").union(pairs.select("b.c1")).distinct()
-    segments = _segments(docs, n, slots, pivots, bitmap(ends, "c1", ends.count()))
-    # the segments of the pairs' ends only; what the bitmap let through in vain goes here
+    """(u, v) of those pairs whose overlap is large enough, counted fragment by fragment."""
+    ends = pairs.select(F.expr("a.c1 ^ stands_a").alias("end")).union(pairs.select(F.expr("b.c1 ^ stands_b"))).distinct()
+    segments = _segments(docs, n, slots, pivots, bitmap(ends, "end", ends.count()))
+    pairs = pairs.select("a", "b", "na", "nb")
     of_b = pairs.join(segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("of_b")), "b")
     both = of_b.join(segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("of_a")), ["a", "fragment"])
-    partial = both.select("a", "b", "na", "nb", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
+    partial = both.select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
+    # a document given twice brings its segments twice
+    partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap"))
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
     return reliable(summed.where(f"100 * overlap >= {percent} * (na + nb - overlap)").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -166,7 +203,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
     read = reliable(_read(docs, n))
-    rows = read.where("seen IS NULL").select("doc_id", "size", F.when(F.col("size") > 0, F.struct("c1", "c2")).alias("c"))
+    rows = read.where("seen IS NULL").select("doc_id", "size", F.when(F.col("size") > 0, F.struct("c1", "c2")).alias("c"), "parts")
+    classes = rows.where("c IS NOT NULL").groupBy("c", "parts").agg(F.min("doc_id").alias("least")).withColumn("stands", F.xxhash64("least"))
     counted = read.where("seen IS NOT NULL").select(F.posexplode("seen").alias("slot", "n")).where("n > 0").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     slot_counts = np.zeros(SLOTS, np.int64)
     slot_counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
@@ -179,13 +217,15 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = _prefixes(docs, n, percent, slots).select(
         "*", *[f(x).over(same).alias(f"{f.__name__}_{x}") for x in ("c1", "c2") for f in (F.min, F.max)]
     ).where("min_c1 < max_c1 OR min_c2 < max_c2")
-    shared = reliable(shared.groupBy("gram", "c1", "c2").agg(F.first("size").alias("size")).select("gram", F.struct(F.struct("c1", "c2").alias("c"), "size").alias("x")))
+    shared = reliable(shared.groupBy("gram", "c1", "c2").agg(F.first("place").alias("place")).select(
+        "gram", F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).alias("rank"), F.shiftright("place", 32).alias("size"), F.struct("c1", "c2").alias("c")).alias("x")
+    ))
 
     by_size = same.orderBy("x.size", "x.c")
     near = shared.select("x", F.min("x").over(same).alias("hub"), F.lag("x").over(by_size).alias("next"))
-    pairs = near.select(F.explode(F.array("hub", "next")).alias("y"), "x").where("y IS NOT NULL AND x.c <> y.c").select(*_ordered("x", "y"))
-    tested = reliable(pairs.where(_fits(F.col("na"), F.col("nb"), percent)).distinct())
-    edges = _links(tested, docs, n, percent, slots, pivots)
+    pairs = near.select(F.explode(F.array("hub", "next")).alias("y"), "x").where("y IS NOT NULL AND x.c <> y.c")
+    tested = reliable(pairs.where(_fits(F.col("x"), F.col("y"), percent)).select(*_ordered("x", "y")).distinct())
+    edges = _links(_may_reach(tested, classes, percent), docs, n, percent, slots, pivots)
     found = components(edges)
 
     # what shares a prefix n-gram and no component yet
@@ -195,15 +235,14 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     split = labelled.select("*", F.min("component").over(same).alias("low"), F.max("component").over(same).alias("high")).where("low < high").drop("low", "high")
     split = reliable(split)
     other = split.select("gram", F.col("x").alias("y"), F.col("component").alias("component_y"))
-    left = split.join(other, "gram").where("component <> component_y AND x.c < y.c").where(_fits(F.col("x.size"), F.col("y.size"), percent))
+    left = split.join(other, "gram").where("component <> component_y AND x.c < y.c").where(_fits(F.col("x"), F.col("y"), percent))
     left = left.select(*_ordered("x", "y")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "na", "nb")
-    left = reliable(left)
+    left = _may_reach(left, classes, percent)
     if left.limit(1).count():
         edges = edges.union(_links(left, docs, n, percent, slots, pivots))
         found = components(edges)
 
-    classes = rows.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("least"))
-    named = classes.join(found.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+    named = classes.select("c", "least").join(found.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(names, "component").select("c", "component_id")
     return rows.join(named, "c", "left").select(
