@@ -1,11 +1,12 @@
 """Packing along a space-filling curve: like documents end up in one training sequence.
 
 A document's vector counts its words in hashed places; a fixed random projection takes it to ``DIMENSIONS`` coordinates,
-which a Hilbert curve turns into one key. Documents are range-partitioned and sorted by (key, id, checksum), so copies of
-one text, though neighbours, can lie in several partitions. Each task then encodes its documents in that order, lays
+which a Hilbert curve turns into one key. The curve is cut into ranges of near equal bytes, found from the bytes of its
+2**16 equal parts; a part that is more than a range (copies have one key, very long texts near ones) is dealt to several by a
+hash of the id. Each range is sorted by (key, id, checksum). Each task then encodes its documents in that order, lays
 their ids end to end and cuts every ``length`` ids. What is left at a task's end is cut at powers of two, so nothing is
-padded there either. The texts are shuffled once and encoded once, after the shuffle; the key pass runs twice, since
-the range bounds are sampled from it.
+padded there either. The texts are shuffled once and encoded once, after the shuffle; the key pass runs twice, first
+for the bytes of the parts.
 
 Encoding goes word by word: the vocabulary never joins across ASCII white space, so each distinct word of a slice is encoded
 once (with a bounded cache between slices and tasks) and the ids are gathered with numpy.
@@ -27,9 +28,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from parcelwise.llm.words import LOWER, SPACED, Words, find_words, mix, slices
+from parcelwise.llm.words import LOWER, SPACED, Words, bytes_of, find_words, mix, slices
 
 DIMENSIONS, BITS = 4, 15
+KEY_BITS, PART_BITS = DIMENSIONS * BITS, 16
+#: Bytes of text in one range at most (but for one document).
+RANGE_BYTES = 128 << 20
 CACHED_WORDS = 700_000
 #: How far a mean coordinate of 1 lies out before it is squeezed into (0, 1).
 SCALE = 8.0
@@ -183,6 +187,20 @@ class WordEncoder:
         return ids, np.concatenate(([0], ends))
 
 
+def _ranges(parts: DataFrame) -> tuple[DataFrame, int]:
+    """(part, first, ways) and the number of ranges: a part goes to the ``ways`` ranges from ``first`` on. At most 2**PART_BITS rows."""
+    spark = parts.sparkSession
+    found = parts.toArrow().to_pandas().sort_values("part")
+    size = found["bytes"].to_numpy(np.int64)
+    total = int(size.sum())
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    before = np.cumsum(size) - size
+    first = before * ranges // max(total, 1)
+    last = np.maximum(first, (before + size) * ranges // max(total, 1) - 1)
+    table = pd.DataFrame({"part": found["part"].to_numpy(np.int64), "first": first.astype(np.int32), "ways": (last - first + 1).astype(np.int32)})
+    return spark.createDataFrame(pa.Table.from_pandas(table, preserve_index=False)), ranges
+
+
 def _cuts(left: int, length: int) -> list[int]:
     """Sequence lengths for what is left: full ones, then powers of two."""
     out = [length] * (left // length)
@@ -204,6 +222,12 @@ def pack(
                 key = hilbert_key(coordinates(find_words(part.column(1), SPACED, lower=True)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(key)], names=["doc_id", "text", "check", "key"])
 
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                key = hilbert_key(coordinates(find_words(part.column(0), SPACED, lower=True)))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.diff(bytes_of(part.column(0))[1]) + 1)], names=["key", "bytes"])
+
     def lay_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(tokenizer_path)
         base = TaskContext.get().partitionId() << 32
@@ -246,8 +270,11 @@ def pack(
     rows = rows.withColumn("check", F.crc32(F.col("text").cast("binary")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     doc_type = rows.limit(0).select("doc_id").toArrow().schema.field(0).type
-    keyed = rows.mapInArrow(keys, f"doc_id {id_type}, text string, check bigint, key bigint")
-    ordered = keyed.repartitionByRange("key", "doc_id", "check").sortWithinPartitions("key", "doc_id", "check").select("doc_id", "text")
+    keyed = rows.mapInArrow(keys, f"doc_id {id_type}, text string, check bigint, key bigint").withColumn("part", F.shiftright("key", KEY_BITS - PART_BITS))
+    sizes = rows.select("text").mapInArrow(measure, "key bigint, bytes bigint")
+    table, ranges = _ranges(sizes.groupBy(F.shiftright("key", KEY_BITS - PART_BITS).alias("part")).agg(F.sum("bytes").alias("bytes")))
+    placed = keyed.join(F.broadcast(table), "part").withColumn("range", F.expr("first + CAST(pmod(xxhash64(doc_id, check), ways) AS int)"))
+    ordered = placed.repartitionById(ranges, "range").sortWithinPartitions("key", "doc_id", "check").select("doc_id", "text")
     fields = f"doc_id {id_type}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
     return ordered.mapInArrow(lay_out, fields + ", ids array<int>" * with_ids)
 
