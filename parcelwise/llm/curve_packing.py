@@ -34,7 +34,7 @@ DIMENSIONS, BITS = 4, 15
 KEY_BITS, PART_BITS = DIMENSIONS * BITS, 16
 #: Bytes of text in one range at most (but for one document).
 RANGE_BYTES = 128 << 20
-CACHED_WORDS = 700_000
+CACHED_WORDS = 150_000
 #: How far a mean coordinate of 1 lies out before it is squeezed into (0, 1).
 SCALE = 8.0
 
