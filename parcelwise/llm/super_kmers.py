@@ -8,9 +8,10 @@
 3. A bucket numbers its words, then ranks runs of 1, 2, 4, ... words by sorting pairs of ranks, up to whole windows: equal rank
    means equal words, no hash decides. Windows that a smaller document has as well are marked. Task memory: buckets are worked off in
    portions of ``PORTION`` words.
-4. A minimiser with ``1 / HEAVY`` of all occurrences or more (there are ``HEAVY`` such at most, whatever the input) would make a bucket that one
-   task has to hold. Its windows go one by one instead, keyed by a 128-bit cryptographic digest of their words: the least document
-   of a key is found with map-side combining, and joined back, where Spark may split a hot key.
+4. A minimiser with ``1 / HEAVY`` of all occurrences or more (there are ``HEAVY`` such at most, whatever the input) would make
+   a bucket that one task has to hold. Its super-k-mers are keyed by a 128-bit cryptographic digest of their words instead: the
+   least document of a key is found with map-side combining and joined back, where Spark may split a hot key. Copies are
+   settled by that; the different super-k-mers that remain are cut finer and compared in the same way, at last window by window.
 5. Marks are gathered by document and joined to the texts, the only shuffle of whole texts.
 
 Documents are told apart by doc_id, a whole number. Defined results: a null text has no words; texts of fewer than ``span`` words are
@@ -34,6 +35,8 @@ from parcelwise.session import reliable
 MINIMISER = 8
 HEAVY = 4096
 PORTION = 1 << 20
+#: Words of the finer minimisers, in percent of the span.
+FINER = 64
 
 
 def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -47,9 +50,9 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def super_kmers(words: Words, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the first window, number of windows, minimiser) of every run of windows within a text."""
-    m = min(MINIMISER, span)
+def super_kmers(words: Words, span: int, m: int = MINIMISER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the first window, number of windows, minimiser of m words) of every run of windows within a text."""
+    m = min(m, span)
     least = sliding_least(grams(words.hashes(), m), span - m + 1)
     rows = words.rows()
     window = np.flatnonzero(np.arange(len(words)) + span <= words.first[1:][rows]) if len(words) else np.zeros(0, np.int64)
@@ -107,29 +110,76 @@ def _packed(rows: DataFrame, span: int, shared, heavy: np.ndarray) -> DataFrame:
     return rows.mapInArrow(scan, "minimiser bigint, doc_id bigint, text_key bigint, start bigint, windows bigint, words binary")
 
 
-def _single(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
-    """(d1, d2, doc_id, text_key, start) of every window of the heavy minimisers."""
+def _digests(texts: list[bytes]) -> list[pa.Array]:
+    """Two halves of a 128-bit cryptographic digest of each text's words."""
+    d = np.frombuffer(b"".join(hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() for t in texts), "<i8").reshape(-1, 2)
+    return [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
+
+
+def _heavy_runs(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
+    """(d1, d2, doc_id, text_key, start, windows, words) of the super-k-mers of heavy minimisers, with a digest of their words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, ids in _parts(batches):
             at, size, value = super_kmers(words, span)
             use = np.isin(value, heavy)
-            begin, size = at[use], size[use]
-            stops = np.cumsum(size)
-            at = np.repeat(begin - (stops - size), size) + np.arange(size.sum())
+            at, size = at[use], size[use]
             row = words.rows()[at] if len(at) else at
             data = words.data.tobytes()
-            digest = b"".join(
-                hashlib.blake2b(b" ".join(data[a:b].split()), digest_size=16).digest() for a, b in zip(words.start[at], words.end[at + span - 1])
-            )
-            d = np.frombuffer(digest, "<i8").reshape(-1, 2)
+            text = [data[a:b] for a, b in zip(words.start[at], words.end[at + size + span - 2])]
             key = part.column(1).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy()), pa.array(ids[row]), pa.array(key[row]), pa.array((at - words.first[row]).astype(np.int64))],
-                names=["d1", "d2", "doc_id", "text_key", "start"],
+                [*_digests(text), pa.array(ids[row]), pa.array(key[row]), pa.array((at - words.first[row]).astype(np.int64)), pa.array(size), pa.array(text, pa.binary())],
+                names=["d1", "d2", "doc_id", "text_key", "start", "windows", "words"],
             )
 
-    return rows.mapInArrow(scan, "d1 bigint, d2 bigint, doc_id bigint, text_key bigint, start bigint")
+    return rows.mapInArrow(scan, "d1 bigint, d2 bigint, doc_id bigint, text_key bigint, start bigint, windows bigint, words binary")
+
+
+def _pieces(runs: DataFrame, span: int, m: int) -> DataFrame:
+    """The same columns for super-k-mers cut into those of minimisers of m words; with m = span, into single windows."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = find_words(batch.column(4).cast(pa.string()), SPACED)
+            at, size, _ = super_kmers(words, span, m)
+            if m == span:  # equal windows in a row are one run, but have to be told apart
+                stops = np.cumsum(size)
+                at = np.repeat(at - (stops - size), size) + np.arange(size.sum())
+                size = np.ones(len(at), np.int64)
+            row = words.rows()[at] if len(at) else at
+            data = words.data.tobytes()
+            text = [data[a:b] for a, b in zip(words.start[at], words.end[at + size + span - 2])]
+            doc, key, start = (batch.column(i).to_numpy()[row] for i in range(3))
+            yield pa.RecordBatch.from_arrays(
+                [*_digests(text), pa.array(doc), pa.array(key), pa.array(start + at - words.first[row]), pa.array(size), pa.array(text, pa.binary())],
+                names=["d1", "d2", "doc_id", "text_key", "start", "windows", "words"],
+            )
+
+    whole = runs.select("doc_id", "text_key", "start", "windows", "words")
+    return whole.mapInArrow(scan, "d1 bigint, d2 bigint, doc_id bigint, text_key bigint, start bigint, windows bigint, words binary")
+
+
+def _heavy_marks(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
+    """Marks for the windows of heavy minimisers.
+
+    Whole super-k-mers first: all windows of one that a smaller document has word for word are marked at once, so copies cost
+    a row a super-k-mer. What is left, one document for each different super-k-mer, is cut finer and compared again, and at
+    last window by window. At each step equal pieces are settled by their least document, which goes on for all of them.
+    """
+    marks, left = None, _heavy_runs(rows, span, heavy)
+    for finer in (FINER * span // 100, span, None):
+        left = reliable(left)
+        least = left.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+        if finer is None:
+            placed = left.join(least.where("least < most").drop("most"), ["d1", "d2"])
+        else:
+            placed = reliable(left.join(least.drop("most"), ["d1", "d2"]))
+        found = placed.where("doc_id > least").select("doc_id", "text_key", "start", "windows")
+        marks = found if marks is None else marks.union(found)
+        if finer is not None:
+            left = _pieces(placed.where("doc_id = least"), span, finer)
+    return marks
 
 
 def window_ranks(codes: np.ndarray, span: int) -> np.ndarray:
@@ -172,7 +222,7 @@ def _marks(portion: pa.Table, span: int) -> pa.RecordBatch:
     )
 
 
-def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
+def _bucket_marks(packed: DataFrame, span: int, portion: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         n = 0
@@ -182,16 +232,16 @@ def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
             at = 0
             while at < len(value):
                 # up to the end of the bucket that fills the portion
-                to = int(np.searchsorted(np.cumsum(words[at:]), PORTION - n)) + at
+                to = int(np.searchsorted(np.cumsum(words[at:]), portion - n)) + at
                 to = min(to, len(value) - 1)
                 stop = int(np.searchsorted(value, value[to], side="right")) if to < len(value) else len(value)
                 held.append(batch.slice(at, stop - at))
                 n += int(words[at:stop].sum())
                 at = stop
-                if n >= PORTION and at < len(value):
+                if n >= portion and at < len(value):
                     yield _marks(pa.Table.from_batches(held), span)
                     held, n = [], 0
-            if n >= PORTION and held:
+            if n >= portion and held:
                 # the last bucket may go on in the next batch
                 table = pa.Table.from_batches(held)
                 whole = int(np.searchsorted(table.column("minimiser").to_numpy(), value[-1], side="left"))
@@ -206,19 +256,16 @@ def _bucket_marks(packed: DataFrame, span: int) -> DataFrame:
     return dealt.mapInArrow(scan, "doc_id bigint, text_key bigint, start bigint, windows bigint")
 
 
-def repeated_windows(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256) -> DataFrame:
+def repeated_windows(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256, portion: int = PORTION) -> DataFrame:
     """(doc_id, text_key, runs): runs of windows, as (start, windows), that also start in a document with a smaller id."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     counted = reliable(_minimisers(rows, span).where("low < high").select("minimiser", "n"))
     total, different = counted.agg(F.sum("n"), F.count("*")).first()
     shared = bitmap(counted, "minimiser", different)
     heavy = counted.where(F.col("n") >= max(least_heavy, (total or 0) // HEAVY)).select("minimiser").toArrow()["minimiser"].to_numpy().astype(np.int64).view(np.uint64)
-    marks = _bucket_marks(_packed(rows, span, shared, heavy), span)
+    marks = _bucket_marks(_packed(rows, span, shared, heavy), span, portion)
     if len(heavy):
-        single = _single(rows, span, heavy)
-        least = single.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-        taken = single.join(least, ["d1", "d2"]).where("doc_id > least")
-        marks = marks.union(taken.select("doc_id", "text_key", "start", F.lit(1).cast("bigint").alias("windows")))
+        marks = marks.union(_heavy_marks(rows, span, heavy))
     return marks.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "windows"))).alias("runs"))
 
 
@@ -230,15 +277,17 @@ def _cut(starts, sizes, count: int, span: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge)[:-1] == 0)
 
 
-def _with_runs(docs: DataFrame, span: int, id_col: str, text_col: str, least_heavy: int) -> DataFrame:
+def _with_runs(docs: DataFrame, span: int, id_col: str, text_col: str, least_heavy: int, portion: int = PORTION) -> DataFrame:
     """(row, text, start, windows): every row of ``docs`` as a struct, with its text's runs; null where there is none."""
-    found = repeated_windows(docs, span, id_col, text_col, least_heavy).select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs")
+    found = repeated_windows(docs, span, id_col, text_col, least_heavy, portion).select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
     joined = rows.join(found, (F.col("id") == F.col("run_id")) & (F.col("text_key") == F.col("run_key")), "left")
     return joined.select("row", "text", "runs.start", "runs.windows")
 
 
-def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256, portion: int = PORTION
+) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row; kept_sha256 is over the kept words joined by one space."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +309,7 @@ def remove_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text
                     names=["doc_id", "n_words", "n_removed", "kept_sha256"],
                 )
 
-    found = _with_runs(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), span, "doc_id", "text", least_heavy)
+    found = _with_runs(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), span, "doc_id", "text", least_heavy, portion)
     found = found.select("row.doc_id", "text", "start", "windows")
     id_type = found.schema["doc_id"].dataType.simpleString()
     return found.mapInArrow(cut, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string")

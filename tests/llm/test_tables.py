@@ -147,15 +147,18 @@ def test_cut_repeats_keeps_columns_and_white_space(spark):
     assert super_kmers.cut_repeats(nothing(spark)).count() == super_kmers.remove_repeats(nothing(spark)).count() == 0
 
 
-def test_super_kmer_buckets_across_batches(spark):
+@pytest.mark.parametrize(("rows_a_batch", "portion"), [(7, 300), (3, 2000), (50, 120)])
+def test_super_kmer_buckets_across_batches(spark, rows_a_batch, portion):
     rng = random.Random(9)
     rows = [(i, f"{prose(rng, 30, 9000)} {' '.join(f'p{j}' for j in range(70))} {prose(rng, 30, 9000)}") for i in range(60)]
-    before = super_kmers.PORTION, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rows += [(100 + i, prose(random.Random(i // 3), 200, 9000)) for i in range(30)]
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows_a_batch))
     try:
-        got = super_kmers.remove_repeats(frame(spark, rows)).collect()
+        got = super_kmers.remove_repeats(frame(spark, rows), portion=portion).collect()
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before[1])
+        spark.conf.set(key, before)
     assert sorted(repr((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"])) for r in got) == brute_repeats(rows, 50)
 
 
