@@ -11,7 +11,8 @@
 4. A minimiser with ``1 / HEAVY`` of all occurrences or more (there are ``HEAVY`` such at most, whatever the input) would make
    a bucket that one task has to hold. Its super-k-mers are keyed by a 128-bit cryptographic digest of their words instead: the
    least document of a key is found with map-side combining and joined back, where Spark may split a hot key. Copies are
-   settled by that; the different super-k-mers that remain are cut finer and compared in the same way, at last window by window.
+   settled by that; the different super-k-mers that remain are cut finer, those whose finer minimiser two documents share are compared in the same
+   way, and at last their windows.
 5. Marks are gathered by document and joined to the texts, the only shuffle of whole texts.
 
 Documents are told apart by doc_id, a whole number. Defined results: a null text has no words; texts of fewer than ``span`` words are
@@ -142,22 +143,28 @@ def _pieces(runs: DataFrame, span: int, m: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = find_words(batch.column(4).cast(pa.string()), SPACED)
-            at, size, _ = super_kmers(words, span, m)
+            at, size, value = super_kmers(words, span, m)
             if m == span:  # equal windows in a row are one run, but have to be told apart
                 stops = np.cumsum(size)
-                at = np.repeat(at - (stops - size), size) + np.arange(size.sum())
+                at, value = np.repeat(at - (stops - size), size) + np.arange(size.sum()), np.repeat(value, size)
                 size = np.ones(len(at), np.int64)
             row = words.rows()[at] if len(at) else at
             data = words.data.tobytes()
             text = [data[a:b] for a, b in zip(words.start[at], words.end[at + size + span - 2])]
             doc, key, start = (batch.column(i).to_numpy()[row] for i in range(3))
             yield pa.RecordBatch.from_arrays(
-                [*_digests(text), pa.array(doc), pa.array(key), pa.array(start + at - words.first[row]), pa.array(size), pa.array(text, pa.binary())],
-                names=["d1", "d2", "doc_id", "text_key", "start", "windows", "words"],
+                [*_digests(text), pa.array(doc), pa.array(key), pa.array(start + at - words.first[row]), pa.array(size), pa.array(text, pa.binary()), pa.array(value.view(np.int64))],
+                names=["d1", "d2", "doc_id", "text_key", "start", "windows", "words", "minimiser"],
             )
 
     whole = runs.select("doc_id", "text_key", "start", "windows", "words")
-    return whole.mapInArrow(scan, "d1 bigint, d2 bigint, doc_id bigint, text_key bigint, start bigint, windows bigint, words binary")
+    cut = whole.mapInArrow(scan, "d1 bigint, d2 bigint, doc_id bigint, text_key bigint, start bigint, windows bigint, words binary, minimiser bigint")
+    if m == span:
+        return cut
+    # a finer minimiser of one document only has no window that another has
+    cut = reliable(cut)
+    met = cut.groupBy("minimiser").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("minimiser")
+    return cut.join(met, "minimiser", "left_semi")
 
 
 def _heavy_marks(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
