@@ -31,8 +31,8 @@ from parcelwise.session import reliable
 DEPTH = 5
 CONTEXTS = 1 << 18
 HOT = 1 << 18
-CACHED = 2_000_000
-BUCKET_TOKENS = 6_000_000
+CACHED = 600_000
+BUCKET_TOKENS = 3_000_000
 END = 0x0A
 
 
@@ -173,7 +173,7 @@ def _count(rows: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0, 8 << 20):
+            for part in slices(batch, 0):
                 words = find_words(part.column(0), SPACED, lower=True)
                 found = [np.unique(stream(words)[0], return_counts=True), np.unique(words.hashes(), return_counts=True), (np.zeros(1, np.uint64), np.array([part.num_rows]))]
                 yield pa.RecordBatch.from_arrays(
@@ -246,8 +246,8 @@ def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
         n = int(sizes.sum())
         mine = key[0].as_py() == 0
         return pa.table({
-            "doc_id": flat[0], "text_key": flat[1], "log_sum": np.bincount(doc, np.log10(c + 1)[word], n) if len(doc) else np.zeros(n),
-            "known": (np.bincount(doc, c[word] > 0, n) if len(doc) else np.zeros(n)).astype(np.int64), "rows": np.full(n, int(mine), np.int64),
+            "doc_id": flat[0], "text_key": flat[1], "log_sum": np.bincount(doc, np.log10(c + 1)[word], n).astype(np.float64),
+            "known": np.bincount(doc, c[word] > 0, n).astype(np.int64), "rows": np.full(n, int(mine), np.int64),
         })
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -277,7 +277,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, value = np.zeros(0, np.uint64), np.zeros(0)
         for batch in batches:
-            for part in slices(batch, 2, 4 << 20):
+            for part in slices(batch, 2):
                 words = find_words(part.column(2), SPACED, lower=True)
                 key, begins = stream(words)
                 distinct, place = np.unique(key, return_inverse=True)
@@ -298,7 +298,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                 n_hot = np.bincount(row[is_hot], minlength=part.num_rows)
                 size = np.diff(begins)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(words.counts.astype(np.int64) + 1), pa.array(hot_sum), pa.array(n_hot.astype(np.int64)), pa.array(score), pa.array(-score * np.log2(10) / size)],
+                    [part.column(0), part.column(1), pa.array(words.counts.astype(np.int64) + 1), pa.array(hot_sum.astype(np.float64)), pa.array(n_hot.astype(np.int64)), pa.array(score), pa.array(-score * np.log2(10) / size)],
                     names=["doc_id", "text_key", "n_tokens", "hot_sum", "n_hot", "score", "code_bytes"],
                 )
 
