@@ -31,7 +31,9 @@ from parcelwise.session import reliable
 DEPTH = 5
 CONTEXTS = 1 << 18
 HOT = 1 << 18
-CACHED = 600_000
+CACHED = 300_000
+#: Bytes of text that a task works on at once; about a hundred times as much memory.
+SLICE_BYTES = 1 << 20
 BUCKET_TOKENS = 3_000_000
 END = 0x0A
 
@@ -173,7 +175,7 @@ def _count(rows: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, SLICE_BYTES):
                 words = find_words(part.column(0), SPACED, lower=True)
                 found = [np.unique(stream(words)[0], return_counts=True), np.unique(words.hashes(), return_counts=True), (np.zeros(1, np.uint64), np.array([part.num_rows]))]
                 yield pa.RecordBatch.from_arrays(
@@ -208,7 +210,7 @@ def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 3):
+            for part in slices(batch, 3, SLICE_BYTES):
                 words = find_words(part.column(3), SPACED, lower=True)
                 h, row = words.hashes(), words.rows()
                 at = np.searchsorted(hot.value[0], h)
@@ -277,7 +279,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, value = np.zeros(0, np.uint64), np.zeros(0)
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SLICE_BYTES):
                 words = find_words(part.column(2), SPACED, lower=True)
                 key, begins = stream(words)
                 distinct, place = np.unique(key, return_inverse=True)
