@@ -205,8 +205,8 @@ def _fit_trees(counted: DataFrame) -> ContextTrees:
     return trees
 
 
-def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
-    """(doc_id, text_key, log_sum, known, rows): log10(c + 1) summed over the words that are not hot, by document."""
+def _deal_rare(rows: DataFrame, hot, buckets: int) -> DataFrame:
+    """The words that are not hot, dealt by hash to buckets as packed arrays; with them only the documents that hold them."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,10 +223,11 @@ def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
                 ids, keys = part.column(0).to_pylist(), part.column(1)
                 train = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 turn = np.searchsorted(bucket, np.arange(buckets + 1))
-                used = [b for b in range(buckets) if b == 0 or turn[b + 1] > turn[b]]
+                used = [b for b in range(buckets) if turn[b + 1] > turn[b]]
+                if not used:
+                    continue
                 pieces = [slice(turn[b], turn[b + 1]) for b in used]
-                # the documents themselves go with bucket 0, which also counts their rows
-                docs = [np.arange(part.num_rows) if b == 0 else np.unique(row[p]) for b, p in zip(used, pieces)]
+                docs = [np.unique(row[p]) for p in pieces]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(used, pa.int32()), pa.array([h[p].tobytes() for p in pieces], pa.binary()),
                      pa.array([np.searchsorted(d, row[p]).astype(np.int32).tobytes() for d, p in zip(docs, pieces)], pa.binary()),
@@ -236,6 +237,13 @@ def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
                     names=["bucket", "words", "places", "doc_ids", "text_keys", "train"],
                 )
 
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(deal, f"bucket int, words binary, places binary, doc_ids array<{id_type}>, text_keys array<bigint>, train array<boolean>")
+
+
+def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
+    """(doc_id, text_key, log_sum, known, rows): log10(c + 1) summed over the words that are not hot, by document."""
+
     def sums(key: tuple, table: pa.Table) -> pa.Table:
         h = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table["words"]])
         sizes = np.array([len(x) for x in table["doc_ids"]])
@@ -246,16 +254,15 @@ def _rare_sums(rows: DataFrame, hot, buckets: int) -> DataFrame:
         _, word = np.unique(h, return_inverse=True)
         c = np.bincount(word, train[doc], word.max(initial=-1) + 1)
         n = int(sizes.sum())
-        mine = key[0].as_py() == 0
         return pa.table({
             "doc_id": flat[0], "text_key": flat[1], "log_sum": np.bincount(doc, np.log10(c + 1)[word], n).astype(np.float64),
-            "known": np.bincount(doc, c[word] > 0, n).astype(np.int64), "rows": np.full(n, int(mine), np.int64),
+            "known": np.bincount(doc, c[word] > 0, n).astype(np.int64), "rows": np.zeros(n, np.int64),
         })
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    dealt = rows.mapInArrow(deal, f"bucket int, words binary, places binary, doc_ids array<{id_type}>, text_keys array<bigint>, train array<boolean>")
-    found = dealt.groupBy("bucket").applyInArrow(sums, f"doc_id {id_type}, text_key bigint, log_sum double, known bigint, rows bigint")
-    return found.groupBy("doc_id", "text_key").agg(F.sum("log_sum").alias("log_sum"), F.sum("known").alias("known"), F.sum("rows").alias("rows"))
+    found = _deal_rare(rows, hot, buckets).groupBy("bucket").applyInArrow(sums, f"doc_id {id_type}, text_key bigint, log_sum double, known bigint, rows bigint")
+    each = rows.select("doc_id", "text_key", F.lit(0.0).alias("log_sum"), F.lit(0).cast("long").alias("known"), F.lit(1).cast("long").alias("rows"))
+    return found.unionByName(each).groupBy("doc_id", "text_key").agg(F.sum("log_sum").alias("log_sum"), F.sum("known").alias("known"), F.sum("rows").alias("rows"))
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -303,3 +304,16 @@ def test_scores_do_not_depend_on_neighbours(spark):
     together = {(r["doc_id"], r["n_tokens"]): r["score"] for r in context_trees.score_texts(frame(spark, rows), F.lit(True)).collect()}
     one = context_trees.score_texts(frame(spark, rows).repartition(1).orderBy("doc_id"), F.lit(True)).collect()
     assert all(math.isclose(together[r["doc_id"], r["n_tokens"]], r["score"], rel_tol=1e-9) for r in one)
+
+
+def test_buckets_of_rare_words_hold_only_documents_with_them(spark):
+    class Hot:
+        value = (np.sort(context_trees.find_words(pa.array(["the of"])).hashes()), np.zeros(2))
+
+    rows = [(i, "the of the" if i % 50 else f"the rare{i} of") for i in range(200)] + [(7, "the of the"), (None, None)]
+    df = frame(spark, rows, clash=False).select("doc_id", F.xxhash64("text").alias("text_key"), F.lit(True).alias("train"), "text")
+    dealt = context_trees._deal_rare(df, Hot, 1)
+    assert sorted(i for r in dealt.collect() for i in r["doc_ids"]) == [0, 50, 100, 150]
+    got = {r["doc_id"]: r for r in context_trees._rare_sums(df, Hot, 1).collect()}
+    assert len(got) == 201 and got[7]["rows"] == 2 and sum(r["rows"] for r in got.values()) == 202
+    assert {i for i, r in got.items() if r["known"]} == {0, 50, 100, 150}
