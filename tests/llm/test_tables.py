@@ -317,3 +317,28 @@ def test_buckets_of_rare_words_hold_only_documents_with_them(spark):
     got = {r["doc_id"]: r for r in context_trees._rare_sums(df, Hot, 1).collect()}
     assert len(got) == 201 and got[7]["rows"] == 2 and sum(r["rows"] for r in got.values()) == 202
     assert {i for i, r in got.items() if r["known"]} == {0, 50, 100, 150}
+
+
+def test_context_seen_twice_is_a_node_at_any_size(spark):
+    """Slices, buckets and subtrees give the scores of one tree over all training bytes, also beside a megabyte of other text."""
+    rows = [*awkward_rows(), (100, "ab " * 400_000)]
+    streams = [" ".join(SPACED.findall(lower(t or ""))).encode() + b"\n" for _, t in rows]
+    depth, entries = context_trees.DEPTH, []
+    padded = [b"\n" * depth + x for x in streams]
+    for d in range(depth + 1):
+        seen = Counter(p[i - d : i + 1] for (k, _), p in zip(rows, padded) if k is not None and k % 3 != 2 for i in range(depth, len(p)))
+        total = Counter()
+        for x, n in seen.items():
+            total[x[:-1]] += n
+        kept = sorted((int.from_bytes(x, "big"), n) for x, n in seen.items() if total[x[:-1]] >= 2)
+        entries.append((np.array([k for k, _ in kept], np.uint64), np.array([n for _, n in kept], np.int64)))
+    whole = context_trees.build(entries)
+    want = []
+    for (i, _), p in zip(rows, padded):
+        each = Counter(p[j - depth : j + 1] for j in range(depth, len(p)))
+        logs = whole.log10(np.array([int.from_bytes(x, "big") for x in each], np.uint64))
+        want.append((-1 if i is None else i, float(logs @ np.array(list(each.values())))))
+    got = context_trees.score_texts(frame(spark, rows), F.col("doc_id") % 3 != 2).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["score"]) for r in got)
+    assert [i for i, _ in got] == [i for i, _ in sorted(want)]
+    assert np.allclose([x for _, x in got], [x for _, x in sorted(want)], rtol=1e-6)
