@@ -110,7 +110,8 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = PENALTY) ->
     order = np.argsort(-length, kind="stable")
     begin, left = first[:-1][order], -length[order]
     longest = int(length.max()) if len(length) else 0
-    came = np.zeros(scores.shape, np.uint8)
+    kind = np.min_scalar_type(max(n_labels - 1, 0))  # holds every label's number
+    came = np.zeros(scores.shape, kind)
     same = np.arange(n_labels)
     best = np.zeros((len(order), n_labels), np.float32)
     active = np.searchsorted(left, -np.arange(longest), side="left")
@@ -126,8 +127,8 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = PENALTY) ->
             b = np.maximum(b, jump)
             b -= b.max(axis=1, keepdims=True)
         best[:n] = b + scores[at]
-    label = np.zeros(len(scores), np.uint8)
-    now = best.argmax(axis=1).astype(np.uint8)
+    label = np.zeros(len(scores), kind)
+    now = best.argmax(axis=1).astype(kind)
     for t in range(longest - 1, -1, -1):
         at = begin[: active[t]] + t
         label[at] = now[: active[t]]

@@ -114,6 +114,12 @@ def test_viterbi_equals_all_paths():
         assert tuple(got[a:b]) == best
 
 
+def test_viterbi_of_more_labels_than_a_byte_holds():
+    scores = np.eye(300, dtype=np.float32)
+    for first in (np.arange(301), np.array([0, 300])):
+        assert (language_spans.viterbi(scores, first, 0.1) == np.arange(300)).all()
+
+
 def test_language_spans(spark):
     rng = random.Random(4)
     kinds = {"aa": "thand ing the of wher tion and".split(), "bb": "uñaz ción que ado llar los".split(), "ru": "привет мир как дела".split()}
