@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import compression_quality, context_trees, curve_packing, kd_shards, language_spans, line_rules, ngram_join, super_kmers, url_filters, winnowing
+from parcelwise.llm import compression_quality, context_trees, curve_packing, divergence, kd_shards, language_spans, license_scan, line_rules, ngram_join, super_kmers, url_filters, whitening, winnowing
 
 #: Fixed values of the query's contract.
 URL_RULES = [
@@ -188,5 +188,97 @@ kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM
 SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (r)
 """
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op5_context_trees": op5_context_trees, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans, "op10_super_kmers": op10_super_kmers}
-SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL, "op10_super_kmers": OP10_SQL}
+def op11_run_length_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+tok AS (SELECT r, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS total FROM tok GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+cells AS (SELECT lang, source, term, count(*) AS c FROM tok SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+by_lang AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+by_group AS (SELECT lang, source, sum(c) AS n FROM cells GROUP BY lang, source),
+grp AS (
+  SELECT lang, source, coalesce(g.n, 0) AS n, coalesce(l.v, 0) AS v, coalesce(l.n, 0) AS lang_n
+  FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN by_group g USING (lang, source) LEFT JOIN by_lang l USING (lang)),
+p AS (
+  SELECT lang, grp.source, term, coalesce(c, 0) AS c, CAST(1 + (1000000000 * (CAST(coalesce(c, 0) AS HUGEINT) + 2)) // (n + 2 * v) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * (CAST(total AS HUGEINT) + 2)) // (lang_n + 2 * v) AS BIGINT) AS q
+  FROM grp JOIN kept USING (lang) LEFT JOIN cells USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY a.lang, a.source, b.source),
+every AS (
+  SELECT lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM grp a JOIN grp b USING (lang) LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source WHERE a.source <> b.source),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM every
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q), row_number() OVER (PARTITION BY lang, source ORDER BY ((p - q) * (p - q)) // (p + q) DESC, term)
+  FROM p WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op12_secular_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model).select("vec_id", F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("place", "whitened"))
+    explained = F.array(*[F.lit(float(e) / model.trace if model.trace else None) for e in model.eigenvalues]).cast("array<double>")
+    return rows.select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.element_at(explained, F.col("place") + 1).alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op13_diagonal_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.summarise(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def _template_rows() -> str:
+    return ", ".join(
+        f"({i}, '{t.label}', {str(t.base).lower()}, ['{"', '".join(license_scan.template_words(t))}'])" for i, t in enumerate(license_scan.TEMPLATES)
+    )
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM documents),
+tpl(t, label, base, tw) AS (VALUES TEMPLATE_ROWS),
+tg AS (
+  SELECT t, len(tw) AS n, least(len(tw), 4) AS k, place, array_to_string(tw[place + 1:place + least(len(tw), 4)], ' ') AS gram
+  FROM (SELECT t, tw, unnest(range(0, len(tw) - least(len(tw), 4) + 1)) AS place FROM tpl)),
+dg AS (
+  SELECT r, k, i, array_to_string(w[i + 1:i + k], ' ') AS gram
+  FROM (SELECT r, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM docs, (SELECT DISTINCT k FROM tg) WHERE len(w) >= k)),
+votes AS (SELECT DISTINCT r, t, n, k, place, i - place AS diagonal FROM dg JOIN tg USING (k, gram)),
+lines AS (
+  SELECT r, t, n, k, diagonal, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal) <= least(8, greatest(0, n - 4)) THEN 0 ELSE 1 END AS begins
+  FROM (SELECT DISTINCT r, t, n, k, diagonal FROM votes)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY r, t ORDER BY diagonal) AS cluster FROM lines),
+heard AS (
+  SELECT r, t, cluster FROM numbered JOIN votes USING (r, t, n, k, diagonal)
+  GROUP BY r, t, cluster, n, k HAVING 100 * count(DISTINCT place) >= 25 * (n - k + 1)),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs WHERE r IN (SELECT r FROM heard)),
+tword AS (SELECT t, unnest(tw) AS word, generate_subscripts(tw, 1) - 1 AS place FROM tpl),
+spans AS (
+  SELECT r, t, cluster, n, min(i) AS start, count(DISTINCT place) AS found
+  FROM heard JOIN numbered USING (r, t, cluster) JOIN tword USING (t) JOIN word USING (r, word) WHERE i = place + diagonal
+  GROUP BY r, t, cluster, n HAVING 100 * count(DISTINCT place) >= CASE WHEN n > 4 THEN 80 ELSE 100 END * n),
+by_doc AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(found / n) AS score
+  FROM spans JOIN tpl USING (t) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN by_doc USING (r)
+""".replace("TEMPLATE_ROWS", _template_rows())
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_winnowing": op1_winnowing, "op2_line_rules": op2_line_rules, "op3_kd_shards": op3_kd_shards, "op4_url_filters": op4_url_filters, "op5_context_trees": op5_context_trees, "op6_curve_packing": op6_curve_packing, "op7_compression_quality": op7_compression_quality, "op8_ngram_join": op8_ngram_join, "op9_language_spans": op9_language_spans, "op10_super_kmers": op10_super_kmers, "op11_run_length_divergence": op11_run_length_divergence, "op12_secular_whitening": op12_secular_whitening, "op13_diagonal_licenses": op13_diagonal_licenses}
+SQL: dict[str, str] = {"op1_winnowing": OP1_SQL, "op2_line_rules": OP2_SQL, "op4_url_filters": OP4_SQL, "op8_ngram_join": OP8_SQL, "op10_super_kmers": OP10_SQL, "op11_run_length_divergence": OP11_SQL, "op13_diagonal_licenses": OP13_SQL}
