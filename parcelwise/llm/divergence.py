@@ -37,7 +37,7 @@ LEAST_DOCUMENTS = 10
 #: Entries of a block of the vocabulary, and sources whose columns meet in one task.
 BLOCK, TILE = 8192, 48
 #: Bytes of text whose terms are counted together in a task.
-SLICE = 8 << 20
+SLICE = 3 << 20
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
