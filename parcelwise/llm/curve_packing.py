@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from itertools import chain
 
 import numpy as np
@@ -131,8 +132,38 @@ def distinct_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tup
     return code.astype(np.int64), at
 
 
+@dataclass
+class Known:
+    """Pieces by number, and their ids: piece i has ``ids[stops[i]:stops[i + 1]]``."""
+
+    number: dict[str, int] = field(default_factory=dict)
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
+    stops: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
+        self.ids = np.concatenate((self.ids, ids))
+        self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(sizes)))
+
+    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids end to end, their numbers) of known pieces."""
+        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        start, size = self.stops[number], self.stops[number + 1] - self.stops[number]
+        stops = np.cumsum(size)
+        return self.ids[np.repeat(start - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)], size
+
+
+#: Signs, cases and scripts on which a vocabulary shows whether its words can be cut as ``word_pieces`` does.
+PROBE = "Hello, WORLD's don't re-use x3 (a.b) \u00c9t\u00e9! stra\u00dfe: \u4e2d\u6587 \u0440\u0443\u0441\u0441\u043a\u0438\u0439\u2026 caf\u00e9-bar #1 a_b I'LL  tab\tend\n"
+
+
 class WordEncoder:
-    """Ids of texts by way of their distinct pieces. One for each vocabulary and Python worker, so tasks share what is known."""
+    """Ids of texts by way of their distinct pieces. One for each vocabulary and Python worker, so tasks share what is known.
+
+    What is known is kept in two halves: when the newer is full it becomes the older one, and pieces that are met again move to
+    the newer, so frequent pieces are encoded once. A vocabulary that encodes the probe otherwise than by its pieces (a cased
+    one, or one that keeps white space) is given whole texts.
+    """
 
     made: dict[str, WordEncoder] = {}
 
@@ -141,17 +172,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # the number of a piece
-        self.ids, self.stops = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # piece i: ids[stops[i]:stops[i + 1]]
-
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
-        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), np.uint32)))
-        self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))))
+        self.newer, self.older = Known(), Known()
+        probe = pa.array([PROBE])
+        self.by_pieces = True
+        self.by_pieces = self.encode(probe, 0)[0].tolist() == self._whole(probe, 0)[0].tolist()
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -159,8 +183,31 @@ class WordEncoder:
             cls.made[path] = cls(path)
         return cls.made[path]
 
+    def _tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _whole(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self._tokens(texts.to_pylist())
+        stops = np.cumsum(sizes)
+        return np.insert(ids, stops, np.uint32(end_id)), np.concatenate(([0], stops + np.arange(1, len(sizes) + 1)))
+
+    def _learn(self, distinct: list[str]) -> None:
+        """Bring all of these into the newer half."""
+        new = [w for w in distinct if w not in self.newer.number]
+        if len(self.newer.number) + len(new) > CACHED_WORDS // 2 and self.newer.number:
+            self.newer, self.older = Known(), self.newer
+            new = distinct
+        met = [w for w in new if w in self.older.number]
+        if met:
+            self.newer.add(met, *self.older.of(met))
+            new = [w for w in new if w not in self.older.number]
+        self.newer.add(new, *self._tokens(new))
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, each with ``end_id`` at its end; where each text begins)."""
+        if not self.by_pieces:
+            return self._whole(texts, end_id)
         words = find_words(texts, SPACED)
         start, end, low, first = word_pieces(words)
         length = end - start
@@ -170,14 +217,11 @@ class WordEncoder:
         code, at = distinct_pieces(data, stops - length, stops)
         raw = data.tobytes()
         distinct = [raw[a:b].decode() for a, b in zip((stops - length)[at].tolist(), stops[at].tolist())]
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self._forget()
-            new = distinct
-        self._learn(new)
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        place, size = np.append(self.stops[number], len(self.ids)), np.append(self.stops[number + 1] - self.stops[number], 1)
-        table = np.append(self.ids, np.uint32(end_id))
+        self._learn(distinct)
+        known = self.newer
+        number = np.fromiter(map(known.number.__getitem__, distinct), np.int64, len(distinct))
+        place, size = np.append(known.stops[number], len(known.ids)), np.append(known.stops[number + 1] - known.stops[number], 1)
+        table = np.append(known.ids, np.uint32(end_id))
         # each text's pieces, then its end
         code = np.insert(code, first[1:], len(distinct))
         sizes = size[code]
