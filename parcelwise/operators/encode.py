@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 from .. import fixed_values as fixed
 from ..functions.names import c, number_literal, numeric_columns, per_column, present, quote, replace_columns, text_columns, text_literal
 from ..functions.stats import corrected_skewness
+from ..session import reliable
+from . import label_numbers
 from .profile import category_counts, label_shares
 
 LITERAL_LABELS = 1_000   # labels held in an expression; more are joined
-WIDE_LABELS = 2_000      # indicator columns one table may get
+WIDE_LABELS = 2_000      # indicator columns one table may get; columns with more go to a sparse vector
 BROADCAST_LABELS = 100_000  # kept labels that are sent to every task
-VECTOR_LABELS = 100_000  # labels one sparse encoder may hold
+VECTOR_LABELS = 100_000  # labels the driver may hold; more are encoded by a dictionary table
 
 
 # --- skew ------------------------------------------------------------------
@@ -36,10 +38,11 @@ def log_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class FrequentLabels:
-    """Labels kept per column. ``1/threshold`` bounds their number."""
+    """Labels kept per column: a few as lists, more as a table ``column, value``."""
 
     labels: dict = field(default_factory=dict)
     other: str = fixed.RARE_LABEL
+    table: DataFrame | None = None
 
 
 def frequent_label_table(df: DataFrame, threshold: float, columns: list[str] | None = None) -> DataFrame:
@@ -51,12 +54,12 @@ def fit_frequent_labels(
 ) -> FrequentLabels:
     """Labels holding at least ``threshold`` of a column's present values.
 
-    Only those reach the driver. Thresholds so small that more than
-    ``LITERAL_LABELS`` could pass belong to ``collapse_rare_labels``.
+    ``1/threshold`` bounds the labels of a column. Up to ``LITERAL_LABELS`` of them reach the driver; where more could pass they stay a
+    table and are joined.
     """
-    if threshold * LITERAL_LABELS < 1:
-        raise ValueError("threshold lets too many labels pass for a fitted list; use collapse_rare_labels")
     names = columns or text_columns(df)
+    if threshold * LITERAL_LABELS < 1:
+        return FrequentLabels(dict.fromkeys(names, ()), other, label_numbers.frequent_table(df, threshold, names))
     kept: dict[str, list[str]] = {n: [] for n in names}
     for row in frequent_label_table(df, threshold, names).collect():
         kept[row["column"]].append(row["value"])
@@ -65,6 +68,8 @@ def fit_frequent_labels(
 
 def apply_frequent_labels(df: DataFrame, fitted: FrequentLabels) -> DataFrame:
     """Anything not kept becomes the other label: rare, unseen and missing values alike."""
+    if fitted.table is not None:
+        return label_numbers.keep_frequent(df, present(df, fitted.labels), fitted.table, fitted.other)
     changed = {}
     for n in present(df, fitted.labels):
         kept, other = ", ".join(map(text_literal, fitted.labels[n])), text_literal(fitted.other)
@@ -87,11 +92,11 @@ def collapse_rare_labels(df: DataFrame, threshold: float, column: str, other: st
 
 # --- one-hot ---------------------------------------------------------------
 
-def counted_labels(df: DataFrame, columns: list[str], limit: int = VECTOR_LABELS) -> dict[str, dict[str, int]]:
-    """Counts per label and column; refuses more labels than a vector encoder should hold."""
+def counted_labels(df: DataFrame, columns: list[str], limit: int = VECTOR_LABELS) -> dict[str, dict[str, int]] | None:
+    """Counts per label and column, or None if there are more labels than the driver should hold (``label_numbers`` takes any number)."""
     rows = category_counts(df, columns).limit(limit + 1).collect() if columns else []
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} labels: collapse rare labels first")
+        return None
     out: dict[str, dict[str, int]] = {}
     for r in rows:
         out.setdefault(r["column"], {})[r["value"]] = r["n"]
@@ -100,26 +105,36 @@ def counted_labels(df: DataFrame, columns: list[str], limit: int = VECTOR_LABELS
 
 @dataclass(frozen=True)
 class Indicators:
-    """Sorted labels per column, one 0/1 column each."""
+    """Sorted labels per column, one 0/1 column each; ``wide`` columns have more labels than a table should have columns."""
 
     labels: dict = field(default_factory=dict)
+    wide: tuple = ()
 
     def names(self, column: str) -> list[str]:
         return [f"{column}_{v}" for v in self.labels[column]]
 
 
 def fit_indicators(df: DataFrame, columns: list[str] | None = None, limit: int = WIDE_LABELS) -> Indicators:
-    """Learn the labels; more than ``limit`` of them belong in a sparse vector (``plans.stages``)."""
+    """Learn the labels, sorted within each column.
+
+    Columns are taken in order while all indicators together stay within ``limit``; a table has no room for the labels of the others,
+    which are listed as ``wide`` and belong in a sparse vector (``label_numbers``).
+    """
     names = columns or text_columns(df)
     if not names:
         return Indicators({})
-    rows = category_counts(df, names).select("column", "value").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} labels: use the sparse encoder instead of wide columns")
-    labels: dict[str, list[str]] = {n: [] for n in names}
-    for r in rows:
+    counts = reliable(category_counts(df, names))
+    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    room, wide = limit, []
+    for n in names:
+        if sizes.get(n, 0) <= room:
+            room -= sizes.get(n, 0)
+        else:
+            wide.append(n)
+    labels: dict[str, list[str]] = {n: [] for n in names if n not in wide}
+    for r in counts.where(F.col("column").isin(list(labels))).select("column", "value").collect():
         labels[r["column"]].append(r["value"])
-    return Indicators({n: sorted(v) for n, v in labels.items()})
+    return Indicators({n: sorted(v) for n, v in labels.items()}, tuple(wide))
 
 
 def apply_indicators(df: DataFrame, fitted: Indicators) -> DataFrame:

@@ -1,13 +1,18 @@
 """Exact order statistics (quantiles, k-th values) at any size.
 
 Spark's exact ``percentile`` keeps one value-to-count map per group in one
-task. That is the fast way while a group is small, so it is used behind a
-check of the group sizes. Beyond the limit the k-th value is found by narrowing
-a bracket: one pass sketches the values inside the bracket (fixed-size
-buffers), the next pass counts below, at and between two sketch points and
-keeps the part that holds the wanted rank. Both passes combine map-side, so
-no rows move, and a value repeated billions of times is met as a bracket end
-and counted. The counts make the answer exact whatever the sketch's error.
+task. That is the fast way while a group is small, so it is used for such groups.
+For the others the source is read twice:
+
+1. one aggregation counts each group and sketches its values (fixed-size buffers, combined map-side);
+2. around each wanted rank two sketch points make a bracket. One more pass turns the source into a narrow table of
+   ``(group, value, count)``: values inside a bracket are kept, all others fall together to one row for each side they are on.
+   That collapses in the tasks, before anything is shuffled.
+
+From then on only the narrow table is read. It holds each value once, however often it occurs, so a value that fills a
+third of the table is one row. Where a bracket still has more values than a task should sort, it is cut at sketch points again and
+only the part with the wanted rank is kept. Counts decide at each step, so the answer is exact whatever the sketch's error; a bracket
+that missed its rank is widened.
 """
 
 from __future__ import annotations
@@ -22,10 +27,12 @@ from ..session import reliable
 DIRECT_LIMIT = 250_000        # values per group that one task may hold
 RESIDUAL_LIMIT = 50_000       # values per bracket that are sorted at the end
 SKETCH_POINTS = 500
-BROADCAST_STATE_ROWS = 10_000
+BROADCAST_STATE_BYTES = 128 << 20
+SALTS = 32                    # copies of a bracket table that is too large to broadcast
 
 _GROUP = "__group"
 _VALUE = "__value"
+_COUNT = "__count"
 
 
 @dataclass(frozen=True)
@@ -36,63 +43,92 @@ class RankTarget:
     rank: str
 
 
-def _with_state(facts: DataFrame, state: DataFrame, state_rows: int) -> DataFrame:
-    """Attach each group's bracket; small states are broadcast, larger ones joined on the key."""
-    side = F.broadcast(state) if state_rows <= BROADCAST_STATE_ROWS else state
-    return facts.join(side, _GROUP)
+def _with_state(facts: DataFrame, state: DataFrame, state_rows: int, targets: int) -> DataFrame:
+    """Attach each group's row of ``state``.
+
+    It is broadcast while its rows are known to be few enough. Beyond that the facts of a group are dealt to SALTS tasks, each with a
+    copy of the group's row, so no group's facts meet in one task.
+    """
+    if state_rows * (64 + 32 * targets) <= BROADCAST_STATE_BYTES:
+        return facts.join(F.broadcast(state), _GROUP)
+    salted = facts.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    copies = state.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, [_GROUP, "__salt"]).drop("__salt")
+
+
+def _grid(points: int) -> str:
+    return "array(" + ", ".join(f"{i / points!r}D" for i in range(points + 1)) + ")"
+
+
+def sketch_expression(value: str, points: int = SKETCH_POINTS) -> Column:
+    """Approximate quantiles at ``points + 1`` even probabilities."""
+    return F.expr(f"percentile_approx({value}, {_grid(points)}, {points * 4})")
+
+
+def _brackets(sketched: DataFrame, targets: list[RankTarget], points: int, margin: int) -> DataFrame:
+    """``__group, n, <t>_rank, <t>_a, <t>_b``: sketch points around each rank, NULL where the bracket is open."""
+    cuts = []
+    for t in targets:
+        at = f"(CAST({t.rank} AS double) / greatest(n, 1) * {points})"
+        low, high = f"CAST(floor({at}) AS int) - {margin}", f"CAST(ceil({at}) AS int) + {margin + 1}"
+        cuts += [f"CAST({t.rank} AS bigint) AS {t.name}_rank", f"CASE WHEN {low} > 0 THEN get(grid, {low}) END AS {t.name}_a",
+                 f"CASE WHEN {high} < {points} THEN get(grid, {high}) END AS {t.name}_b"]
+    return sketched.selectExpr(_GROUP, "n", *cuts)
 
 
 def _inside(t: str) -> str:
-    return f"({t}_hit IS NULL AND ({t}_lo IS NULL OR {_VALUE} > {t}_lo) AND ({t}_hi IS NULL OR {_VALUE} < {t}_hi))"
+    return f"({t}_rank >= 0 AND ({t}_a IS NULL OR {_VALUE} >= {t}_a) AND ({t}_b IS NULL OR {_VALUE} <= {t}_b))"
 
 
-def _narrow(facts: DataFrame, state: DataFrame, names: list[str], rows: int, points: int, first: bool) -> DataFrame:
-    """One round: sketch inside the brackets, count around two sketch points, keep the right part.
+def _narrow(facts: DataFrame, state: DataFrame, state_rows: int, names: list[str]) -> DataFrame:
+    """``__group, t, __value, __count, rank``: the values inside each target's bracket, and the wanted rank among them.
 
-    In the first round every bracket is the whole group, so one sketch serves all targets.
+    One pass over the facts. ``side`` tells, for values outside all brackets, below which targets' brackets they are.
     """
-    grid = "array(" + ", ".join(f"{i / points!r}D" for i in range(points + 1)) + ")"
-    accuracy = points * 4
-    if first:
-        sketched = facts.groupBy(_GROUP).agg(F.expr(f"percentile_approx({_VALUE}, {grid}, {accuracy}) AS grid"))
-    else:
-        sketched = _with_state(facts, state, rows).groupBy(_GROUP).agg(*[
-            F.expr(f"percentile_approx(CASE WHEN {_inside(t)} THEN {_VALUE} END, {grid}, {accuracy}) AS {t}_grid") for t in names])
-    cuts = []
-    for t in names:
-        at, found = f"(({t}_rank - {t}_below) / {t}_cnt * {points})", "grid" if first else f"{t}_grid"
-        cuts.append(f"get({found}, greatest(int(floor({at})) - 1, 0)) AS {t}_a")
-        cuts.append(f"get({found}, least(int(ceil({at})) + 2, {points})) AS {t}_b")
-    # one row per group, used twice below
-    picked = reliable(state.join(sketched, _GROUP, "left").selectExpr(*state.columns, *cuts))
-    counts = []
-    for t in names:
-        tests = (f"{_VALUE} < {t}_a", f"{_VALUE} = {t}_a", f"{_VALUE} > {t}_a AND {_VALUE} < {t}_b", f"{_VALUE} = {t}_b AND {t}_b > {t}_a")
-        counts += [F.expr(f"count_if({_inside(t)} AND {test}) AS {t}_n{i}") for i, test in enumerate(tests)]
-    counted = _with_state(facts, picked, rows).groupBy(_GROUP).agg(*counts)
-    kept = [_GROUP, "n"]
-    for t in names:
-        n0, n1, n2, n3 = (f"{t}_n{i}" for i in range(4))
-        upto = [n0, f"{n0} + {n1}", f"{n0} + {n1} + {n2}", f"{n0} + {n1} + {n2} + {n3}"]
-        r = f"({t}_rank - {t}_below)"
-        part = (f"CASE WHEN {t}_hit IS NOT NULL THEN -1 " + " ".join(f"WHEN {r} < {u} THEN {i}" for i, u in enumerate(upto)) + " ELSE 4 END")
-        kept += [
-            f"{t}_rank",
-            f"CASE {part} WHEN 2 THEN {t}_a WHEN 4 THEN {t}_b ELSE {t}_lo END AS {t}_lo",
-            f"CASE {part} WHEN 0 THEN {t}_a WHEN 2 THEN {t}_b ELSE {t}_hi END AS {t}_hi",
-            f"CASE {part} WHEN 2 THEN {t}_below + {upto[1]} WHEN 4 THEN {t}_below + {upto[3]} ELSE {t}_below END AS {t}_below",
-            f"CASE {part} WHEN 0 THEN {n0} WHEN 2 THEN {n2} WHEN 4 THEN {t}_cnt - ({upto[3]}) ELSE {t}_cnt END AS {t}_cnt",
-            f"CASE {part} WHEN 1 THEN {t}_a WHEN 3 THEN {t}_b ELSE {t}_hit END AS {t}_hit",
-        ]
-    return reliable(picked.join(counted, _GROUP).selectExpr(*kept))
-
-
-def _pick_residual(facts: DataFrame, state: DataFrame, names: list[str], rows: int) -> DataFrame:
-    """Sort what is left in each (bounded) bracket and take the wanted element."""
-    gathered = _with_state(facts, state, rows).groupBy(_GROUP).agg(*[
-        F.expr(f"sort_array(collect_list(CASE WHEN {_inside(t)} THEN {_VALUE} END)) AS {t}_left") for t in names])
-    found = [f"coalesce({t}_hit, get({t}_left, int({t}_rank - {t}_below))) AS {t}" for t in names]
-    return state.join(gathered, _GROUP).selectExpr(_GROUP, "n", *found)
+    joined = _with_state(facts, state, state_rows, len(names))
+    any_inside = " OR ".join(_inside(t) for t in names)
+    side = " + ".join(f"CASE WHEN {_VALUE} < {t}_a THEN {1 << i}L ELSE 0L END" for i, t in enumerate(names))
+    kept = joined.selectExpr(
+        _GROUP, f"CASE WHEN {any_inside} THEN {_VALUE} END AS {_VALUE}", f"CASE WHEN {any_inside} THEN -1L ELSE {side} END AS side")
+    narrow = reliable(kept.groupBy(_GROUP, _VALUE, "side").agg(F.count(F.lit(1)).alias(_COUNT)))
+    below = [
+        F.sum(F.expr(f"CASE WHEN (side >= 0 AND (side & {1 << i}L) > 0) OR (side < 0 AND {_VALUE} < {t}_a) THEN {_COUNT} ELSE 0 END")).alias(f"{t}_below")
+        for i, t in enumerate(names)]
+    counted = _with_state(narrow, state, state_rows, len(names)).groupBy(_GROUP).agg(*below)
+    placed = reliable(state.join(counted, _GROUP))
+    inside = ", ".join(f"CASE WHEN {_inside(t)} THEN named_struct('t', {i}, 'rank', {t}_rank - {t}_below) END" for i, t in enumerate(names))
+    values = _with_state(narrow.where("side < 0").drop("side"), placed, state_rows, 2 * len(names))
+    return values.selectExpr(_GROUP, _VALUE, _COUNT, f"inline(array_compact(array({inside})))")
+
+
+def _cut(values: DataFrame, open_: DataFrame, n_open: int, points: int) -> DataFrame:
+    """Of the open brackets the part with the wanted rank, between two neighbouring sketch points of its values; others as they are."""
+    keys = [_GROUP, "t"]
+
+    def sent(side: DataFrame, row_bytes: int) -> DataFrame:
+        return F.broadcast(side) if n_open * row_bytes <= BROADCAST_STATE_BYTES else side
+
+    wide = values.join(sent(open_, 64), keys, "left_semi")
+    grids = wide.groupBy(*keys).agg(sketch_expression(_VALUE, points).alias("grid"))
+    part = reliable(wide.join(sent(grids, 16 * points), keys).withColumn("part", F.expr(f"size(filter(grid, g -> g < {_VALUE}))")).drop("grid"))
+    counts = part.groupBy(*keys, "part").agg(F.sum(_COUNT).alias("n"), F.first("rank").alias("rank"))
+    ordered = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("part", "n"))).alias("parts"), F.first("rank").alias("rank"))
+    start = "named_struct('part', CAST(NULL AS int), 'left', rank)"
+    step = ("CASE WHEN acc.part IS NOT NULL THEN acc WHEN acc.left < p.n THEN named_struct('part', p.part, 'left', acc.left) "
+            "ELSE named_struct('part', CAST(NULL AS int), 'left', acc.left - p.n) END")
+    wanted = ordered.selectExpr(*keys, f"aggregate(parts, {start}, (acc, p) -> {step}) AS w").selectExpr(*keys, "w.part AS part", "w.left AS left")
+    kept = part.join(sent(wanted, 64), [*keys, "part"]).selectExpr(*keys, _VALUE, _COUNT, "left AS rank")
+    return reliable(values.join(sent(open_, 64), keys, "left_anti").select(*keys, _VALUE, _COUNT, "rank").unionByName(kept))
+
+
+def _pick(values: DataFrame) -> DataFrame:
+    """``__group, t, found``: walk the few values of each bracket up to the wanted rank."""
+    kind = values.schema[_VALUE].dataType.simpleString()
+    listed = values.groupBy(_GROUP, "t").agg(F.sort_array(F.collect_list(F.struct(_VALUE, _COUNT))).alias("v"), F.first("rank").alias("rank"))
+    start = f"named_struct('at', CAST(NULL AS {kind}), 'left', rank)"
+    step = (f"CASE WHEN acc.left < 0 THEN acc ELSE named_struct('at', x.{_VALUE}, 'left', acc.left - x.{_COUNT}) END")
+    return listed.selectExpr(_GROUP, "t", f"aggregate(v, {start}, (acc, x) -> {step}) AS w").selectExpr(
+        _GROUP, "t", "CASE WHEN w.left < 0 THEN w.at END AS found")
 
 
 def kth_values(
@@ -102,31 +138,36 @@ def kth_values(
     targets: list[RankTarget],
     residual_limit: int = RESIDUAL_LIMIT,
     points: int = SKETCH_POINTS,
+    sketched: DataFrame | None = None,
 ) -> DataFrame:
     """Exact value at each wanted rank per group: columns ``__group, n, <target names>``.
 
-    A round keeps at most four steps of the ``points`` sketched, so more points
-    mean fewer rounds. A rank below 0 gives NULL. Runs jobs; the result holds one row per group.
+    A rank below 0 gives NULL. Runs jobs; the result holds one row per group. ``sketched`` (``__group, n, grid`` of the present values, with
+    the same ``points``) saves the first pass.
     """
     if points < 16:
         raise ValueError("points must be at least 16, or brackets hardly shrink")
-    facts = df.select(group.alias(_GROUP), value.alias(_VALUE)).where(f"{_VALUE} IS NOT NULL")
+    facts = df.select(group.alias(_GROUP), value.alias(_VALUE)).where(f"{_VALUE} IS NOT NULL AND {_GROUP} IS NOT NULL")
     names = [t.name for t in targets]
-    empty = f"CAST(NULL AS {facts.schema[_VALUE].dataType.simpleString()})"
-    start = [_GROUP, "n"]
-    for t in targets:
-        start += [f"CAST({t.rank} AS bigint) AS {t.name}_rank", f"{empty} AS {t.name}_lo", f"{empty} AS {t.name}_hi",
-                  f"0L AS {t.name}_below", f"n AS {t.name}_cnt", f"{empty} AS {t.name}_hit"]
-    sizes = facts.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("n"))
-    state = reliable(sizes.selectExpr(*start))
-    open_ = ", ".join(f"CASE WHEN {t}_hit IS NULL AND {t}_rank >= 0 THEN {t}_cnt ELSE 0 END" for t in names)
-    first = True
+    if sketched is None:
+        sketched = reliable(facts.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("n"), sketch_expression(_VALUE, points).alias("grid")))
+    groups = sketched.count()
+    margin = 1
     while True:
-        rows, left = state.selectExpr("count(*)", f"max(greatest({open_}, 0))").head()
-        if (left or 0) <= residual_limit:
-            return _pick_residual(facts, state, names, rows)
-        state = _narrow(facts, state, names, rows, points, first)
-        first = False
+        state = reliable(_brackets(sketched, targets, points, margin))
+        values = reliable(_narrow(facts, state, groups, names))
+        sizes = values.groupBy(_GROUP, "t").agg(F.count(F.lit(1)).alias("m"), F.sum(_COUNT).alias("n"), F.first("rank").alias("rank"))
+        wanted = state.selectExpr("sum(" + " + ".join(f"CASE WHEN {t}_rank BETWEEN 0 AND n - 1 THEN 1 ELSE 0 END" for t in names) + ")").head()[0] or 0
+        met, most = sizes.where("rank >= 0 AND rank < n").selectExpr("count(*)", "max(m)").head()
+        if met >= wanted or margin > points:
+            break
+        margin *= 8
+    while (most or 0) > residual_limit:
+        open_ = reliable(values.groupBy(_GROUP, "t").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > residual_limit).select(_GROUP, "t"))
+        values = _cut(values, open_, open_.count(), points)
+        most = values.groupBy(_GROUP, "t").count().agg(F.max("count")).head()[0]
+    found = _pick(values).groupBy(_GROUP).agg(*[F.max(F.when(F.col("t") == i, F.col("found"))).alias(t) for i, t in enumerate(names)])
+    return sketched.select(_GROUP, "n").join(found, _GROUP, "left")
 
 
 def _targets(probabilities: list[float]) -> list[RankTarget]:
@@ -148,11 +189,12 @@ def column_quantiles(
     counts: dict[str, int] | None = None,
     direct_limit: int = DIRECT_LIMIT,
     relative_error: float | None = None,
+    sketches: dict[str, list] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, all columns in the same pass.
 
-    ``counts`` (non-null values per column) skips the size check when it is known.
-    ``relative_error`` switches to the approximate sketch.
+    ``counts`` (non-null values per column) skips the size check when it is known; ``sketches`` (``sketch_expression`` per column) the
+    sketch pass. ``relative_error`` switches to the approximate sketch.
     """
     names = [n for n, ps in wanted.items() if ps]
     if not names:
@@ -171,9 +213,13 @@ def column_quantiles(
                 n: r["n"] for n, r in per_column(df, names, n=F.count(x)).items()}
         small = [n for n in names if counts.get(n, 0) <= direct_limit]
         large = [n for n in names if counts.get(n, 0) > direct_limit]
-        rows = {n: r["q"] for n, r in per_column(df, small, q=F.percentile(x, points)).items()}
+        if small:
+            rows = {n: r["q"] for n, r in per_column(df, small, q=F.percentile(x, points)).items()}
         if large:
-            picked = kth_values(long_numbers(df, large), F.col("column"), x, _targets(probabilities))
+            known = None
+            if sketches and all(sketches.get(n) for n in large):
+                known = df.sparkSession.createDataFrame([(n, counts[n], list(sketches[n])) for n in large], f"{_GROUP} string, n long, grid array<double>")
+            picked = kth_values(long_numbers(df, large), F.col("column"), x, _targets(probabilities), sketched=known)
             quantiles = ", ".join(_interpolated(i, p) for i, p in enumerate(probabilities))
             rows |= {r[0]: r[1] for r in picked.selectExpr(_GROUP, f"array({quantiles})").collect()}
     found: dict[str, list[float | None]] = {}
@@ -193,17 +239,23 @@ def grouped_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per group: ``key, n, <names>``.
 
-    Groups are sized first; if one is beyond ``direct_limit`` the bracket
-    search takes over, so no task ever holds a large group.
+    Groups are sized first. Those beyond ``direct_limit`` (at most rows / limit of them, so their keys can be sent to the tasks) go
+    through the bracket search; all others are small enough for one task each.
     """
     x = c(value).cast("double")
     facts = df.select(c(key).alias(_GROUP), F.when(~F.isnan(x), x).alias(_VALUE)).where(F.col(_GROUP).isNotNull())
     sizes = facts.groupBy(_GROUP).agg(F.count(_VALUE).alias("n"))
-    biggest = sizes.agg(F.max("n")).head()[0] or 0
-    if biggest <= direct_limit:
-        qs = F.percentile(F.col(_VALUE), F.array(*[F.lit(float(p)) for p in probabilities]))
-        return facts.groupBy(_GROUP).agg(F.count(_VALUE).alias("n"), qs.alias("q")).select(
+    heavy = reliable(sizes.where(F.col("n") > direct_limit).select(_GROUP))
+    n_heavy = heavy.count()
+    qs = F.percentile(F.col(_VALUE), F.array(*[F.lit(float(p)) for p in probabilities]))
+
+    def direct(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(_GROUP).agg(F.count(_VALUE).alias("n"), qs.alias("q")).select(
             F.col(_GROUP).alias(key), "n", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    picked = kth_values(facts, F.col(_GROUP), F.col(_VALUE), _targets(probabilities))
-    return picked.selectExpr(
+
+    if not n_heavy:
+        return direct(facts)
+    few = F.broadcast(heavy) if n_heavy * 64 <= BROADCAST_STATE_BYTES else heavy
+    picked = kth_values(facts.join(few, _GROUP, "left_semi"), F.col(_GROUP), F.col(_VALUE), _targets(probabilities)).selectExpr(
         f"{_GROUP} AS {quote(key)}", "n", *[f"{_interpolated(i, p)} AS {quote(n)}" for i, (p, n) in enumerate(zip(probabilities, names))])
+    return direct(facts.join(few, _GROUP, "left_anti")).unionByName(picked)

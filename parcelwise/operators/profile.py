@@ -8,7 +8,7 @@ from ..functions.hashing import row_hash
 from ..functions.names import c, long_numbers, long_row, numeric_columns, per_column, quote, stacked, text_columns, text_literal
 from ..functions.scalar import number
 from ..functions.stats import corrected_skewness, mode_smallest
-from .order_stats import column_quantiles
+from .order_stats import DIRECT_LIMIT, column_quantiles, sketch_expression
 
 
 def missing_test(df: DataFrame, name: str) -> str:
@@ -91,11 +91,17 @@ DESCRIBE_SCHEMA = (
 )
 
 
-def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def likely_large(df: DataFrame, direct_limit: int) -> bool:
+    """Does the optimizer expect more rows than one task may hold? Decides only what is computed ahead, never a result."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > 8 * direct_limit
+
+
+def describe_all(df: DataFrame, columns: list[str] | None = None, direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """Summary of every numeric and text column.
 
     ``column, count, unique, top, freq, mean, std, min, p25, p50, p75, max``;
-    label statistics are NULL for numbers, number statistics for labels.
+    label statistics are NULL for numbers, number statistics for labels. The numbers of a large table are read twice: once for the plain
+    statistics together with the sketch that starts the search for quartiles, once for the search.
     """
     wanted = set(columns or df.columns)
     numbers = [n for n in numeric_columns(df) if n in wanted]
@@ -104,8 +110,11 @@ def describe_all(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     parts = []
     if numbers:
         x = F.col("x")
-        basic = per_column(df, numbers, count=F.count(x), mean=F.avg(x), std=F.stddev_samp(x), min=F.min(x), max=F.max(x))
-        quartiles = column_quantiles(df, {n: [0.25, 0.5, 0.75] for n in numbers}, {n: r["count"] for n, r in basic.items()})
+        ahead = {"grid": sketch_expression("x")} if likely_large(df, direct_limit) else {}
+        basic = per_column(df, numbers, count=F.count(x), mean=F.avg(x), std=F.stddev_samp(x), min=F.min(x), max=F.max(x), **ahead)
+        quartiles = column_quantiles(
+            df, {n: [0.25, 0.5, 0.75] for n in numbers}, {n: basic[n]["count"] if n in basic else 0 for n in numbers}, direct_limit,
+            sketches={n: r["grid"] for n, r in basic.items()} if ahead else None)
         rows = []
         for n in numbers:
             r = basic.get(n) or dict.fromkeys(("mean", "std", "min", "max")) | {"count": 0}

@@ -307,13 +307,13 @@ def price_bands(spark, d):
 
 @query
 def density_curve(spark, d):
-    curve = histogram.density_curve(homes(spark, d), "sale_price", 200, bins=None)
+    curve = histogram.density_curve(homes(spark, d), "sale_price", 200)
     return curve.select("point", rounded("x", 4).alias("x"), rounded(F.col("density") * 1e6).alias("density_e6"))
 
 
 @query
 def density_curve_binned(spark, d):
-    curve = histogram.density_curve(lines(spark, d), "l_extendedprice", 200, bins=512)
+    curve = histogram.density_curve(lines(spark, d), "l_extendedprice", 200, fine=512)
     return curve.select("point", rounded("x", 4).alias("x"), rounded(F.col("density") * 1e6).alias("density_e6"))
 
 

@@ -232,12 +232,19 @@ CURVE = f"""g AS (SELECT CAST(unnest(generate_series(0, 199)) AS INT) AS point)
  SELECT point, {r('lo + point * ((hi - lo) / 199)', 4)} AS x,
  {r('sum(w * exp(-0.5E0 * pow((lo + point * ((hi - lo) / 199) - v) / h, 2))) / (n * h * sqrt(2 * pi())) * 1e6')} AS density_e6
  FROM pts, g, s GROUP BY point, lo, hi, h, n"""
-ORACLES["density_curve"] = homes(f""", s AS (SELECT count(*) AS n, min(sale_price) AS lo, max(sale_price) AS hi,
- stddev_samp(sale_price) * pow(count(*), -0.2E0) AS h FROM homes), pts AS (SELECT sale_price AS v, 1 AS w FROM homes), {CURVE}""")
-ORACLES["density_curve_binned"] = f"""WITH s AS (SELECT count(*) AS n, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi,
- stddev_samp(l_extendedprice) * pow(count(*), -0.2E0) AS h FROM lineitem),
-k AS (SELECT least(floor((l_extendedprice - lo) / ((hi - lo) / 512)), 511) AS bin FROM lineitem, s),
-pts AS (SELECT lo + (bin + 0.5E0) * ((hi - lo) / 512) AS v, count(*) AS w FROM k, s GROUP BY bin, lo, hi), {CURVE}"""
+
+
+def linear_bins(value: str, table: str, fine: int) -> str:
+    """``s`` and ``pts``: every value split over two points of a grid of ``fine`` steps."""
+    return f"""s AS (SELECT count({value}) AS n, min({value}) AS lo, max({value}) AS hi, stddev_samp({value}) * pow(count({value}), -0.2E0) AS h FROM {table}),
+at AS (SELECT least(greatest(({value} - lo) / ((hi - lo) / {fine}), 0), {fine}) AS at, lo, hi FROM {table}, s WHERE {value} IS NOT NULL),
+cut AS (SELECT least(floor(at), {fine - 1}) AS l, at, lo, hi FROM at),
+laid AS (SELECT l AS k, 1 - (at - l) AS w, lo, hi FROM cut UNION ALL SELECT l + 1, at - l, lo, hi FROM cut),
+pts AS (SELECT lo + k * ((hi - lo) / {fine}) AS v, sum(w) AS w FROM laid GROUP BY k, lo, hi), {CURVE}"""
+
+
+ORACLES["density_curve"] = homes(", " + linear_bins("sale_price", "homes", 21 * 199))
+ORACLES["density_curve_binned"] = "WITH " + linear_bins("l_extendedprice", "lineitem", 3 * 199)
 ORACLES["scatter_bins"] = homes("""SELECT CAST(floor(gr_liv_area / 200.0E0) AS BIGINT) AS x_bin, CAST(floor(sale_price / 25000.0E0) AS BIGINT) AS y_bin,
  count(*) AS n FROM homes WHERE gr_liv_area IS NOT NULL AND sale_price IS NOT NULL GROUP BY 1, 2""")
 ORACLES["regression_line"] = homes(f"""SELECT count(*) AS n, {r('regr_slope(sale_price, gr_liv_area)', 4)} AS slope,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import fixed_values as fixed
 from ..functions.names import c, numeric_columns, text_columns
-from ..operators import clean, encode, split
+from ..operators import clean, encode, label_numbers, split
 from ..operators.contracts import enforce
 from ..operators.housing import PROCESSED_CONTRACT, RAW_CONTRACT
 from ..operators.order_stats import column_quantiles
@@ -43,13 +43,15 @@ class Prepared:
     skewed: list[str] = field(default_factory=list)
     indicators: encode.Indicators = field(default_factory=encode.Indicators)
     features: list[str] = field(default_factory=list)
+    dictionary: DataFrame | None = None  # numbers of the labels in the ``label_numbers`` column, if there is one
 
 
 def prepare(raw: DataFrame, options: Options = Options()) -> Prepared:
     """Drop sparse, fill, drop outliers, log, encode, split; statistics come from the whole table.
 
     Each step is a projection over the raw scan, so a statistics pass reads
-    only the columns it needs and nothing is materialised between steps.
+    only the columns it needs and nothing is materialised between steps. Text columns with more labels than a table should
+    have columns are not spread out: an array column ``label_numbers`` holds their labels' numbers in ``Prepared.dictionary``.
     """
     o = options
     if o.key not in raw.columns:
@@ -87,10 +89,15 @@ def prepare(raw: DataFrame, options: Options = Options()) -> Prepared:
     indicators = encode.fit_indicators(df, [n for n in text_columns(df) if n != o.key])
     df = encode.apply_indicators(df, indicators)
     features = [n for n in numeric_columns(df) if n not in (o.key, o.target)]
-    df = df.select(c(o.key), *[c(n) for n in features], c(o.target))
+    dictionary, extra = None, []
+    if indicators.wide:
+        dictionary = label_numbers.fit_dictionary(df, list(indicators.wide))
+        df = label_numbers.label_numbers(df, list(indicators.wide), dictionary)
+        extra = [F.array_compact(F.array(*[c(n) for n in sorted(indicators.wide)])).alias("label_numbers")]
+    df = df.select(c(o.key), *[c(n) for n in features], *extra, c(o.target))
     table = split.split_by_target(
         df, o.key, o.target, at_most=n_rows, test_size=o.test_size, val_size=o.val_size, seed=o.seed, exact=o.exact_split)
-    return Prepared(table, dropped, fill, bounds, skewed, indicators, features)
+    return Prepared(table, dropped, fill, bounds, skewed, indicators, features, dictionary)
 
 
 def run(spark: SparkSession, raw_path: str, out_path: str, options: Options = Options(), schema=None) -> Prepared:

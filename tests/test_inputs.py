@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,10 +104,24 @@ def test_bins_of_an_empty_table(spark):
     assert df.select(split.quantile_bin(F.col("x"), split.quantile_edges(df, "x"))).count() == 0
 
 
-def test_density_by_bins_is_close_to_the_exact_curve(spark):
-    df = spark.range(3000).select((F.rand(3) * 10 + F.col("id") % 7).alias("x"))
-    exact, binned = (histogram.density_curve(df, "x", 30, bins=b).orderBy("point").toPandas() for b in (None, 2048))
-    assert (exact["density"] - binned["density"]).abs().max() < 1e-4
+def test_density_is_as_close_to_the_exact_curve_as_stated(spark):
+    rng = np.random.default_rng(3)
+    for values in (rng.random(3000) * 10 + np.arange(3000) % 7, rng.exponential(5, 500), np.repeat([0.0, 1.0], 40)):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        for fine in (64, 4096):
+            got = histogram.density_curve(df, "x", 30, fine).orderBy("point").toPandas()
+            h = values.std(ddof=1) * len(values) ** -0.2
+            x = np.linspace(values.min(), values.max(), 30)
+            exact = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+            step = (values.max() - values.min()) / 29 / -(-fine // 29)
+            assert np.abs(got["density"] - exact).max() <= step**2 / (8 * h**3 * np.sqrt(2 * np.pi)) + 1e-12
+
+
+def test_density_writes_no_row_for_each_value(spark):
+    plan = histogram.density_curve(spark.range(1000).select(F.col("id").cast("double").alias("x")), "x")._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Scan") if "Scan" in plan else True
+    leaf = plan[plan.rindex("Range"):] if "Range" in plan else plan
+    assert "Generate" not in leaf and plan.count("HashAggregate") >= 4  # the first generator stands above a partial and a final count
 
 
 def test_small_sides_are_sent_to_the_tasks(spark):

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parcelwise.operators import order_stats
 from parcelwise.operators.order_stats import RankTarget, column_quantiles, grouped_quantiles, kth_values
+from parcelwise.operators.profile import describe_all
 
 PS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -72,3 +74,57 @@ def test_interpolated_not_lower_element(spark):
 def test_approximate_option(spark):
     df = spark.range(10001).select(F.col("id").cast("double").alias("a"))
     assert abs(column_quantiles(df, {"a": [0.5]}, relative_error=0.001)["a"][0] - 5000) <= 20
+
+
+def _records_read(spark, run) -> int:
+    """Records that the stages of ``run`` read from files."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    none = spark.sparkContext._jvm.java.util.ArrayList()
+
+    def total():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none)
+        return sum(stages.apply(i).inputRecords() for i in range(stages.size()))
+
+    before = total()
+    run()
+    return total() - before
+
+
+def test_describe_reads_the_source_twice(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(float(rng.randrange(50)), rng.random(), rng.randrange(10**9)) for _ in range(5000)]
+    spark.createDataFrame(rows, "a double, b double, c long").repartition(4).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    got = {}
+    read = _records_read(spark, lambda: got.update({r["column"]: r for r in describe_all(df, direct_limit=100).collect()}))
+    assert read == 2 * len(rows)
+    for i, n in enumerate("abc"):
+        np.testing.assert_allclose([got[n][p] for p in ("p25", "p50", "p75")], np.quantile([float(r[i]) for r in rows], [0.25, 0.5, 0.75]), rtol=1e-12)
+
+
+def test_heavy_groups_are_searched_apart(spark):
+    """One group holds a third of the rows, 20,000 others the rest; only the heavy one goes through the search, and its key is sent."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.pmod(F.xxhash64("id"), F.lit(20_000)))).alias("k"), (F.col("id") * 7919 % 60_000).cast("double").alias("x"))
+    out = grouped_quantiles(df, "k", "x", [0.5], ["mid"], direct_limit=1000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftAnti") == 1 and "strategy=broadcast" in plan and "percentile(" in plan
+    got = {r["k"]: (r["n"], r["mid"]) for r in out.collect()}
+    frame = df.toPandas().groupby("k")["x"]
+    want = frame.agg(["size", "median"])
+    assert len(got) == len(want) and all(got[k] == (n, m) for k, n, m in want.itertuples())
+    assert got["hot"][0] == 20_000
+
+
+def test_copies_of_a_bracket_table_too_large_to_send(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "BROADCAST_STATE_BYTES", 0)
+    rows = skewed_rows(2000)
+    df = spark.createDataFrame(rows, "k string, x double, h long").repartition(5)
+    got = {r["k"]: r["mid"] for r in grouped_quantiles(df, "k", "x", [0.5], ["mid"], direct_limit=0).collect()}
+    assert got == {k: float(np.quantile([r[1] for r in rows if r[0] == k], 0.5)) for k in {r[0] for r in rows}}
+
+
+def test_a_value_held_by_all_and_a_null_group(spark):
+    df = spark.createDataFrame([("a", 5.0)] * 300 + [(None, 1.0)] * 5 + [("b", None)], "k string, x double")
+    got = {r["k"]: (r["n"], r["mid"]) for r in grouped_quantiles(df, "k", "x", [0.5], ["mid"], direct_limit=10).collect()}
+    assert got == {"a": (300, 5.0), "b": (0, None)}
