@@ -323,7 +323,7 @@ def _write_slices(rows: DataFrame, buckets: int) -> DataFrame:
 def _subtrees(dealt: DataFrame, buckets: int) -> DataFrame:
     """(kind, key, zeros, ones, weight, keys, chances) of the depths below ``TOP``.
 
-    Kind 0: by bucket (in ``key``), keys with the chances of their bits in the subtree; 1: a key of depth ``TOP`` and its count (in ``ones``); 2: what a
+    Kind 0: by bucket (in ``key``), keys with the chances of their bits in the subtree, in 32 bits; 1: a key of depth ``TOP`` and its count (in ``ones``); 2: what a
     subtree passes up to a decision of depth ``TOP``.
     """
 
@@ -358,9 +358,9 @@ def _subtrees(dealt: DataFrame, buckets: int) -> DataFrame:
         bucket = _bucket(mine, buckets)
         order = np.argsort(bucket, kind="stable")
         mine = mine[order]
-        chances = np.concatenate([np.zeros((0, 8)), *[trees.chances(mine[i : i + KEYS]) for i in range(0, len(mine), KEYS)]])
+        chances = np.concatenate([np.zeros((0, 8), np.float32), *[trees.chances(mine[i : i + KEYS]).astype(np.float32) for i in range(0, len(mine), KEYS)]])
         pieces = _pieces(bucket[order], buckets)
-        yield rows(0, np.array([b for b, _ in pieces]), packed=([mine[p].tobytes() for _, p in pieces], [chances[p].tobytes() for _, p in pieces]))
+        yield rows(0, np.array([b for b, _ in pieces]), packed=([mine[p].tobytes() for _, p in pieces], [chances[p].astype(np.float32).tobytes() for _, p in pieces]))
 
     def rows(kind: int, key, zeros=None, ones=None, weight=None, packed=None) -> pa.RecordBatch:
         numbers = [np.zeros(len(key)) if x is None else np.asarray(x, np.float64) for x in (zeros, ones, weight)]
@@ -385,8 +385,8 @@ def _answers(dealt: DataFrame, found: DataFrame, top) -> DataFrame:
     """(slice, bucket, scores): log10 probability of each of a slice's distinct keys, in the order in which they were sent."""
 
     def answer(key: tuple, asked: pa.Table, table: pa.Table) -> pa.Table:
-        mine, chances = _packed(table["keys"], np.uint64), _packed(table["chances"], np.float64).reshape(-1, 8)
-        value = np.concatenate([np.zeros(0), *[top.value.log10(mine[i : i + KEYS], chances[i : i + KEYS]) for i in range(0, len(mine), KEYS)]])
+        mine, chances = _packed(table["keys"], np.uint64), _packed(table["chances"], np.float32).reshape(-1, 8)
+        value = np.concatenate([np.zeros(0), *[top.value.log10(mine[i : i + KEYS], chances[i : i + KEYS].astype(np.float64)) for i in range(0, len(mine), KEYS)]])
         order = np.argsort(mine)
         mine, value = mine[order], value[order]
         return pa.table({
