@@ -11,10 +11,11 @@
    two segments is counted by itself (``array_intersect``), and partial overlaps are summed by pair.
 4. A pair is formed under an n-gram only if the ranks of that n-gram in both sets leave the similarity possible, were it the
    first they share; so near copies with many changes do not meet under the n-grams that all have.
-5. Links are sought in two rounds. First each n-gram's classes are tested against the one in which it ranks first (of near
-   copies, the one with fewest changes) and against their neighbours in size: linear in the rows. Their links give components; then all pairs that
-   share a prefix n-gram but not yet a component, and fit in size, are tested. A pair within one component is never needed,
-   so a large group of near copies is not spelled out, and no link between two groups can be missed.
+5. Links are sought in rounds, each among what shares a prefix n-gram but not yet a component. First every class is tested against
+   one other: of those in which an n-gram of its prefix ranks first, the one where that rank is least (of near copies, one with few
+   changes, the same for nearly all). Then against each n-gram's first and its neighbour in size: linear in the rows. Then all pairs
+   that are left and fit in size. A pair within one component is never needed, so a large group of near copies is not spelled out, and
+   no link between two groups can be missed.
 
 Set members are 64-bit hashes, classes 128-bit sums over them.
 
@@ -180,7 +181,7 @@ def _fits(x: Column, y: Column, percent: int) -> Column:
 def _links(pairs: DataFrame, docs: DataFrame, n: int, percent: int, slots: Broadcast, pivots: np.ndarray) -> DataFrame:
     """(u, v) of those pairs whose overlap is large enough, counted fragment by fragment."""
     ends = pairs.select(F.expr("a.c1 ^ stands_a").alias("end")).union(pairs.select(F.expr("b.c1 ^ stands_b"))).distinct()
-    segments = _segments(docs, n, slots, pivots, bitmap(ends, "end", ends.count()))
+    segments = reliable(_segments(docs, n, slots, pivots, bitmap(ends, "end", ends.count())))
     pairs = pairs.select("a", "b", "na", "nb")
     of_b = pairs.join(segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("of_b")), "b")
     both = of_b.join(segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("of_a")), ["a", "fragment"])
@@ -222,26 +223,48 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ))
 
     by_size = same.orderBy("x.size", "x.c")
-    near = shared.select("x", F.min("x").over(same).alias("hub"), F.lag("x").over(by_size).alias("next"))
-    pairs = near.select(F.explode(F.array("hub", "next")).alias("y"), "x").where("y IS NOT NULL AND x.c <> y.c")
-    tested = reliable(pairs.where(_fits(F.col("x"), F.col("y"), percent)).select(*_ordered("x", "y")).distinct())
-    edges = _links(_may_reach(tested, classes, percent), docs, n, percent, slots, pivots)
-    found = components(edges)
-
-    # what shares a prefix n-gram and no component yet
-    labelled = shared.join(found.select(F.col("node").alias("c"), "component"), F.col("x.c") == F.col("c"), "left").select(
-        "gram", "x", F.coalesce("component", "x.c").alias("component")
-    )
-    split = labelled.select("*", F.min("component").over(same).alias("low"), F.max("component").over(same).alias("high")).where("low < high").drop("low", "high")
-    split = reliable(split)
-    other = split.select("gram", F.col("x").alias("y"), F.col("component").alias("component_y"))
-    left = split.join(other, "gram").where("component <> component_y AND x.c < y.c").where(_fits(F.col("x"), F.col("y"), percent))
-    left = left.select(*_ordered("x", "y")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "b", "na", "nb")
-    left = _may_reach(left, classes, percent)
-    if left.limit(1).count():
-        edges = edges.union(_links(left, docs, n, percent, slots, pivots))
-        found = components(edges)
-
+    edges = found = None
+    tested: DataFrame | None = None
+
+    def settle(pairs: DataFrame) -> None:
+        """Test pairs of classes and join the components of those that link."""
+        nonlocal edges, found, tested
+        pairs = pairs.select(*_ordered("x", "y")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti").select("a", "b", "na", "nb")
+        pairs = reliable(pairs)
+        tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
+        likely = _may_reach(pairs, classes, percent)
+        if likely.limit(1).count():
+            new = _links(likely, docs, n, percent, slots, pivots)
+            edges = new if edges is None else edges.union(new)
+            found = components(edges)
+
+    def apart(rows: DataFrame) -> DataFrame:
+        """The rows of n-grams whose classes are not yet in one component, with the component."""
+        if found is None:
+            return rows.withColumn("component", F.col("x.c"))
+        labelled = rows.drop("component").join(found.select(F.col("node").alias("c"), "component"), F.col("x.c") == F.col("c"), "left").select(
+            "gram", "x", F.coalesce("component", "x.c").alias("component")
+        )
+        return reliable(labelled.select("*", F.min("component").over(same).alias("low"), F.max("component").over(same).alias("high")).where("low < high").drop("low", "high"))
+
+    fits = _fits(F.col("x"), F.col("y"), percent)
+    first = shared.select("x", F.min("x").over(same).alias("y")).where("x.c <> y.c").where(fits)
+    settle(first.groupBy("x.c").agg(F.first("x").alias("x"), F.min("y").alias("y")))
+
+    left = apart(shared)
+    both = F.struct("x", "component")
+    near = left.select(both.alias("p"), F.min(both).over(same).alias("hub"), F.lag(both).over(by_size).alias("next"))
+    near = near.select("p", F.explode(F.array("hub", "next")).alias("q")).where("q IS NOT NULL AND p.component <> q.component")
+    settle(near.select("p.x", F.col("q.x").alias("y")).where(fits))
+
+    left = apart(left)
+    other = left.select("gram", F.col("x").alias("y"), F.col("component").alias("component_y"))
+    settle(left.join(other, "gram").where("component <> component_y AND x.c < y.c").where(fits).select("x", "y"))
+
+    if found is None:
+        found = classes.select(F.col("c").alias("node"), F.col("c").alias("component")).limit(0)
     named = classes.select("c", "least").join(found.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(names, "component").select("c", "component_id")
