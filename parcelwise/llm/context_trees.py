@@ -486,11 +486,11 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         offsets = np.concatenate(([0], np.cumsum(sizes.to_numpy())))
         data = pa.Codec("zstd").decompress(part["text"][0].as_py(), int(offsets[-1]))
         whole = pa.record_batch([pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(offsets), data)], names=["text"])
-        streams, counts, hot_sum, n_hot, distinct = [], [], [], [], []
+        # streams are made twice: kept, they would be eight times the slice
+        counts, hot_sum, n_hot, distinct, scores, sizes_in_keys = [], [], [], [], [], []
         for some in slices(whole, 0, SLICE_BYTES):
             words = find_words(some.column(0), SPACED, lower=True)
-            streams.append(stream(words))
-            each = np.sort(streams[-1][0])
+            each = np.sort(stream(words)[0])
             distinct.append(each[np.concatenate(([True], each[1:] != each[:-1]))])
             h, row = words.hashes(), words.rows()
             table, logs = hot.value
@@ -500,11 +500,16 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             hot_sum.append(np.bincount(row[is_hot], logs[at[is_hot]], some.num_rows).astype(np.float64))
             n_hot.append(np.bincount(row[is_hot], minlength=some.num_rows).astype(np.int64))
             counts.append(words.counts.astype(np.int64) + 1)
+            del words, each, h, row, at
         distinct = np.unique(np.concatenate(distinct))
         value = np.zeros(len(distinct))
         value[np.argsort(_bucket(distinct, buckets), kind="stable")] = _packed(answers.sort_by("bucket")["scores"], np.float64)
-        score = np.concatenate([np.add.reduceat(value[np.searchsorted(distinct, key)], begins[:-1]) for key, begins in streams])
-        size = np.concatenate([np.diff(begins) for _, begins in streams])
+        for some in slices(whole, 0, SLICE_BYTES):
+            key, begins = stream(find_words(some.column(0), SPACED, lower=True))
+            scores.append(np.add.reduceat(value[np.searchsorted(distinct, key)], begins[:-1]))
+            sizes_in_keys.append(np.diff(begins))
+            del key
+        score, size = np.concatenate(scores), np.concatenate(sizes_in_keys)
         return pa.table(
             [doc_ids, text_keys, pa.array(np.concatenate(counts)), pa.array(np.concatenate(hot_sum)), pa.array(np.concatenate(n_hot)), pa.array(score), pa.array(-score * np.log2(10) / size)],
             names=["doc_id", "text_key", "n_tokens", "hot_sum", "n_hot", "score", "code_bytes"],
