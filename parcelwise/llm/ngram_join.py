@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from parcelwise.llm.bitmaps import bitmap, passes
-from parcelwise.llm.components import components
+from parcelwise.llm.components import components, few
 from parcelwise.llm.words import SPACED, find_words, grams, mix, slices
 from parcelwise.session import reliable
 
@@ -142,7 +142,8 @@ def _may_reach(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     of_a = classes.select(F.col("c").alias("a"), F.col("parts").alias("parts_a"), F.col("stands").alias("stands_a"))
     of_b = classes.select(F.col("c").alias("b"), F.col("parts").alias("parts_b"), F.col("stands").alias("stands_b"))
-    joined = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "na", "nb", "stands_a", "stands_b", "parts_a", "parts_b")
+    rows = pairs.count()
+    joined = few(few(pairs.join(of_a, "a"), rows).join(of_b, "b"), rows).select("a", "b", "na", "nb", "stands_a", "stands_b", "parts_a", "parts_b")
     names = ["a", "b", "na", "nb", "stands_a", "stands_b"]
     return reliable(joined.mapInArrow(judge, joined.select(names).schema))
 
@@ -183,11 +184,13 @@ def _links(pairs: DataFrame, docs: DataFrame, n: int, percent: int, slots: Broad
     ends = pairs.select(F.expr("a.c1 ^ stands_a").alias("end")).union(pairs.select(F.expr("b.c1 ^ stands_b"))).distinct()
     segments = reliable(_segments(docs, n, slots, pivots, bitmap(ends, "end", ends.count())))
     pairs = pairs.select("a", "b", "na", "nb")
-    of_b = pairs.join(segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("of_b")), "b")
-    both = of_b.join(segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("of_a")), ["a", "fragment"])
+    rows, kept = FRAGMENTS * pairs.count(), segments.count()
+    segments = few(segments, kept)
+    of_b = few(pairs.join(segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("of_b")), "b"), rows)
+    both = few(of_b.join(segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("of_a")), ["a", "fragment"]), rows)
     partial = both.select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
     # a document given twice brings its segments twice
-    partial = partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap"))
+    partial = few(partial.groupBy("a", "b", "na", "nb", "fragment").agg(F.max("overlap").alias("overlap")), rows)
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
     return reliable(summed.where(f"100 * overlap >= {percent} * (na + nb - overlap)").select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -222,6 +225,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "gram", F.struct(F.col("place").bitwiseAND(0xFFFFFFFF).alias("rank"), F.shiftright("place", 32).alias("size"), F.struct("c1", "c2").alias("c")).alias("x")
     ))
 
+    n_shared = shared.count()
+    shared = few(shared, n_shared)
+    classes = reliable(classes)
+    classes = few(classes, classes.count())
     by_size = same.orderBy("x.size", "x.c")
     edges = found = None
     tested: DataFrame | None = None
@@ -233,10 +240,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti").select("a", "b", "na", "nb")
         pairs = reliable(pairs)
+        pairs = few(pairs, pairs.count())
         tested = pairs.select("a", "b") if tested is None else tested.union(pairs.select("a", "b"))
         likely = _may_reach(pairs, classes, percent)
-        if likely.limit(1).count():
-            new = _links(likely, docs, n, percent, slots, pivots)
+        n_likely = likely.count()
+        if n_likely:
+            new = _links(few(likely, n_likely), docs, n, percent, slots, pivots)
             edges = new if edges is None else edges.union(new)
             found = components(edges)
 
@@ -244,9 +253,10 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """The rows of n-grams whose classes are not yet in one component, with the component."""
         if found is None:
             return rows.withColumn("component", F.col("x.c"))
-        labelled = rows.drop("component").join(found.select(F.col("node").alias("c"), "component"), F.col("x.c") == F.col("c"), "left").select(
+        labelled = few(rows.drop("component"), n_shared).join(found.select(F.col("node").alias("c"), "component"), F.col("x.c") == F.col("c"), "left").select(
             "gram", "x", F.coalesce("component", "x.c").alias("component")
         )
+        labelled = few(labelled, n_shared)
         return reliable(labelled.select("*", F.min("component").over(same).alias("low"), F.max("component").over(same).alias("high")).where("low < high").drop("low", "high"))
 
     fits = _fits(F.col("x"), F.col("y"), percent)
