@@ -185,7 +185,7 @@ def _links(pairs: DataFrame, docs: DataFrame, n: int, percent: int, slots: Broad
     segments = reliable(_segments(docs, n, slots, pivots, bitmap(ends, "end", ends.count())))
     pairs = pairs.select("a", "b", "na", "nb")
     rows, kept = FRAGMENTS * pairs.count(), segments.count()
-    segments = few(segments, kept)
+    segments = few(segments, FRAGMENTS * kept)  # rows are lists
     of_b = few(pairs.join(segments.select(F.col("c").alias("b"), "fragment", F.col("grams").alias("of_b")), "b"), rows)
     both = few(of_b.join(segments.select(F.col("c").alias("a"), "fragment", F.col("grams").alias("of_a")), ["a", "fragment"]), rows)
     partial = both.select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("of_a", "of_b")).alias("overlap"))
@@ -204,6 +204,16 @@ def _ordered(p: str, q: str) -> list[Column]:
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id): the groups that links of ``percent`` / 100 Jaccard similarity or more form."""
+    return jaccard_classes(docs, id_col, text_col, n, percent).select(
+        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, class, component, component_id) of every row.
+
+    ``class`` is one value for equal sets and null for an empty one; ``component`` the least class that links reach, whatever the ids.
+    """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
     read = reliable(_read(docs, n))
@@ -277,7 +287,26 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = classes.select(F.col("c").alias("node"), F.col("c").alias("component")).limit(0)
     named = classes.select("c", "least").join(found.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(names, "component").select("c", "component_id")
-    return rows.join(named, "c", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    named = named.join(names, "component").select("c", "component", "component_id")
+    return rows.join(named, "c", "left").select("doc_id", F.col("size").alias("n_shingles"), F.col("c").alias("class"), "component", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each group of near copies: of those with the least id one with the least text hash; rows without words stay.
+
+    Rows are told apart by id and text, null ids come last, and of rows equal in both one stays. Other columns are those of the row kept.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64(text_col))
+    classes = jaccard_classes(keyed.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__key").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", n, percent)
+    classes = reliable(classes.where("class IS NOT NULL").groupBy("doc_id").agg(F.first("component_id").alias("component_id"), F.count("*").alias("rows")))
+
+    def keys(found: DataFrame) -> DataFrame:
+        return found.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.__key").alias("__at"))
+
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__at"))
+    rows = keyed.join(keys(classes.where("doc_id <> component_id")), same, "left_anti")
+    # rows given more than once: texts are shuffled for these only
+    again = keys(classes.where("doc_id = component_id AND rows > 1"))
+    others = [x for x in docs.columns if x not in (id_col, text_col)]
+    once = rows.join(again, same, "left_semi").groupBy(F.col(id_col), F.col("__key")).agg(F.min(text_col).alias(text_col), *[F.first(x).alias(x) for x in others])
+    return rows.join(again, same, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
