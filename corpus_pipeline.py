@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes all its predecessor kept and returns the columns of ``documents``; the last returns the packed pieces.
-Rows are addressed by doc_id; rows that share one are taken as one document.
+Rows are addressed by doc_id together with a hash of the text, ids may be null or repeated. Null and empty texts pass the stages
+that look for copies and passages; the classifier judges them like others. Empty tables give empty results; extra columns
+are carried along.
 """
 
 from __future__ import annotations
@@ -22,10 +24,8 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    groups = ngram_join.jaccard_groups(docs)
-    others = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near copies the row with the smallest id stays; of equal rows one."""
+    return ngram_join.keep_one(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
