@@ -8,15 +8,15 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fixed
 from ..functions.names import c, quote, replace_columns
-from ..operators import clean, contracts, correlation, encode, histogram, housing, metrics, models, order_stats, profile, split, tuning
+from ..operators import clean, contracts, correlation, encode, histogram, housing, label_numbers, metrics, models, order_stats, profile, split, tuning
 from ..session import scratch_dir, spread, use_checkpoints
-from ..sources import tabular
+from ..sources import quarantine, tabular
 from ..sources.homes import canonical, homes, homes_bad, table
-from ..streaming.score_stream import read_request_stream, start_scoring
+from ..streaming.score_stream import read_request_stream, read_scored, start_scoring
 from . import preprocess, registry, scoring, stages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,59 @@ def csv_orders(spark, d):
     return tabular.read_csv(spark, path)
 
 
+def _ragged_orders(spark, d) -> str:
+    """Orders as CSV lines, some with a cell too many or too few, some with a price or key that is none."""
+    path = scratch_dir(spark, "ragged-csv")
+    price = F.when(F.col("o_orderkey") % 13 == 0, "n.b.").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    key = F.when(F.col("o_orderkey") % 17 == 0, F.concat(F.lit("x"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
+    cells = F.when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", key, price)).when(
+        F.col("o_orderkey") % 7 == 0, F.concat_ws(",", key, price, "o_orderpriority", F.lit("more"))).otherwise(F.concat_ws(",", key, price, "o_orderpriority"))
+    table(spark, d, "orders").select(cells.alias("id,price,priority")).write.option("header", True).option("sep", "\t").csv(path)
+    return path
+
+
+ORDER_LINES = T.StructType([T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType()), T.StructField("priority", T.StringType())])
+
+
+@query
+def csv_good_rows(spark, d):
+    """Rows that load from a file with bad ones."""
+    good, _ = quarantine.read_csv_with_quarantine(spark, _ragged_orders(spark, d), ORDER_LINES)
+    return round_doubles(good, 2)
+
+
+@query
+def csv_quarantine(spark, d):
+    """The bad rows of the same file, each reason on a row."""
+    _, bad = quarantine.read_csv_with_quarantine(spark, _ragged_orders(spark, d), ORDER_LINES)
+    return bad.select("record", F.inline("reasons")).select("record", "column", "check", "value")
+
+
+@query
+def prepare_from_csv(spark, d):
+    """The preparation run from a CSV to written splits, all splits read back from the current version."""
+    path, out = scratch_dir(spark, "homes-csv"), scratch_dir(spark, "prepared")
+    canonical(homes(spark, d)).write.option("header", True).option("nullValue", "NA").csv(path)
+    types = contracts.Contract("homes from CSV", tuple(contracts.ColumnRule(x.column, x.dtype) for x in HOMES_CONTRACT.rules))
+    preprocess.run(spark, path, out, contract=types)
+    parts = [preprocess.read_prepared_split(spark, out, name).withColumn("split", F.lit(name)) for name in tabular.SPLITS]
+    return round_doubles(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query
+def label_dictionary(spark, d):
+    """Gapless numbers of every customer and order label, by the route for any number of labels."""
+    names = table(spark, d, "customer").select("c_name", "c_mktsegment")
+    return label_numbers.fit_dictionary(names, ["c_name", "c_mktsegment"])
+
+
+@query
+def split_shared_keys(spark, d):
+    """Sizes of an exact split whose rows share keys."""
+    rows = split.stratified_split(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag"), "l_suppkey", F.col("l_returnflag"))
+    return rows.groupBy("l_returnflag", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def normalise_names(spark, d):
     """An underscore-named table with coordinates and worded ratings comes back canonical."""
@@ -730,4 +783,14 @@ def score_stream(spark, d):
     _requests(spark, d).write.json(f"{root}/in")
     stream = read_request_stream(spark, f"{root}/in", {"pid": "bigint"})
     start_scoring(stream, _price_model(spark, d), f"{root}/out", f"{root}/state", ["pid"], once=True, stamp=False).awaitTermination()
-    return spark.read.parquet(f"{root}/out/scored").drop("batch")
+    return read_scored(spark, f"{root}/out")
+
+
+@query
+def score_stream_stamped(spark, d):
+    """Stamped predictions of the stream: ids follow from the run's name and the request's key."""
+    root = scratch_dir(spark, "stream")
+    _requests(spark, d).write.json(f"{root}/in")
+    stream = read_request_stream(spark, f"{root}/in", {"pid": "bigint"})
+    start_scoring(stream, _price_model(spark, d), f"{root}/out", f"{root}/state", ["pid"], once=True, run="nightly").awaitTermination()
+    return read_scored(spark, f"{root}/out").select("pid", "prediction_id", F.col("timestamp").isNotNull().alias("stamped"))

@@ -237,9 +237,9 @@ CURVE = f"""g AS (SELECT CAST(unnest(generate_series(0, 199)) AS INT) AS point)
 def linear_bins(value: str, table: str, fine: int) -> str:
     """``s`` and ``pts``: every value split over two points of a grid of ``fine`` steps."""
     return f"""s AS (SELECT count({value}) AS n, min({value}) AS lo, max({value}) AS hi, stddev_samp({value}) * pow(count({value}), -0.2E0) AS h FROM {table}),
-at AS (SELECT least(greatest(({value} - lo) / ((hi - lo) / {fine}), 0), {fine}) AS at, lo, hi FROM {table}, s WHERE {value} IS NOT NULL),
-cut AS (SELECT least(floor(at), {fine - 1}) AS l, at, lo, hi FROM at),
-laid AS (SELECT l AS k, 1 - (at - l) AS w, lo, hi FROM cut UNION ALL SELECT l + 1, at - l, lo, hi FROM cut),
+spots AS (SELECT least(greatest(({value} - lo) / ((hi - lo) / {fine}), 0), {fine}) AS spot, lo, hi FROM {table}, s WHERE {value} IS NOT NULL),
+cut AS (SELECT least(floor(spot), {fine - 1}) AS l, spot, lo, hi FROM spots),
+laid AS (SELECT l AS k, 1 - (spot - l) AS w, lo, hi FROM cut UNION ALL SELECT l + 1, spot - l, lo, hi FROM cut),
 pts AS (SELECT lo + k * ((hi - lo) / {fine}) AS v, sum(w) AS w FROM laid GROUP BY k, lo, hi), {CURVE}"""
 
 
@@ -416,3 +416,21 @@ ORACLES["score_batch"] = ORACLES["score_stream"] = homes(
     f""", m AS (SELECT neighborhood, exp(avg(ln(1 + sale_price))) - 1 AS p FROM homes GROUP BY 1)
  SELECT pid, {r('p', 2)} AS predicted_price, {r('p * (1 - 0.09E0)', 2)} AS lower_bound, {r('p * (1 + 0.09E0)', 2)} AS upper_bound, '0.1.0' AS model_version
  FROM homes JOIN m USING (neighborhood) WHERE {VALID}""")
+
+# --- lines with bad cells
+_LINES = """WITH o AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 17 = 0 THEN 'x' ELSE '' END || o_orderkey AS id,
+ CASE WHEN o_orderkey % 13 = 0 THEN 'n.b.' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS price, o_orderpriority AS priority FROM orders)"""
+ORACLES["csv_good_rows"] = _LINES + f""" SELECT CAST(id AS BIGINT) AS id, {r('CAST(price AS DOUBLE)', 2)} AS price, priority FROM o
+ WHERE k % 7 <> 0 AND k % 11 <> 0 AND k % 13 <> 0 AND k % 17 <> 0"""
+ORACLES["csv_quarantine"] = _LINES + """ SELECT id || ',' || price || CASE WHEN k % 11 = 0 THEN '' ELSE ',' || priority || ',more' END AS record, NULL AS "column",
+ 'as many cells as the header' AS "check", NULL AS value FROM o WHERE k % 11 = 0 OR k % 7 = 0
+ UNION ALL SELECT id || ',' || price || ',' || priority, 'id', 'is bigint', id FROM o WHERE k % 11 <> 0 AND k % 7 <> 0 AND k % 17 = 0
+ UNION ALL SELECT id || ',' || price || ',' || priority, 'price', 'is double', price FROM o WHERE k % 11 <> 0 AND k % 7 <> 0 AND k % 13 = 0"""
+ORACLES["label_dictionary"] = """WITH l AS (SELECT 'c_name' AS "column", c_name AS value FROM customer UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM customer)
+SELECT "column", value, count(*) AS n, row_number() OVER (ORDER BY "column", value) - 1 AS number FROM l WHERE value IS NOT NULL GROUP BY 1, 2"""
+ORACLES["split_shared_keys"] = """WITH g AS (SELECT l_returnflag, count(*) AS n, CAST(round(count(*) * 0.15E0) AS BIGINT) AS test FROM lineitem GROUP BY 1),
+s AS (SELECT *, CAST(round((n - test) * (0.15E0 / 0.85E0)) AS BIGINT) AS val FROM g)
+SELECT l_returnflag, 'test' AS split, test AS n FROM s UNION ALL SELECT l_returnflag, 'val', val FROM s UNION ALL SELECT l_returnflag, 'train', n - test - val FROM s"""
+ORACLES["score_stream_stamped"] = homes(f""", i AS (SELECT pid, md5('7=nightly|' || length(CAST(pid AS VARCHAR)) || '=' || pid) AS h FROM homes WHERE {VALID})
+ SELECT pid, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS prediction_id, true AS stamped FROM i""")
+ORACLES["prepare_from_csv"] = f'SELECT * EXCLUDE ("PID") FROM ({ORACLES["prepared_table"]})'

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import fixed_values as fixed
 from ..functions.names import c, numeric_columns, text_columns
 from ..operators import clean, encode, label_numbers, split
-from ..operators.contracts import enforce
+from ..operators.contracts import Contract, enforce
 from ..operators.housing import PROCESSED_CONTRACT, RAW_CONTRACT
 from ..operators.order_stats import column_quantiles
 from ..operators.profile import missing_counts
-from ..sources.tabular import load_raw, write_feature_names, write_splits
+from ..sources import versions
+from ..sources.tabular import load_raw, read_feature_names, read_split, write_feature_names, write_splits
 
 
 @dataclass(frozen=True)
@@ -100,12 +101,29 @@ def prepare(raw: DataFrame, options: Options = Options()) -> Prepared:
     return Prepared(table, dropped, fill, bounds, skewed, indicators, features, dictionary)
 
 
-def run(spark: SparkSession, raw_path: str, out_path: str, options: Options = Options(), schema=None) -> Prepared:
-    """CSV to written splits with the raw and processed contracts enforced; feature names go beside them."""
-    raw = load_raw(spark, raw_path, RAW_CONTRACT, schema=schema)
+def run(
+    spark: SparkSession, raw_path: str, out_path: str, options: Options = Options(), schema=None, contract: Contract = RAW_CONTRACT,
+    processed: Contract = PROCESSED_CONTRACT,
+) -> Prepared:
+    """CSV to written splits with the raw and processed contracts enforced.
+
+    Splits and feature names are one version of ``out_path``: readers (``read_prepared_split``) see both or neither.
+    """
+    raw = load_raw(spark, raw_path, contract, schema=schema)
     done = prepare(raw, options)
-    enforce(done.table, PROCESSED_CONTRACT)
+    enforce(done.table, processed)
     table = done.table.drop(options.key) if options.key in options.ids else done.table
-    write_splits(table, f"{out_path}/splits")
-    write_feature_names(spark, done.features, f"{out_path}/feature_names")
+    parts = {"splits": lambda path: write_splits(table, path), "feature_names": lambda path: write_feature_names(spark, done.features, path)}
+    if done.dictionary is not None:
+        parts["dictionary"] = lambda path: done.dictionary.write.parquet(path)
+    versions.write_version(spark, out_path, parts)
     return done
+
+
+def read_prepared_split(spark: SparkSession, out_path: str, split: str = "train") -> DataFrame:
+    """One split of the current version."""
+    return read_split(spark, versions.part_path(spark, out_path, "splits"), split)
+
+
+def read_prepared_names(spark: SparkSession, out_path: str) -> list[str]:
+    return read_feature_names(spark, versions.part_path(spark, out_path, "feature_names"))

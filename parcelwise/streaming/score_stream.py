@@ -1,14 +1,16 @@
 """Scoring of requests as they arrive, with a quarantine for invalid ones.
 
 Stateless. Each micro-batch overwrites its own folder in both sinks, so a
-batch repeated after a failure replaces its output instead of adding to it.
+batch repeated after a failure replaces its output instead of adding to it, with the same ids: they follow from the run's name and
+the request's key. A batch is entered in ``commits`` when both sinks are written; ``read_scored`` and ``read_quarantine`` show
+entered batches only, so a half-written batch is never seen.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.scoring import check_requests, price_columns, quarantined, valid_inputs
@@ -29,7 +31,22 @@ def start_scoring(
         scored = price_columns(model.transform(valid_inputs(checked)), keep, **options)
         scored.write.mode("overwrite").parquet(f"{out}/scored/batch={batch_id}")
         quarantined(checked).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
+        batch.sparkSession.range(1).selectExpr(f"{batch_id}L AS batch").coalesce(1).write.mode("overwrite").parquet(f"{out}/commits/of={batch_id}")
         checked.unpersist()
 
     writer = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def _committed(spark: SparkSession, out: str, sink: str) -> DataFrame:
+    commits = spark.read.parquet(f"{out}/commits").select("batch").distinct()
+    return spark.read.parquet(f"{out}/{sink}").join(F.broadcast(commits), "batch", "left_semi").drop("batch")  # one row a batch
+
+
+def read_scored(spark: SparkSession, out: str) -> DataFrame:
+    """Scored requests of all batches that are complete."""
+    return _committed(spark, out, "scored")
+
+
+def read_quarantine(spark: SparkSession, out: str) -> DataFrame:
+    return _committed(spark, out, "quarantine")
