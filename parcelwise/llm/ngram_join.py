@@ -296,17 +296,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
 
     Rows are told apart by id and text, null ids come last, and of rows equal in both one stays. Other columns are those of the row kept.
     """
-    keyed = docs.withColumn("__key", F.xxhash64(text_col))
-    classes = jaccard_classes(keyed.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__key").alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", n, percent)
-    classes = reliable(classes.where("class IS NOT NULL").groupBy("doc_id").agg(F.first("component_id").alias("component_id"), F.count("*").alias("rows")))
+    keyed = docs.select(F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    ids = keyed.select(F.struct(F.col("id").isNull().alias("none"), "id", "key").alias("doc_id"), "text")
+    classes = jaccard_classes(ids, "doc_id", "text", n, percent).where("class IS NOT NULL")
+    classes = reliable(classes.groupBy("doc_id").agg(F.first("component_id").alias("least"), F.count("*").alias("rows")))
 
     def keys(found: DataFrame) -> DataFrame:
-        return found.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.__key").alias("__at"))
-
-    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__at"))
-    rows = keyed.join(keys(classes.where("doc_id <> component_id")), same, "left_anti")
-    # rows given more than once: texts are shuffled for these only
-    again = keys(classes.where("doc_id = component_id AND rows > 1"))
-    others = [x for x in docs.columns if x not in (id_col, text_col)]
-    once = rows.join(again, same, "left_semi").groupBy(F.col(id_col), F.col("__key")).agg(F.min(text_col).alias(text_col), *[F.first(x).alias(x) for x in others])
-    return rows.join(again, same, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+        return found.select(F.col("doc_id.id").alias("of_id"), F.col("doc_id.key").alias("of_key"))
+
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
+    rows = keyed.drop("text").join(keys(classes.where("doc_id <> least")), same, "left_anti")
+    # rows given more than once: only these are gathered
+    again = keys(classes.where("doc_id = least AND rows > 1"))
+    once = rows.join(again, same, "left_semi").groupBy("id", "key").agg(F.first("row").alias("row"))
+    return rows.join(again, same, "left_anti").select("row.*").unionByName(once.select("row.*"))
