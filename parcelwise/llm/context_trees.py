@@ -47,6 +47,8 @@ BUCKET_BYTES = 32 << 20
 GATHER_BYTES = 16 << 20
 KEYS = 100_000
 BUCKET_TOKENS = 3_000_000
+#: Buckets of words at least, so that a small input is spread as well.
+LEAST_BUCKETS = 64
 END = 0x0A
 
 
@@ -520,7 +522,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     scored = packed.groupBy("slice").cogroup(_answers(dealt, found, top).groupBy("slice")).applyInArrow(
         judge, f"doc_id {id_type}, text_key bigint, n_tokens bigint, hot_sum double, n_hot bigint, score double, code_bytes double"
     )
-    rest = _rare_sums(rows, hot, max(1, -(-n_train // BUCKET_TOKENS))).select(F.col("doc_id").alias("rare_id"), F.col("text_key").alias("rare_key"), "log_sum", "known", "rows")
+    rest = _rare_sums(rows, hot, max(LEAST_BUCKETS, -(-n_train // BUCKET_TOKENS))).select(F.col("doc_id").alias("rare_id"), F.col("text_key").alias("rare_key"), "log_sum", "known", "rows")
     joined = scored.join(rest, scored["doc_id"].eqNullSafe(rest["rare_id"]) & (scored["text_key"] == rest["rare_key"]), "left")
     each = float(np.log10(n_train + vocabulary + 1))
     return joined.select(
