@@ -179,10 +179,10 @@ def test_preparation_plan_from_csv(spark, sales, tmp_path):
     sales.repartition(2).write.option("header", True).option("nullValue", "NA").csv(str(tmp_path / "raw"))
     done = preprocess.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
     assert done.dropped == ["Alley"] and "Neighborhood_NAmes" in done.features
-    parts = {s: tabular.read_split(spark, str(tmp_path / "out/splits"), s) for s in tabular.SPLITS}
+    parts = {s: preprocess.read_prepared_split(spark, str(tmp_path / "out"), s) for s in tabular.SPLITS}
     assert sum(p.count() for p in parts.values()) == done.table.count()
     assert not [n for n, t in parts["train"].dtypes if t == "string"] and "PID" not in parts["train"].columns
-    assert tabular.read_feature_names(spark, str(tmp_path / "out/feature_names")) == done.features
+    assert preprocess.read_prepared_names(spark, str(tmp_path / "out")) == done.features
     plan = parts["val"]._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
     with pytest.raises(ValueError):
@@ -191,3 +191,30 @@ def test_preparation_plan_from_csv(spark, sales, tmp_path):
         tabular.read_split(spark, str(tmp_path / "absent"), "train")
     with pytest.raises(FileNotFoundError, match="Raw data not found"):
         tabular.load_raw(spark, str(tmp_path / "absent.csv"))
+
+
+def test_an_ensemble_is_one_short_expression(spark, data, tmp_path):
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    trees = [DecisionTreeRegressor(labelCol="label", maxDepth=d, maxBins=32, seed=d).fit(data.where(F.col("fold") != d)) for d in (0, 1, 3)]
+    weights = [0.5, 1.0, 2.5]
+    model = models.TreeEnsembleModel(trees, weights)
+    scored = data
+    for i, tree in enumerate(trees):
+        scored = tree.setPredictionCol(f"p{i}").transform(scored)
+    want = scored.withColumn("want", models.weighted_median([F.col(f"p{i}") for i in range(3)], weights))
+    assert model.transform(want).where("abs(prediction - want) > 1e-9").count() == 0
+    model.write().overwrite().save(str(tmp_path / "m"))
+    again = models.TreeEnsembleModel.load(str(tmp_path / "m"))
+    assert again.transform(want).where("abs(prediction - want) > 1e-9").count() == 0
+    many = models.TreeEnsembleModel(trees[:1] * 500, [1.0] * 500)
+    assert many.n_trees == 500 and many.transform(data)._jdf.queryExecution().analyzed().toString().count("Project") <= data._jdf.queryExecution().analyzed().toString().count("Project") + 3
+    assert many.transform(want.limit(20)).where("abs(prediction - p0) > 1e-9").count() == 0
+
+
+def test_adaboost_is_an_estimator_with_params(tmp_path):
+    ada = models.AdaBoostR2(rounds=4, depth=2)
+    ada.write().overwrite().save(str(tmp_path / "a"))
+    again = models.AdaBoostR2.load(str(tmp_path / "a"))
+    assert again.getOrDefault("rounds") == 4 and ada.copy({ada.getParam("rounds"): 9}).getOrDefault("rounds") == 9
+    assert [p.name for m in tuning.sample_params(ada, {"rounds": [1, 2], "rate": tuning.Between(0.1, 1.0)}, 2) for p in m] == ["rounds", "rate"] * 2
