@@ -6,13 +6,15 @@ counting: the bracket around the median is cut into ``FAN`` parts, bytes are sum
 hot value costs one row a task), and the bracket narrows to the part that holds the median. What comes to the driver
 is bounded by shards x parts and does not depend on the rows. All parts of one level are cut by the same jobs.
 
-Each dimension is turned into one 62-bit position: 30 bits of its value, then the low 16 bits of the text's checksum
-and 16 bits of a hash of the id. So a value that fills a third of the table (a hot source, thousands of
-copies) can be cut inside, and copies of one text lie side by side: they part only where a cut falls among them.
-
-Defined results: a null text has no bytes and size 1; null dimension values come first; a null id is a value like any
-other; rows equal in all used columns may part into two shards only by their ids, so identical rows stay together;
-repeated rows are each placed; an empty table gives an empty result; other columns are not looked at.
+Each dimension is turned into one 62-bit position: 30 bits of its value, then 32 bits that tell rows of one value apart. So a
+value that fills a third of the table (a hot source) can be cut inside. Rows of equal text are a group: they take the least
+value of each dimension among them, and share the text's checksum as their last bits, so all have one position
+and no cut parts them. Only a group of more than the share ``whole`` of all bytes keeps 16 bits of the checksum and takes 16
+bits of a hash of the id: near equal shards need a cut inside it.
+
+Defined results: a null text has no bytes and size 1; null dimension values come first, but a group takes its least value that
+is not null; a null id is a value like any other; rows of equal id and text stay together; repeated rows are each placed;
+an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from parcelwise.session import reliable
 VALUE_BITS, TIE_BITS = 30, 32
 FAN = 1024
 SLOT_BLOCK = 20_000
+#: Equal rows are numbered in runs of so many.
+RUN = 1_000
 
 
 @dataclass
@@ -58,22 +62,31 @@ def _position(value: Column, low: Column, high: Column, tie: Column) -> Column:
 
 
 def text_number(name: str | Column) -> Column:
-    """A number that orders strings by their first six bytes."""
-    return F.conv(F.substring(F.rpad(F.hex(F.encode(F.coalesce(name, F.lit("")), "UTF-8")), 12, "0"), 1, 12), 16, 10).cast("double")
+    """A place for each distinct string, from a hash of the whole of it; null stays null."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.when(name.isNotNull(), F.shiftrightunsigned(F.xxhash64(name), 16).cast("double"))
+
 
+def narrow_rows(docs: DataFrame, dimensions: dict[str, Column], id_col: str = "doc_id", text_col: str = "text", whole: float = 1 / 256) -> DataFrame:
+    """(doc_id, size, text_crc32, d0, d1, ...), written once. A dimension that is constant has width 0 and is never cut.
 
-def narrow_rows(docs: DataFrame, dimensions: dict[str, Column], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, d0, d1, ...), written once. A dimension that is constant has width 0 and is never cut."""
+    ``whole``: groups of equal texts up to this share of all bytes are kept whole.
+    """
+    n_dims = len(dimensions)
     text = F.coalesce(F.encode(F.col(text_col), "UTF-8"), F.lit(b""))
-    rows = docs.select(
+    rows = reliable(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        *[v.cast("double").alias(f"v{i}") for i, v in enumerate(dimensions.values())],
-    )
-    rows = reliable(rows)
-    ends = rows.agg(*[f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(len(dimensions)) for f in (F.min, F.max)]).first()
-    tie = F.shiftleft(F.col("text_crc32").bitwiseAND(0xFFFF), 16) + F.xxhash64("doc_id").bitwiseAND(0xFFFF)
-    ends = [(float(ends[f"min{i}"] or 0), float(ends[f"max{i}"] or 0)) for i in range(len(dimensions))]
-    return rows.select("doc_id", "size", "text_crc32", *[_position(F.col(f"v{i}"), F.lit(a), F.lit(b), tie).alias(f"d{i}") for i, (a, b) in enumerate(ends)])
+        F.xxhash64(text).alias("text_key"), *[v.cast("double").alias(f"v{i}") for i, v in enumerate(dimensions.values())],
+    ))
+    same = ["text_key", "text_crc32", "size"]
+    groups = rows.groupBy(*same).agg(F.count("*").alias("copies"), *[F.min(f"v{i}").alias(f"g{i}") for i in range(n_dims)]).where("copies > 1")
+    ends = rows.agg(F.sum("size").alias("bytes"), *[f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(n_dims) for f in (F.min, F.max)]).first()
+    by_text = F.col("text_crc32")
+    by_id = by_text.bitwiseAND(0xFFFF0000) + F.xxhash64("doc_id").bitwiseAND(0xFFFF)
+    tie = F.when(F.col("copies") * F.col("size") > F.lit(whole * (ends["bytes"] or 0)), by_id).otherwise(by_text)
+    ends = [(float(ends[f"min{i}"] or 0), float(ends[f"max{i}"] or 0)) for i in range(n_dims)]
+    places = [_position(F.coalesce(f"g{i}", f"v{i}"), F.lit(a), F.lit(b), tie).alias(f"d{i}") for i, (a, b) in enumerate(ends)]
+    return reliable(rows.join(groups, same, "left").select("doc_id", "size", "text_crc32", *places))
 
 
 def _cut_level(rows: DataFrame, tree: Node, n_dims: int, tolerance: float) -> bool:
@@ -139,15 +152,19 @@ def shards_for(rows: DataFrame, target_bytes: int) -> int:
 
 
 def with_slots(rows: DataFrame) -> DataFrame:
-    """Add ``slot``: 0, 1, 2, ... within each shard, without ordering a shard in one task.
+    """(doc_id, size, text_crc32, shard, slot): ``slot`` is 0, 1, 2, ... within each shard, without ordering a shard in one task.
 
-    Rows of a shard are dealt to blocks by a hash of the id; blocks are numbered by their counts, rows within their block.
+    Equal rows are counted first and numbered in runs, so a row that is repeated without bound spreads as well. Runs are dealt to
+    blocks by a hash; blocks are numbered by their counts, runs within their block.
     """
     blocks = max(1, -(-rows.count() // SLOT_BLOCK))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)).cast("int"))
-    counts = rows.groupBy("shard", "block").count()
+    runs = rows.groupBy("shard", "doc_id", "text_crc32", "size").agg(F.count("*").alias("copies"))
+    runs = runs.withColumn("run", F.explode(F.expr(f"sequence(0, (copies - 1) div {RUN})")))
+    runs = runs.withColumn("n", F.least(F.lit(RUN).cast("long"), F.col("copies") - F.col("run") * RUN))
+    runs = runs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32", "run"), F.lit(blocks)).cast("int"))
+    counts = runs.groupBy("shard", "block").agg(F.sum("n").alias("count"))
     before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("shard", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")
-    numbered = rows.withColumn("place", F.row_number().over(inside) - 1)
-    return numbered.join(counts, ["shard", "block"]).withColumn("slot", F.col("before") + F.col("place")).drop("before", "place", "block")
+    inside = Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size", "run").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = runs.withColumn("place", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(counts, ["shard", "block"])
+    return numbered.select("doc_id", "size", "text_crc32", "shard", F.explode(F.expr("sequence(before + place, before + place + n - 1)")).alias("slot"))

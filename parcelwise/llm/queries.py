@@ -29,7 +29,7 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFra
     docs = table(spark, sf_dir, "documents")
     rows = kd_shards.narrow_rows(docs, {
         "source": kd_shards.text_number(F.col("source")), "lang": kd_shards.text_number(F.col("lang")), "length": F.log2(1 + F.octet_length("text")),
-    })
+    }, whole=1 / (16 * shards))
     placed = kd_shards.with_slots(kd_shards.kd_shards(rows, shards))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
