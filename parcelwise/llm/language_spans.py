@@ -3,7 +3,8 @@
 Learning counts, for every language, the byte 1- to 4-grams of its words (with a mark at both word ends) in ``BUCKETS``
 hashed buckets, and its words by script; tasks count, Spark adds up, and the model that comes back has
 languages x buckets numbers whatever the input. A word's score for a language is the sum of its grams' log shares over
-the four orders, and is out of reach for languages that do not write in the word's script. In each document the best path
+the four orders, and is out of reach for languages that do not write in the word's script
+(read from its letters' code points; quotes, marks and digits have none). In each document the best path
 of labels pays ``PENALTY`` for a switch of language between two words. Documents of a task are stepped together, word
 1 of all, word 2 of all, and so on, so the work is numpy over the batch and no text is cut.
 
@@ -15,8 +16,11 @@ named columns are read.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -31,17 +35,27 @@ PENALTY = 6.0
 SLICE_BYTES = 6 << 20
 #: A language writes in a script if so much of its words do.
 SCRIPT_SHARE = 1e-3
-#: Scripts by the first byte of a letter's UTF-8 form (ASCII letters are Latin).
-SCRIPT_LEADS = {
-    "latin": [(0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xC9)], "greek": [(0xCD, 0xCF)], "cyrillic": [(0xD0, 0xD4)], "hebrew": [(0xD5, 0xD7)],
-    "arabic": [(0xD8, 0xDB)], "indic": [(0xE0, 0xE0)], "other": [(0xCA, 0xCC), (0xDC, 0xDF), (0xE1, 0xE2), (0xF0, 0xF4)], "kana": [(0xE3, 0xE3)],
-    "han": [(0xE4, 0xE9)], "hangul": [(0xEA, 0xED)],
-}
-SCRIPTS = ["none", *SCRIPT_LEADS]
-_SCRIPT = np.zeros(256, np.uint8)
-for _i, _ranges in enumerate(SCRIPT_LEADS.values(), 1):
-    for _a, _b in _ranges:
-        _SCRIPT[_a : _b + 1] = _i
+LATIN = 1
+
+
+@cache
+def script_table() -> tuple[list[str], np.ndarray]:
+    """(names, number of the script of every code point). Only letters have a script, the first word of their character's name.
+
+    Forms of another character (fullwidth, mathematical, ordinal signs) count as that one; both kana are one script; modifier letters,
+    marks, digits and signs have none.
+    """
+    found: dict[str, list[int]] = {}
+    for point in range(sys.maxunicode + 1):
+        letter = chr(point)
+        if unicodedata.category(letter) in ("Lu", "Ll", "Lt", "Lo"):
+            name = unicodedata.name(unicodedata.normalize("NFKC", letter)[0], "OTHER").split(" ")[0]
+            found.setdefault("KANA" if name in ("HIRAGANA", "KATAKANA") else name, []).append(point)
+    names = ["none", "LATIN", *sorted(found.keys() - {"LATIN"})]
+    table = np.zeros(sys.maxunicode + 1, np.uint16)
+    for number, name in enumerate(names[1:], 1):
+        table[found[name]] = number
+    return names, table
 
 
 def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,10 +87,21 @@ def gram_buckets(data: np.ndarray, begin: np.ndarray) -> Iterator[tuple[np.ndarr
 
 def word_scripts(data: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """The script of each word: that of its first letter outside Latin, else Latin, else none."""
-    script = _SCRIPT[data]
-    foreign = np.maximum.reduceat(np.where(script > 1, script, 0), begin[:-1]) if len(begin) > 1 else np.zeros(0, np.uint8)
-    latin = np.maximum.reduceat((script == 1).astype(np.uint8), begin[:-1]) if len(begin) > 1 else foreign
-    return np.where(foreign > 0, foreign, latin)
+    of_point = script_table()[1]
+    out = np.zeros(len(begin) - 1, np.uint16)
+    owner = np.repeat(np.arange(len(out)), np.diff(begin))
+    out[owner[of_point[np.minimum(data, 0x7F)] == LATIN]] = LATIN
+    # code points beyond ASCII, from their UTF-8 bytes
+    at = np.flatnonzero(data >= 0xC0)
+    ahead = np.concatenate((data, np.zeros(3, np.uint8))).astype(np.int32)
+    lead, (a, b, c) = ahead[at], (ahead[at + i] & 0x3F for i in (1, 2, 3))
+    two, three, four = (lead & 0x1F) << 6 | a, (lead & 0x0F) << 12 | a << 6 | b, (lead & 0x07) << 18 | a << 12 | b << 6 | c
+    script = of_point[np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, four))]
+    out[owner[at[script == LATIN]]] = LATIN
+    foreign = at[script > LATIN]
+    word, first = np.unique(owner[foreign], return_index=True)
+    out[word] = script[script > LATIN][first]
+    return out
 
 
 @dataclass(frozen=True)
@@ -142,6 +167,8 @@ def fit(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id", te
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     rows = (rows if where is None else rows.where(where)).select("lang", "text")
 
+    n_scripts = len(script_table()[0])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -153,17 +180,17 @@ def fit(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id", te
                         continue
                     place, _, counts = _distinct(words)
                     data, begin = _laid_out(words, place)
-                    mine = grams.setdefault(lang, np.zeros(BUCKETS + len(SCRIPTS), np.int64))
+                    mine = grams.setdefault(lang, np.zeros(BUCKETS + n_scripts, np.int64))
                     for owner, bucket in gram_buckets(data, begin):
                         mine[:BUCKETS] += np.bincount(bucket, counts[owner], BUCKETS).astype(np.int64)
-                    mine[BUCKETS:] += np.bincount(word_scripts(data, begin), counts, len(SCRIPTS)).astype(np.int64)
+                    mine[BUCKETS:] += np.bincount(word_scripts(data, begin), counts, n_scripts).astype(np.int64)
         for lang, mine in grams.items():
             used = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(mine[used])], names=["lang", "bucket", "n"])
 
     found = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     languages = sorted(found["lang"].unique())
-    table = np.zeros((BUCKETS + len(SCRIPTS), len(languages)))
+    table = np.zeros((BUCKETS + n_scripts, len(languages)))
     table[found["bucket"], np.searchsorted(languages, found["lang"])] = found["n"]
     grams, scripts = table[:BUCKETS], table[BUCKETS:]
     log_share = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS)) if languages else grams

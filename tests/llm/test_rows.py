@@ -114,6 +114,24 @@ def test_viterbi_equals_all_paths():
         assert tuple(got[a:b]) == best
 
 
+def test_scripts_go_by_letters():
+    names, _ = language_spans.script_table()
+    cases = {"„слово“": "CYRILLIC", "…это": "CYRILLIC", "l’été": "LATIN", "người": "LATIN", "“quoted”": "LATIN", "ไทย": "THAI", "हिन्दी": "DEVANAGARI", "カタ": "KANA", "ひら": "KANA",
+             "漢字": "CJK", "한국": "HANGUL", "ＡＢＣ": "LATIN", "n.º": "LATIN", "12—3…": "none", "😀": "none", "𐐀": "DESERET", "aж": "CYRILLIC", "λж": "GREEK", "": "none"}
+    words = [w.encode() for w in cases]
+    data = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8)
+    begin = np.cumsum([0] + [len(w) + 2 for w in words])
+    assert [names[i] for i in language_spans.word_scripts(data, begin)] == list(cases.values())
+    assert len(language_spans.word_scripts(np.zeros(0, np.uint8), np.zeros(1, np.int64))) == 0
+
+
+def test_quoted_words_keep_their_language(spark):
+    learned = [(i, t, lang) for i in range(8) for t, lang in (("это простой русский текст и слова", "ru"), ("this is plain english text and words", "en"))]
+    model = language_spans.fit(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    asked = spark.createDataFrame([(1, "„русский“ …текст и слова»"), (2, "“plain” …text’s words—and")], "doc_id long, text string")
+    assert {r["doc_id"]: (r["lang_pred"], len(r["spans"])) for r in language_spans.label_spans(asked, model).collect()} == {1: ("ru", 1), 2: ("en", 1)}
+
+
 def test_viterbi_of_more_labels_than_a_byte_holds():
     scores = np.eye(300, dtype=np.float32)
     for first in (np.arange(301), np.array([0, 300])):
