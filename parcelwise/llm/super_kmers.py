@@ -8,14 +8,15 @@
 3. A bucket numbers its words, then ranks runs of 1, 2, 4, ... words by sorting pairs of ranks, up to whole windows: equal rank
    means equal words, no hash decides. Windows that a smaller document has as well are marked. Task memory: buckets are worked off in
    portions of ``PORTION`` words.
-4. A minimiser with ``1 / HEAVY`` of all occurrences or more (there are ``HEAVY`` such at most, whatever the input) would make
-   a bucket that one task has to hold. Its super-k-mers are keyed by a 128-bit cryptographic digest of their words instead: the
+4. A minimiser that occurs ``least_heavy`` times or more would make a large bucket; the bound is the same at any input. Its
+   super-k-mers are keyed by a 128-bit cryptographic digest of their words instead: the
    least document of a key is found with map-side combining and joined back, where Spark may split a hot key. Copies are
    settled by that; the different super-k-mers that remain are cut finer, those whose finer minimiser two documents share are compared in the same
-   way, and at last their windows.
+   way, and at last their windows. Which minimisers these are is told by a second bitmap, as their number grows with the input;
+   one that it lets through in vain goes this way as well, with the same result.
 5. Marks are gathered by document and joined to the texts, the only shuffle of whole texts.
 
-Documents are told apart by doc_id, a whole number. Defined results: a null text has no words; texts of fewer than ``span`` words are
+Documents are told apart by doc_id; ids that are not whole numbers are first given numbers in their order. Defined results: a null text has no words; texts of fewer than ``span`` words are
 left as they are; a row with null doc_id neither takes nor gives; rows that share a doc_id are one document and do not take
 from each other; each input row gives one result row; an empty table gives an empty result; only the named columns are read.
 """
@@ -28,13 +29,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from parcelwise.llm.bitmaps import bitmap, passes
 from parcelwise.llm.words import SPACED, Words, find_words, grams, slices
+from parcelwise.operators.label_numbers import numbered
 from parcelwise.session import reliable
 
 MINIMISER = 8
-HEAVY = 4096
+HEAVY = 1024
 PORTION = 1 << 20
 #: Words of the finer minimisers, in percent of the span.
 FINER = 64
@@ -91,13 +94,13 @@ def _minimisers(rows: DataFrame, span: int) -> DataFrame:
     return found.groupBy("minimiser").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
 
 
-def _packed(rows: DataFrame, span: int, shared, heavy: np.ndarray) -> DataFrame:
+def _packed(rows: DataFrame, span: int, shared, heavy) -> DataFrame:
     """(minimiser, doc_id, text_key, start, windows, words) of the super-k-mers that may have a partner."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, ids in _parts(batches):
             at, size, value = super_kmers(words, span)
-            use = passes(shared.value, value) & ~np.isin(value, heavy)
+            use = passes(shared.value, value) & ~passes(heavy.value, value)
             at, size, value = at[use], size[use], value[use]
             row = words.rows()[at] if len(at) else at
             data = words.data.tobytes()
@@ -117,13 +120,13 @@ def _digests(texts: list[bytes]) -> list[pa.Array]:
     return [pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
 
 
-def _heavy_runs(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
+def _heavy_runs(rows: DataFrame, span: int, shared, heavy) -> DataFrame:
     """(d1, d2, doc_id, text_key, start, windows, words) of the super-k-mers of heavy minimisers, with a digest of their words."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words, ids in _parts(batches):
             at, size, value = super_kmers(words, span)
-            use = np.isin(value, heavy)
+            use = passes(shared.value, value) & passes(heavy.value, value)
             at, size = at[use], size[use]
             row = words.rows()[at] if len(at) else at
             data = words.data.tobytes()
@@ -167,14 +170,14 @@ def _pieces(runs: DataFrame, span: int, m: int) -> DataFrame:
     return cut.join(met, "minimiser", "left_semi")
 
 
-def _heavy_marks(rows: DataFrame, span: int, heavy: np.ndarray) -> DataFrame:
+def _heavy_marks(rows: DataFrame, span: int, shared, heavy) -> DataFrame:
     """Marks for the windows of heavy minimisers.
 
     Whole super-k-mers first: all windows of one that a smaller document has word for word are marked at once, so copies cost
     a row a super-k-mer. What is left, one document for each different super-k-mer, is cut finer and compared again, and at
     last window by window. At each step equal pieces are settled by their least document, which goes on for all of them.
     """
-    marks, left = None, _heavy_runs(rows, span, heavy)
+    marks, left = None, _heavy_runs(rows, span, shared, heavy)
     for finer in (FINER * span // 100, span, None):
         left = reliable(left)
         least = left.groupBy("d1", "d2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -263,16 +266,26 @@ def _bucket_marks(packed: DataFrame, span: int, portion: int) -> DataFrame:
     return dealt.mapInArrow(scan, "doc_id bigint, text_key bigint, start bigint, windows bigint")
 
 
-def repeated_windows(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256, portion: int = PORTION) -> DataFrame:
-    """(doc_id, text_key, runs): runs of windows, as (start, windows), that also start in a document with a smaller id."""
+def _numbered(docs: DataFrame, id_col: str, name: str) -> DataFrame:
+    """``docs`` with a whole number for each id, in the order of the ids; null for null."""
+    if isinstance(docs.schema[id_col].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return docs.withColumn(name, F.col(id_col).cast("bigint"))
+    ids = docs.select(F.col(id_col).alias("named_id")).where("named_id IS NOT NULL").distinct()
+    ids = reliable(numbered(ids, ["named_id"], name))
+    return docs.join(ids, docs[id_col] == F.col("named_id"), "left").drop("named_id")
+
+
+def repeated_windows(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = HEAVY, portion: int = PORTION) -> DataFrame:
+    """(doc_id, text_key, runs): runs of windows, as (start, windows), that also start in a document with a smaller id, a whole number."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     counted = reliable(_minimisers(rows, span).where("low < high").select("minimiser", "n"))
-    total, different = counted.agg(F.sum("n"), F.count("*")).first()
+    many = F.col("n") >= least_heavy
+    different, heavies = counted.agg(F.count("*"), F.count_if(many)).first()
     shared = bitmap(counted, "minimiser", different)
-    heavy = counted.where(F.col("n") >= max(least_heavy, (total or 0) // HEAVY)).select("minimiser").toArrow()["minimiser"].to_numpy().astype(np.int64).view(np.uint64)
+    heavy = bitmap(counted.where(many), "minimiser", heavies)
     marks = _bucket_marks(_packed(rows, span, shared, heavy), span, portion)
-    if len(heavy):
-        marks = marks.union(_heavy_marks(rows, span, heavy))
+    if heavies:
+        marks = marks.union(_heavy_marks(rows, span, shared, heavy))
     return marks.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "windows"))).alias("runs"))
 
 
@@ -286,14 +299,15 @@ def _cut(starts, sizes, count: int, span: int) -> np.ndarray:
 
 def _with_runs(docs: DataFrame, span: int, id_col: str, text_col: str, least_heavy: int, portion: int = PORTION) -> DataFrame:
     """(row, text, start, windows): every row of ``docs`` as a struct, with its text's runs; null where there is none."""
-    found = repeated_windows(docs, span, id_col, text_col, least_heavy, portion).select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
-    joined = rows.join(found, (F.col("id") == F.col("run_id")) & (F.col("text_key") == F.col("run_key")), "left")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    rows = _numbered(rows, "id", "number")
+    found = repeated_windows(rows, span, "number", "text", least_heavy, portion).select(F.col("doc_id").alias("run_id"), F.col("text_key").alias("run_key"), "runs")
+    joined = rows.join(found, (F.col("number") == F.col("run_id")) & (F.col("text_key") == F.col("run_key")), "left")
     return joined.select("row", "text", "runs.start", "runs.windows")
 
 
 def remove_repeats(
-    docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256, portion: int = PORTION
+    docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = HEAVY, portion: int = PORTION
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row; kept_sha256 is over the kept words joined by one space."""
 
@@ -322,7 +336,7 @@ def remove_repeats(
     return found.mapInArrow(cut, f"doc_id {id_type}, n_words bigint, n_removed bigint, kept_sha256 string")
 
 
-def cut_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = 256) -> DataFrame:
+def cut_repeats(docs: DataFrame, span: int = 50, id_col: str = "doc_id", text_col: str = "text", least_heavy: int = HEAVY) -> DataFrame:
     """``docs`` with all its columns, the repeated words cut from the text.
 
     Kept words keep the white space after them; untouched texts stay as they are; rows that lose all their words go.

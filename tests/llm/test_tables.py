@@ -187,6 +187,77 @@ def test_kd_shards_of_awkward_rows(spark):
         assert len(placed) == n and all(0 <= r["shard"] < 4 for r in placed)
 
 
+def brute_shards(rows, first, leaves, shard_of):
+    """The tree by sorting: rows are (places, bytes, number)."""
+    if not rows:
+        return
+    if leaves == 1:
+        shard_of.update((n, first) for _, _, n in rows)
+        return
+    axis = max(range(len(rows[0][0])), key=lambda i: (max(p[i] for p, _, _ in rows) - min(p[i] for p, _, _ in rows), -i))
+    half, below, sums = leaves // 2, 0, defaultdict(int)
+    for p, size, _ in rows:
+        sums[p[axis]] += size
+    want = sum(sums.values()) * half / leaves
+    for place in sorted(sums):
+        if below + sums[place] >= want:
+            break
+        below += sums[place]
+    cut = place if want - below < below + sums[place] - want and below > 0 else place + 1
+    brute_shards([r for r in rows if r[0][axis] < cut], first, half, shard_of)
+    brute_shards([r for r in rows if r[0][axis] >= cut], first + half, leaves - half, shard_of)
+
+
+@pytest.mark.parametrize("shards", [16, 5])
+def test_kd_shards_equal_the_tree_by_sorting(spark, shards):
+    rng = random.Random(shards)
+    copies = [prose(rng, 40, 900) for _ in range(30)]
+    texts = [rng.choice(copies) if rng.random() < 0.3 else "hot text " * 9 if rng.random() < 0.3 else prose(rng, rng.randrange(100), 900) for _ in range(1500)]
+    docs = spark.createDataFrame([(i, t, f"a shared beginning {rng.randrange(9) // 3}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    narrow = kd_shards.narrow_rows(docs, {"source": kd_shards.text_number("source"), "length": F.log2(1 + F.octet_length("text"))}, whole=1 / (4 * shards))
+    rows = [((r["d0"], r["d1"]), r["size"], r["doc_id"]) for r in narrow.collect()]
+    want = {}
+    brute_shards(rows, 0, shards, want)
+    got = {r["doc_id"]: r["shard"] for r in kd_shards.kd_shards(narrow, shards, tolerance=0).collect()}
+    assert got == want
+    places = defaultdict(set)
+    for i, t in enumerate(texts):
+        places[t].add(got[i])
+    total = sum(len(t.encode()) + 1 for t in texts)
+    for t, found in places.items():
+        assert len(found) == 1 or texts.count(t) * (len(t.encode()) + 1) > total / (4 * shards)
+    held = Counter()
+    for i, t in enumerate(texts):
+        held[got[i]] += len(t.encode()) + 1
+    assert set(held) == set(range(shards)) and all(abs(n - total / shards) <= total / (4 * shards) for n in held.values())
+
+
+def test_sources_with_one_beginning_are_told_apart(spark):
+    df = spark.createDataFrame([("https://a",), ("https://b",), ("https://a",), (None,)], "source string")
+    a, b, again, none = (r[0] for r in df.select(kd_shards.text_number("source")).collect())
+    assert a == again != b and none is None
+
+
+def test_slots_of_a_row_that_is_repeated(spark):
+    rows = [(None, "one text")] * 5003 + [(i, f"text {i}") for i in range(50)]
+    got = kd_shards.with_slots(kd_shards.kd_shards(kd_shards.narrow_rows(frame(spark, rows), {"length": F.octet_length("text")}), 3)).collect()
+    assert len(got) == len(rows)
+    for shard in {r["shard"] for r in got}:
+        slots = sorted(r["slot"] for r in got if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
+def test_super_kmers_of_named_documents(spark):
+    """Ids that are not whole numbers go by their own order."""
+    rng = random.Random(3)
+    passage = prose(rng, 70, 5000)
+    rows = [("b", f"x {passage}"), ("a10", passage), ("a9", f"{passage} y"), (None, passage), ("a10", passage)]
+    got = super_kmers.remove_repeats(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((r["doc_id"] or "", r["n_removed"]) for r in got) == [("", 0), ("a10", 0), ("a10", 0), ("a9", 70), ("b", 70)]
+    kept = super_kmers.cut_repeats(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted(((r["doc_id"] or "", r["text"]) for r in kept)) == sorted([("", passage), ("a10", passage), ("a10", passage), ("a9", "y"), ("b", "x ")])
+
+
 def test_hilbert_neighbours():
     side = range(8)
     points = np.array(list(itertools.product(side, side, side)))
