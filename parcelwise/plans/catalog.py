@@ -491,6 +491,25 @@ def standard_scale(spark, d):
     return round_doubles(encode.apply_scale(df, fitted))
 
 
+ROW_NUMBERS = ["overall_qual", "gr_liv_area", "total_bsmt_sf", "lot_frontage", "lot_area", "pool_area", "garage_cars"]
+ROW_LABELS = ["ms_zoning", "exter_qual", "garage_type", "neighborhood"]
+
+
+@query
+def feature_rows(spark, d):
+    """Every preparation stage fitted on the train rows and applied to all, row by row.
+
+    The rows to apply it to come as requests do: one column is absent, one number is text.
+    """
+    df = split.random_split(homes(spark, d).select("pid", "alley", *ROW_NUMBERS, *ROW_LABELS), "pid")
+    skip = ["pid", "split"]
+    model = Pipeline(stages=[
+        stages.ColumnAligner(exclude=skip), stages.SparseColumnDropper(exclude=skip), stages.RareLabelCollapser(exclude=skip),
+        stages.SkewLogger(exclude=skip), stages.GapFiller(exclude=skip), stages.ColumnScaler(exclude=skip),
+    ]).fit(df.where(F.col("split") == "train"))
+    return round_doubles(model.transform(df.drop("alley").withColumn("lot_frontage", c("lot_frontage").cast("string"))))
+
+
 @query
 def feature_matrix(spark, d):
     """The whole feature plan; per slot the number of non-zero rows and the spread over all rows."""

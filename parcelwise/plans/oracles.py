@@ -328,6 +328,17 @@ ORACLES["standard_scale"] = homes(
     + ", ".join(f"avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS d_{n}" for n in SCALED) + " FROM s WHERE split = 'train') SELECT pid, "
     + ", ".join(f"{r(f'({n} - m_{n}) / d_{n}')} AS {n}" for n in SCALED) + ", split FROM s, f")
 
+ROW_NUMBERS = ["overall_qual", "gr_liv_area", "total_bsmt_sf", "lot_frontage", "lot_area", "pool_area", "garage_cars"]
+ROW_LABELS = ["ms_zoning", "exter_qual", "garage_type", "neighborhood"]
+ORACLES["feature_rows"] = homes(
+    f", s AS (SELECT pid, {', '.join(ROW_NUMBERS + ROW_LABELS)}, {split_of('pid')} AS split FROM homes), tr AS (SELECT * FROM s WHERE split = 'train'), l AS (SELECT pid, split, "
+    + ", ".join([f"CASE WHEN {n} IN {kept(n, 'tr', 0.01)} THEN {n} ELSE 'Other' END AS {n}" for n in ROW_LABELS]
+                + [f"CASE WHEN {n} IS NULL THEN NULL ELSE {logged(n, source='tr')} END AS {n}" for n in ROW_NUMBERS])
+    + " FROM s), lt AS (SELECT * FROM l WHERE split = 'train'), fl AS (SELECT pid, split, "
+    + ", ".join(ROW_LABELS + [f"coalesce({n}, (SELECT median({n}) FROM lt)) AS {n}" for n in ROW_NUMBERS]) + " FROM l), f AS (SELECT "
+    + ", ".join(f"avg({n}) AS m_{n}, coalesce(nullif(stddev_pop({n}), 0), 1) AS d_{n}" for n in ROW_NUMBERS) + " FROM fl WHERE split = 'train') SELECT pid, split, "
+    + ", ".join(ROW_LABELS + [f"{r(f'({n} - m_{n}) / d_{n}')} AS {n}" for n in ROW_NUMBERS]) + " FROM fl, f")
+
 # --- the whole preparation plan
 _BODY = [n for n in ALL if n not in ("pid", "alley")]
 _FILL = {n: f"coalesce(CAST({n} AS DOUBLE), (SELECT median({n}) FROM homes)) AS {n}" for n in GAPPED_NUMBERS}
