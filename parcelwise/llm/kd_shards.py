@@ -80,6 +80,7 @@ def narrow_rows(docs: DataFrame, dimensions: dict[str, Column], id_col: str = "d
     ))
     same = ["text_key", "text_crc32", "size"]
     groups = rows.groupBy(*same).agg(F.count("*").alias("copies"), *[F.min(f"v{i}").alias(f"g{i}") for i in range(n_dims)]).where("copies > 1")
+    groups = reliable(groups)  # a plain table on the join's side lets Spark split a hot group of the rows
     ends = rows.agg(F.sum("size").alias("bytes"), *[f(f"v{i}").alias(f"{f.__name__}{i}") for i in range(n_dims) for f in (F.min, F.max)]).first()
     by_text = F.col("text_crc32")
     by_id = by_text.bitwiseAND(0xFFFF0000) + F.xxhash64("doc_id").bitwiseAND(0xFFFF)
