@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import fixed_values as fixed
@@ -562,6 +562,12 @@ def fold_assignment(spark, d):
 
 # --- models ----------------------------------------------------------------
 
+# Each round or tree is a few small jobs, so the time of these queries is that of their number; README gives seconds for the full settings.
+ADABOOST_ROUNDS, ADABOOST_GROUP_ROUNDS, GROUP_TREES = 20, 10, 10
+COMPARED_DEPTH, COMPARED_TREES, COMPARED_ROUNDS = 12, 10, 5
+SEARCH_GRID = {"learning_rate": [0.1, 0.2], "n_estimators": [3, 6], "max_depth": [3], "min_samples_leaf": [1]}
+SEARCH_SPACE, SEARCH_TRIALS = {"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 2, 4]}, 3
+
 def _group_tree(max_bins: int = 32) -> Pipeline:
     """A tree on one category, deep enough to predict each label's mean."""
     return Pipeline(stages=[
@@ -623,8 +629,16 @@ def tree_group_means(spark, d):
 @query
 def gbt_group_means(spark, d):
     df = _labelled(spark, d)
-    stages_ = _group_tree().getStages()[:2] + [GBTRegressor(labelCol="label", maxDepth=24, maxIter=2, maxBins=32, seed=fixed.SEED)]
-    scored = Pipeline(stages=stages_).fit(df).transform(df)
+    use_checkpoints(spark)
+    scored = Pipeline(stages=_group_tree().getStages()[:2] + [models.boosted_trees(trees=GROUP_TREES, depth=24, max_bins=32)]).fit(df).transform(df)
+    return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 2).alias("prediction"))
+
+
+@query
+def adaboost_groups(spark, d):
+    """AdaBoost.R2 over trees that predict each label's weighted mean, round for round as in its SQL."""
+    df = _labelled(spark, d)
+    scored = Pipeline(stages=_group_tree().getStages()[:2] + [models.AdaBoostR2(rounds=ADABOOST_GROUP_ROUNDS, depth=30, max_bins=32)]).fit(df).transform(df)
     return scored.groupBy("neighborhood").agg(rounded(F.max("prediction"), 2).alias("prediction"))
 
 
@@ -664,9 +678,9 @@ def model_comparison(spark, d):
     data = _matrix(spark, d, log=False).persist()
     _, found = models.compare_models(data, {
         "Linear Regression": models.linear_regression(),
-        "Decision Tree": models.decision_tree(max_depth=12),
-        "Gradient Boosting": models.boosted_trees(trees=10),
-        "AdaBoost": models.AdaBoostR2(rounds=5),
+        "Decision Tree": models.decision_tree(max_depth=COMPARED_DEPTH),
+        "Gradient Boosting": models.boosted_trees(trees=COMPARED_TREES),
+        "AdaBoost": models.AdaBoostR2(rounds=COMPARED_ROUNDS),
     })
     return settled(round_doubles(found), data)
 
@@ -674,28 +688,26 @@ def model_comparison(spark, d):
 @query
 def adaboost(spark, d):
     data = _matrix(spark, d, log=False).persist()
-    model = models.AdaBoostR2(rounds=6, cut_every=3).fit(data.where(F.col("split") == "train"))
+    model = models.AdaBoostR2(rounds=ADABOOST_ROUNDS).fit(data.where(F.col("split") == "train"))
     return settled(round_doubles(metrics.regression_metrics(model.transform(data), "label", "prediction", ["split"])), data)
 
 
 @query
 def grid_search(spark, d):
-    grid = {"learning_rate": [0.1, 0.2], "n_estimators": [3, 6], "max_depth": [3], "min_samples_leaf": [1]}
-    return round_doubles(tuning.boosting_grid(_matrix(spark, d), grid))
+    return round_doubles(tuning.boosting_grid(_matrix(spark, d), SEARCH_GRID))
 
 
 @query
 def random_search(spark, d):
-    space = {"maxDepth": [2, 4, 6], "minInstancesPerNode": [1, 2, 4]}
     data = _matrix(spark, d).persist()
-    _, trials = tuning.random_search(data, models.decision_tree(max_depth=4, max_bins=64), space, trials=3)
+    _, trials = tuning.random_search(data, models.decision_tree(max_depth=4, max_bins=64), SEARCH_SPACE, trials=SEARCH_TRIALS)
     return settled(round_doubles(trials.select("trial", F.to_json("params").alias("params"), "rmse")), data)
 
 
 @query
 def feature_importance(spark, d):
     data = _matrix(spark, d).persist()
-    model = models.boosted_trees(trees=8).fit(data.where(F.col("split") == "train"))
+    model = models.boosted_trees().fit(data.where(F.col("split") == "train"))
     return settled(round_doubles(models.feature_importance(model, stages.feature_names(data), spark)), data)
 
 
@@ -711,7 +723,7 @@ def counterfactual(spark, d):
 def prediction_sanity(spark, d):
     """Boosted trees on all features: price range, and higher quality and larger area give higher means."""
     df = canonical(homes(spark, d)).withColumn("label", F.log1p("SalePrice"))
-    model = Pipeline(stages=[stages.build_features(False, ["PID", "SalePrice", "label"]), models.boosted_trees(trees=8)]).fit(df)
+    model = Pipeline(stages=[stages.build_features(False, ["PID", "SalePrice", "label"]), models.boosted_trees()]).fit(df)
     parts = [
         models.counterfactual_means(model, df, n, v, log_target=True).withColumn("column", F.lit(n))
         for n, v in (("Overall Qual", [2, 9]), ("Gr Liv Area", [800.0, 3500.0]))

@@ -389,6 +389,24 @@ ORACLES["ols_pair"] = homes(f""", m AS (SELECT avg(sale_price) AS y, avg(overall
  SELECT pid, {r('y + (ay * bb - bye * ab) / (aa * bb - ab * ab) * (overall_qual - a) + (bye * aa - ay * ab) / (aa * bb - ab * ab) * (gr_liv_area - b)', 2)} AS prediction FROM homes, m""")
 GROUP_MEANS = homes(f"SELECT neighborhood, {r('avg(sale_price)', 2)} AS prediction FROM homes GROUP BY 1")
 ORACLES["tree_group_means"] = ORACLES["gbt_group_means"] = ORACLES["registry_round_trip"] = GROUP_MEANS
+
+
+def adaboost_rounds(n: int) -> str:
+    """AdaBoost.R2 whose trees predict the weighted mean of each group: (g, p, a) of round i in r1 .. rn, a its weight, 0 after the end."""
+    steps = ", w1 AS (SELECT pid, neighborhood AS g, sale_price AS y, 1E0 AS w, true AS alive FROM homes)"
+    for i in range(1, n + 1):
+        first = "WHEN alive THEN 1E0 " if i == 1 else ""
+        steps += f""",
+m{i} AS MATERIALIZED (SELECT *, sum(w * y) OVER (PARTITION BY g) / sum(w) OVER (PARTITION BY g) AS p FROM w{i}),
+s{i} AS MATERIALIZED (SELECT max(abs(y - p)) AS worst, sum(w * abs(y - p)) / sum(w) / max(abs(y - p)) AS loss, count(*) / sum(w) AS unit FROM m{i}),
+r{i} AS (SELECT g, any_value(p) AS p, any_value(CASE WHEN alive AND loss < 0.5 THEN ln((1 - loss) / loss) {first}ELSE 0E0 END) AS a FROM m{i}, s{i} GROUP BY g),
+w{i + 1} AS MATERIALIZED (SELECT pid, g, y, w * pow(loss / (1 - loss), 1 - abs(y - p) / worst) * unit AS w, alive AND loss < 0.5 AS alive FROM m{i}, s{i})"""
+    return steps
+
+
+ORACLES["adaboost_groups"] = homes(adaboost_rounds(10) + f""", t AS ({' UNION ALL '.join(f'SELECT * FROM r{i}' for i in range(1, 11))}),
+o AS (SELECT g, p, sum(a) OVER (PARTITION BY g ORDER BY p, a ROWS UNBOUNDED PRECEDING) AS run, sum(a) OVER (PARTITION BY g) AS whole FROM t WHERE a > 0)
+SELECT g AS neighborhood, {r('min(p)', 2)} AS prediction FROM o WHERE run >= whole / 2 * (1 - 1E-12) GROUP BY 1""")
 FOLDED = f""", f AS (SELECT pid, neighborhood AS g, sale_price AS y, {FOLD.format(key='pid')} AS fold FROM homes),
 k AS (SELECT g, fold, sum(y) AS s, count(*) AS n FROM f GROUP BY 1, 2), w AS (SELECT g, sum(s) AS s, sum(n) AS n FROM k GROUP BY 1),
 pr AS (SELECT pid, fold, y, (w.s - k.s) / (w.n - k.n) AS p FROM f JOIN k USING (g, fold) JOIN w USING (g))"""
