@@ -66,10 +66,11 @@ def grid_weights(df: DataFrame, value: Column, low: float, step: float, points:
     return counted.select(F.inline(both)).groupBy("point").agg(F.sum("w").alias("w"))
 
 
-def density_curve(df: DataFrame, column: str, points: int = 200, fine: int = 4096) -> DataFrame:
+def density_curve(df: DataFrame, column: str, points: int = 200, fine: int | None = 4096) -> DataFrame:
     """Gaussian kernel density with Scott's bandwidth on an even grid from minimum to maximum: ``point, x, density``.
 
-    Linear binning: every value is split over two points of a grid of at least ``fine`` steps, and the kernel is summed over that grid, so
+    ``fine=None`` is exact: the kernel of every value is summed at every point, ``points`` terms a row, added up in the task that reads it.
+    Linear binning otherwise: every value is split over two points of a grid of at least ``fine`` steps, and the kernel is summed over that grid, so
     the kernel work does not depend on the rows. With grid step d and bandwidth h the density is off by at most
     ``d**2 / (8 * h**3 * sqrt(2 * pi))``, the error of a straight line between two grid points of the kernel.
     """
@@ -79,10 +80,15 @@ def density_curve(df: DataFrame, column: str, points: int = 200, fine: int = 409
         return df.sparkSession.createDataFrame([], "point int, x double, density double")
     h = spread * n ** (-0.2)
     step = (high - low) / (points - 1)
-    times = -(-fine // (points - 1))  # every point of the curve is one of the fine grid
-    weights = grid_weights(df, v, low, step / times, (points - 1) * times + 1)
-    grid = weights.select("w", (F.col("point") / F.lit(times)).alias("at"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    z = (F.col("point") - F.col("at")) * F.lit(step / h)
+    each = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    if fine is None:
+        grid = df.where(v.isNotNull()).select(F.lit(1.0).alias("w"), v.alias("at"), each)
+        z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("at")) / F.lit(h)
+    else:
+        times = -(-fine // (points - 1))  # every point of the curve is one of the fine grid
+        weights = grid_weights(df, v, low, step / times, (points - 1) * times + 1)
+        grid = weights.select("w", (F.col("point") / F.lit(times)).alias("at"), each)
+        z = (F.col("point") - F.col("at")) * F.lit(step / h)
     summed = grid.groupBy("point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("s"))
     scale = 1 / (n * h * math.sqrt(2 * math.pi))
     return summed.select("point", (F.lit(low) + F.col("point") * F.lit(step)).alias("x"), (F.col("s") * F.lit(scale)).alias("density"))

@@ -117,6 +117,15 @@ def test_density_is_as_close_to_the_exact_curve_as_stated(spark):
             assert np.abs(got["density"] - exact).max() <= step**2 / (8 * h**3 * np.sqrt(2 * np.pi)) + 1e-12
 
 
+def test_exact_density_sums_the_kernel_of_every_value(spark):
+    values = np.concatenate([np.random.default_rng(5).exponential(5, 700), np.repeat([2.0, 40.0], 30)])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (math.nan,)], "x double")
+    got = histogram.density_curve(df, "x", 30, fine=None).orderBy("point").toPandas()
+    h, x = values.std(ddof=1) * len(values) ** -0.2, np.linspace(values.min(), values.max(), 30)
+    exact = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * np.sqrt(2 * np.pi))
+    assert np.abs(got["density"] - exact).max() <= 1e-14
+
+
 def test_density_writes_no_row_for_each_value(spark):
     plan = histogram.density_curve(spark.range(1000).select(F.col("id").cast("double").alias("x")), "x")._jdf.queryExecution().executedPlan().toString()
     assert plan.rindex("Scan") if "Scan" in plan else True
