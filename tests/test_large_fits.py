@@ -1,0 +1,28 @@
+"""What fits on large tables read: bounded shares of a task, tables computed once."""
+
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.sql import functions as F
+
+from parcelwise import session
+from parcelwise.operators import clean, contracts, ensembles, models
+from parcelwise.plans import catalog, preprocess
+from tests.conftest import TESTDATA
+
+
+
+def shares(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_shares_do_not_grow_with_the_table(spark):
+    for n in (1000, 5000):
+        assert max(shares(session.dealt(spark.range(n).coalesce(1), 100))) <= 130
+
+
+@pytest.mark.parametrize("make", ["_matrix"])
+def test_rows_of_a_fit_are_dealt(spark, monkeypatch, make):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    found = shares(getattr(catalog, make)(spark, TESTDATA))
+    assert sum(found) == 1500 and max(found) <= 130
