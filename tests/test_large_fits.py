@@ -45,3 +45,20 @@ def test_sanity_trees_are_fitted_on_dealt_rows(spark, monkeypatch):
     with pytest.raises(Stop):
         catalog.prediction_sanity(spark, TESTDATA)
     assert sum(seen) == 1500 and max(seen) <= 130
+
+
+def test_boosting_keeps_the_rows_of_a_round(spark, sales, monkeypatch):
+    seen = []
+
+    class Watching(DecisionTreeRegressor):
+        def fit(self, df):
+            seen.append(df.storageLevel.useMemory)
+            return super().fit(df)
+
+    data = VectorAssembler(inputCols=["Overall Qual", "Gr Liv Area"], outputCol="features").transform(sales.withColumnRenamed("SalePrice", "label"))
+    data.count()  # fills the cache of the fixture
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    monkeypatch.setattr(ensembles, "DecisionTreeRegressor", Watching)
+    assert models.AdaBoostR2(rounds=4, cut_every=3).fit(data).n_trees == 4
+    assert seen == [False, True, True, False]  # first and fourth come from a checkpoint
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
