@@ -13,6 +13,7 @@ from ..operators.contracts import Contract, enforce
 from ..operators.housing import PROCESSED_CONTRACT, RAW_CONTRACT
 from ..operators.order_stats import column_quantiles
 from ..operators.profile import missing_counts
+from ..session import written
 from ..sources import versions
 from ..sources.tabular import load_raw, read_feature_names, read_split, write_feature_names, write_splits
 
@@ -109,7 +110,7 @@ def run(
 
     Splits and feature names are one version of ``out_path``: readers (``read_prepared_split``) see both or neither.
     """
-    raw = load_raw(spark, raw_path, contract, schema=schema)
+    raw = written(load_raw(spark, raw_path, contract, schema=schema), "raw")  # every statistic reads columns instead of parsing text
     done = prepare(raw, options)
     enforce(done.table, processed)
     table = done.table.drop(options.key) if options.key in options.ids else done.table

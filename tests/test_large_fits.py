@@ -62,3 +62,10 @@ def test_boosting_keeps_the_rows_of_a_round(spark, sales, monkeypatch):
     assert models.AdaBoostR2(rounds=4, cut_every=3).fit(data).n_trees == 4
     assert seen == [False, True, True, False]  # first and fourth come from a checkpoint
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_preparation_parses_the_file_once(spark, sales, tmp_path):
+    sales.write.option("header", True).csv(f"{tmp_path}/in")
+    rules = contracts.Contract("prices", (contracts.ColumnRule("SalePrice", "double"),))
+    done = preprocess.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", contract=rules, processed=contracts.Contract("any", ()))
+    assert done.table.inputFiles() and not [f for f in done.table.inputFiles() if f.endswith(".csv")]
