@@ -11,7 +11,7 @@ from .. import fixed_values as fixed
 from ..functions.names import c, long_numbers, number_literal, numeric_columns, per_column, present, quote, replace_columns, text_columns, text_literal
 from ..functions.stats import mode_smallest
 from .encode import Scale
-from .order_stats import DIRECT_LIMIT, column_quantiles
+from .order_stats import DIRECT_LIMIT, column_quantiles, sketch_expression
 from .profile import missing_counts, modes
 
 
@@ -105,16 +105,17 @@ def fit_fill(
 def fit_fill_and_scale(df: DataFrame, names: list[str], numeric: str = "median") -> tuple[dict, Scale]:
     """Fills of number columns together with the scale of the filled columns.
 
-    Count, mean and variance of the present values come with the medians in
-    one pass; the filled column's mean and deviation follow from them.
+    Count, mean and variance of the present values come with the medians, or in a large table with the sketches that
+    the search for the medians begins with, in one pass; the filled column's mean and deviation follow from them.
     """
     n_rows = df.count()
     x = F.col("x")
     moments = {"n": F.count(x), "mean": F.avg(x), "var": F.var_pop(x), "low": F.min(x), "high": F.max(x)}
     fuse = numeric == "median" and n_rows <= DIRECT_LIMIT
-    found = per_column(df, names, **moments, **({"median": F.percentile(x, F.lit(0.5))} if fuse else {}))
+    middle = {} if numeric != "median" else {"median": F.percentile(x, F.lit(0.5))} if fuse else {"sketch": sketch_expression("x")}
+    found = per_column(df, names, **moments, **middle)
     if numeric == "median" and not fuse:
-        medians = column_quantiles(df, {n: [0.5] for n in found}, {n: r["n"] for n, r in found.items()})
+        medians = column_quantiles(df, {n: [0.5] for n in found}, {n: r["n"] for n, r in found.items()}, sketches={n: r["sketch"] for n, r in found.items()})
         found = {n: r | {"median": medians[n][0]} for n, r in found.items()}
     fill, mean, deviation = {}, {}, {}
     for n in [n for n in names if n in found]:

@@ -11,7 +11,6 @@ from parcelwise.plans import catalog, preprocess
 from tests.conftest import TESTDATA
 
 
-
 def shares(df):
     return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
 
@@ -67,9 +66,26 @@ def test_boosting_keeps_the_rows_of_a_round(spark, sales, monkeypatch):
 def test_preparation_parses_the_file_once(spark, sales, tmp_path):
     sales.write.option("header", True).csv(f"{tmp_path}/in")
     rules = contracts.Contract("prices", (contracts.ColumnRule("SalePrice", "double"),))
-    done = preprocess.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", contract=rules, processed=contracts.Contract("any", ()))
+    done = preprocess.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", contract=rules, processed=rules)
     assert done.table.inputFiles() and not [f for f in done.table.inputFiles() if f.endswith(".csv")]
 
 
 def test_preparation_reads_joined_rows_once(spark):
     assert not [f for f in catalog.prepared_table(spark, TESTDATA).inputFiles() if "orders.parquet" in f]
+
+
+def test_moments_and_sketches_come_in_one_pass(spark, sales, monkeypatch):
+    names = ["SalePrice", "Lot Frontage", "Overall Qual"]
+    want = clean.fit_fill_and_scale(sales, names)
+    used = []
+
+    def watching(*args, **options):
+        used.append(sorted(options["sketches"]))
+        return quantiles(*args, **options, direct_limit=10)
+
+    quantiles = clean.column_quantiles
+    monkeypatch.setattr(clean, "DIRECT_LIMIT", 10)
+    monkeypatch.setattr(clean, "column_quantiles", watching)
+    got = clean.fit_fill_and_scale(sales, names)
+    assert used == [sorted(names)] and got[0] == pytest.approx(want[0])
+    assert got[1].mean == pytest.approx(want[1].mean) and got[1].deviation == pytest.approx(want[1].deviation)
