@@ -65,7 +65,7 @@ def test_boosting_keeps_the_rows_of_a_round(spark, sales, monkeypatch):
 
 def test_preparation_parses_the_file_once(spark, sales, tmp_path):
     sales.write.option("header", True).csv(f"{tmp_path}/in")
-    rules = contracts.Contract("prices", (contracts.ColumnRule("SalePrice", "double"),))
+    rules = contracts.Contract("prices", (contracts.ColumnRule("SalePrice", "double", False),))
     done = preprocess.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", contract=rules, processed=rules)
     assert done.table.inputFiles() and not [f for f in done.table.inputFiles() if f.endswith(".csv")]
 
