@@ -144,5 +144,5 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
     out = np.zeros(n, dtype=np.uint64)
     for j in range(k):
         out *= U64(_BASE)
-        out[: n - j] += hashes[j:]
+        out[: max(n - j, 0)] += hashes[j:]
     return mix(out)
