@@ -35,7 +35,10 @@ DIMENSIONS, BITS = 4, 15
 KEY_BITS, PART_BITS = DIMENSIONS * BITS, 16
 #: Bytes of text in one range at most (but for one document).
 RANGE_BYTES = 128 << 20
-CACHED_WORDS = 150_000
+CACHED_WORDS = 200_000
+#: Bytes of text that a task encodes at once, about eighty times as much memory; new pieces that the vocabulary encodes at once, a kilobyte each.
+SLICE_BYTES = 2 << 20
+NEW_PIECES = 8192
 #: How far a mean coordinate of 1 lies out before it is squeezed into (0, 1).
 SCALE = 8.0
 
@@ -184,8 +187,12 @@ class WordEncoder:
         return cls.made[path]
 
     def _tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(texts), NEW_PIECES):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at : at + NEW_PIECES], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _whole(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = self._tokens(texts.to_pylist())
@@ -282,7 +289,7 @@ def pack(
             return doc, start, size, zlib.crc32(np.ascontiguousarray(ids[start : start + size], "<u4").tobytes()), total, base + sequence, at, ids[start : start + size]
 
         for batch in batches:
-            for part in slices(batch, 1, 4 << 20):
+            for part in slices(batch, 1, SLICE_BYTES):
                 done: list[tuple] = []
                 ids, first = encoder.encode(part.column(1), end_id)
                 for doc, a, b in zip(part.column(0).to_pylist(), first[:-1], first[1:]):

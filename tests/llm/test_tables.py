@@ -286,6 +286,24 @@ def test_packing_round_trip(spark):
     assert curve_packing.pack(nothing(spark), path).count() == 0
 
 
+def test_new_pieces_are_encoded_some_at_a_time():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, given = curve_packing.WordEncoder(path), []
+    tokenizer = encoder.tokenizer
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **how):
+            given.append(len(texts))
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Recorder()
+    texts = [" ".join(f"q{i}z{j}" for j in range(200)) for i in range(100)]
+    ids, first = encoder.encode(pa.array(texts), 2)
+    assert sum(given) >= 20_000 and max(given) <= 8192
+    for text, a, b in zip(texts, first[:-1], first[1:]):
+        assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 2, 7.5, 8, 100.5, 1e9])
     assert np.allclose(context_trees._lgamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-10)
