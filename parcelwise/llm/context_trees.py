@@ -224,6 +224,26 @@ def _sum(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[turn], np.add.reduceat(n[order], turn)
 
 
+def _distinct(key: np.ndarray) -> np.ndarray:
+    """Distinct keys in order."""
+    key = np.sort(key)
+    return key[np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))]
+
+
+def _found(known: np.ndarray, value: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The value of each key, all of them among the sorted known ones.
+
+    Keys have ``DEPTH + 1`` bytes, so the places of 2**16 of them fit beside them: sorted together, they are looked up in order, which
+    takes a third of the time of looking them up as they come.
+    """
+    out = np.empty(len(key), value.dtype)
+    for at in range(0, len(key), 1 << 16):
+        some = key[at : at + (1 << 16)] << np.uint64(16)
+        some = np.sort(some | np.arange(len(some), dtype=np.uint64))
+        out[at + (some & np.uint64(0xFFFF)).astype(np.int64)] = value[np.searchsorted(known, some >> np.uint64(16))]
+    return out
+
+
 def _depth(key: np.ndarray, n: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, count) of the contexts of depth ``d`` that are nodes."""
     key, n = _sum(key & np.uint64((1 << 8 * (d + 1)) - 1), n)
@@ -492,8 +512,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         counts, hot_sum, n_hot, distinct, scores, sizes_in_keys = [], [], [], [], [], []
         for some in slices(whole, 0, SLICE_BYTES):
             words = find_words(some.column(0), SPACED, lower=True)
-            each = np.sort(stream(words)[0])
-            distinct.append(each[np.concatenate(([True], each[1:] != each[:-1]))])
+            distinct.append(_distinct(stream(words)[0]))
             h, row = words.hashes(), words.rows()
             table, logs = hot.value
             at = np.searchsorted(table, h)
@@ -502,13 +521,13 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             hot_sum.append(np.bincount(row[is_hot], logs[at[is_hot]], some.num_rows).astype(np.float64))
             n_hot.append(np.bincount(row[is_hot], minlength=some.num_rows).astype(np.int64))
             counts.append(words.counts.astype(np.int64) + 1)
-            del words, each, h, row, at
-        distinct = np.unique(np.concatenate(distinct))
+            del words, h, row, at
+        distinct = _distinct(np.concatenate(distinct))
         value = np.zeros(len(distinct))
         value[np.argsort(_bucket(distinct, buckets), kind="stable")] = _packed(answers.sort_by("bucket")["scores"], np.float64)
         for some in slices(whole, 0, SLICE_BYTES):
             key, begins = stream(find_words(some.column(0), SPACED, lower=True))
-            scores.append(np.add.reduceat(value[np.searchsorted(distinct, key)], begins[:-1]))
+            scores.append(np.add.reduceat(_found(distinct, value, key), begins[:-1]))
             sizes_in_keys.append(np.diff(begins))
             del key
         score, size = np.concatenate(scores), np.concatenate(sizes_in_keys)

@@ -371,6 +371,23 @@ def test_context_trees(least, monkeypatch):
         assert math.isclose((10 ** trees.log10(keys)).sum(), 1.0, rel_tol=1e-9)
 
 
+def test_keys_are_looked_up_in_order(monkeypatch):
+    rng = np.random.default_rng(4)
+    known = np.unique(np.concatenate((rng.integers(0, 1 << 48, 30_000), [0, (1 << 48) - 1]))).astype(np.uint64)
+    value, search, in_order = rng.random(len(known)), np.searchsorted, []
+
+    def watched(table, keys, *how, **more):
+        in_order.append(bool((keys[1:] >= keys[:-1]).all()))
+        return search(table, keys, *how, **more)
+
+    monkeypatch.setattr(np, "searchsorted", watched)
+    for n in (0, 1, 65_536, 150_001):
+        key = known[rng.integers(0, len(known), n)]
+        assert (context_trees._found(known, value, key) == value[search(known, key)]).all()
+    assert in_order and all(in_order)
+    assert (context_trees._distinct(known[[5, 3, 5, 9, 3]]) == known[[3, 5, 9]]).all() and not len(context_trees._distinct(known[:0]))
+
+
 def test_scores_of_awkward_rows(spark):
     rows = awkward_rows()
     train = lambda i: i is not None and i % 3 != 2
