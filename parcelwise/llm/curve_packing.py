@@ -9,7 +9,8 @@ padded there either. The texts are shuffled once and encoded once, after the shu
 for the bytes of the parts.
 
 Encoding goes word by word: the vocabulary never joins across ASCII white space, so each distinct word of a slice is encoded
-once (with a bounded cache between slices and tasks) and the ids are gathered with numpy.
+once (with a bounded cache between slices and tasks) and the ids are gathered with numpy. New words of Latin letters are
+encoded some hundred at a time as one text, which is cut again where its words end.
 
 Defined results: a null text is an empty one and gives the single end id; repeated rows are packed each; ids may be null
 or of any type; an empty table gives no pieces; only the named columns are read.
@@ -35,10 +36,13 @@ DIMENSIONS, BITS = 4, 15
 KEY_BITS, PART_BITS = DIMENSIONS * BITS, 16
 #: Bytes of text in one range at most (but for one document).
 RANGE_BYTES = 128 << 20
-CACHED_WORDS = 200_000
+#: Pieces that a worker keeps, about 70 bytes each.
+CACHED_WORDS = 1 << 19
 #: Bytes of text that a task encodes at once, about eighty times as much memory; new pieces that the vocabulary encodes at once, a kilobyte each.
 SLICE_BYTES = 2 << 20
 NEW_PIECES = 8192
+#: Words of Latin letters that are given to the vocabulary as one text.
+JOINED_PIECES = 256
 #: How far a mean coordinate of 1 lies out before it is squeezed into (0, 1).
 SCALE = 8.0
 
@@ -116,10 +120,11 @@ def word_pieces(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return piece_start, piece_end, low, np.concatenate(([0], stops))[words.first]
 
 
-def distinct_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of each piece's string, a place of each string); found by hash, then compared byte by byte."""
+def distinct_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of each piece's string, a place of each string, its hash); found by hash, then compared byte by byte."""
     whole = np.array([0, len(start)])
-    code, _ = pd.factorize(Words(data, start, end, whole, np.array([0, len(data)])).hashes())
+    hashes = Words(data, start, end, whole, np.array([0, len(data)])).hashes()
+    code, _ = pd.factorize(hashes)
     at = np.zeros(code.max(initial=-1) + 1, np.int64)
     at[code[::-1]] = np.arange(len(code))[::-1]
     length = end - start
@@ -132,28 +137,71 @@ def distinct_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tup
         code, strings = pd.factorize(np.array([raw[a:b] for a, b in zip(start, end)], object))
         at = np.zeros(len(strings), np.int64)
         at[code[::-1]] = np.arange(len(code))[::-1]
-    return code.astype(np.int64), at
+    return code.astype(np.int64), at, hashes[at]
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places start[i] .. start[i] + size[i] - 1 of all i, end to end."""
+    stops = np.cumsum(size)
+    return np.repeat(start - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)
 
 
 @dataclass
 class Known:
-    """Pieces by number, and their ids: piece i has ``ids[stops[i]:stops[i + 1]]``."""
+    """Pieces by number: piece i is ``data[bounds[i]:bounds[i + 1]]``, has ``ids[stops[i]:stops[i + 1]]`` and was last met in slice ``met[i]``."""
 
-    number: dict[str, int] = field(default_factory=dict)
+    data: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint8))
+    bounds: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
     stops: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-
-    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces))))
-        self.ids = np.concatenate((self.ids, ids))
-        self.stops = np.concatenate((self.stops, self.stops[-1] + np.cumsum(sizes)))
-
-    def of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, their numbers) of known pieces."""
-        number = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        start, size = self.stops[number], self.stops[number + 1] - self.stops[number]
-        stops = np.cumsum(size)
-        return self.ids[np.repeat(start - (stops - size), size) + np.arange(stops[-1] if len(stops) else 0)], size
+    met: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # in order
+    number: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # of the piece with this hash
+
+    def __len__(self) -> int:
+        return len(self.met)
+
+    def find(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 if it is not known; found by hash, then compared byte by byte."""
+        if not len(self):
+            return np.full(len(start), -1)
+        order, at = np.argsort(hashes), np.empty(len(hashes), np.int64)
+        at[order] = np.minimum(np.searchsorted(self.hashes, hashes[order]), len(self) - 1)
+        number, size = self.number[at], end - start
+        same = (self.hashes[at] == hashes) & (np.diff(self.bounds)[number] == size)
+        maybe = np.flatnonzero(same)
+        size = size[maybe]
+        differ = data[_runs(start[maybe], size)] != self.data[_runs(self.bounds[number[maybe]], size)]
+        same[np.repeat(maybe, size)[differ]] = False
+        return np.where(same, number, -1)
+
+    def add(self, data: np.ndarray, lengths: np.ndarray, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, met: np.ndarray | int) -> None:
+        order = np.argsort(hashes, kind="stable")
+        at = np.searchsorted(self.hashes, hashes[order])
+        self.number = np.insert(self.number, at, len(self) + order)
+        self.hashes = np.insert(self.hashes, at, hashes[order])
+        self.met = np.append(self.met, np.broadcast_to(met, len(hashes)))
+        self.data, self.ids = np.append(self.data, data), np.append(self.ids, ids)
+        self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(lengths))
+        self.stops = np.append(self.stops, self.stops[-1] + np.cumsum(sizes))
+
+    def latest(self, most: int) -> Known:
+        """The ``most`` pieces that were met last."""
+        keep = np.sort(np.argsort(-self.met, kind="stable")[:most])
+        hashes = np.empty(len(self), np.uint64)
+        hashes[self.number] = self.hashes
+        lengths, sizes, out = np.diff(self.bounds)[keep], np.diff(self.stops)[keep], Known()
+        out.add(self.data[_runs(self.bounds[keep], lengths)], lengths, hashes[keep], self.ids[_runs(self.stops[keep], sizes)], sizes, self.met[keep])
+        return out
+
+
+def _latin(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether each piece (from its start to the next one's) holds letters of ASCII and Latin-1 alone: one run of letters by any Unicode version, in any case."""
+    if not len(start):
+        return np.zeros(0, bool)
+    second = np.concatenate(([False], data[:-1] == 0xC3))
+    good = (data < 0x80) & _LETTERS[data] | (data == 0xC3) | second & (data != 0x97) & (data != 0xB7)
+    return np.logical_and.reduceat(good, start)
 
 
 #: Signs, cases and scripts on which a vocabulary shows whether its words can be cut as ``word_pieces`` does.
@@ -163,9 +211,8 @@ PROBE = "Hello, WORLD's don't re-use x3 (a.b) \u00c9t\u00e9! stra\u00dfe: \u4e2d
 class WordEncoder:
     """Ids of texts by way of their distinct pieces. One for each vocabulary and Python worker, so tasks share what is known.
 
-    What is known is kept in two halves: when the newer is full it becomes the older one, and pieces that are met again move to
-    the newer, so frequent pieces are encoded once. A vocabulary that encodes the probe otherwise than by its pieces (a cased
-    one, or one that keeps white space) is given whole texts.
+    When more is known than should be kept, the half that was met last stays, so frequent pieces are encoded once. A vocabulary
+    that encodes the probe otherwise than by its pieces (a cased one, or one that keeps white space) is given whole texts.
     """
 
     made: dict[str, WordEncoder] = {}
@@ -175,7 +222,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.newer, self.older = Known(), Known()
+        self.known, self.slices = Known(), 0
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab() if suffix else {}
+        #: By id, whether a word ends with it; empty if the vocabulary does not tell.
+        self.ends_word = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         probe = pa.array([PROBE])
         self.by_pieces = True
         self.by_pieces = self.encode(probe, 0)[0].tolist() == self._whole(probe, 0)[0].tolist()
@@ -187,6 +239,7 @@ class WordEncoder:
         return cls.made[path]
 
     def _tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts end to end, how many each has)."""
         ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(texts), NEW_PIECES):
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[at : at + NEW_PIECES], add_special_tokens=False)]
@@ -194,22 +247,50 @@ class WordEncoder:
             sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
         return np.concatenate(ids), np.concatenate(sizes)
 
+    def _piece_tokens(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_tokens``, of pieces end to end: words of Latin letters are joined by spaces and cut again after each id that ends a word."""
+        stops = np.cumsum(length)
+        latin = _latin(data, stops - length) & (len(self.ends_word) > 0)
+        spaced = np.insert(data, stops, 0x20)
+        start = stops - length + np.arange(len(length))
+
+        def tokens(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            raw = spaced.tobytes()
+            return self._tokens([raw[a:b].decode() for a, b in zip(start[of].tolist(), (start + length)[of].tolist())])
+
+        joined = spaced[_runs(start[latin], length[latin] + 1)].tobytes()
+        cuts = np.concatenate(([0], np.cumsum(length[latin] + 1)))[[*range(0, latin.sum(), JOINED_PIECES), -1]].tolist()
+        ids, _ = self._tokens([joined[a:b].decode() for a, b in zip(cuts, cuts[1:])])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != latin.sum():
+            return tokens(np.full(len(length), True))
+        other_ids, other_sizes = tokens(~latin)
+        sizes = np.empty(len(length), np.int64)
+        sizes[latin], sizes[~latin] = np.diff(ends, prepend=0), other_sizes
+        out, of_latin = np.empty(len(ids) + len(other_ids), np.uint32), np.repeat(latin, sizes)
+        out[of_latin], out[~of_latin] = ids, other_ids
+        return out, sizes
+
     def _whole(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = self._tokens(texts.to_pylist())
         stops = np.cumsum(sizes)
         return np.insert(ids, stops, np.uint32(end_id)), np.concatenate(([0], stops + np.arange(1, len(sizes) + 1)))
 
-    def _learn(self, distinct: list[str]) -> None:
-        """Bring all of these into the newer half."""
-        new = [w for w in distinct if w not in self.newer.number]
-        if len(self.newer.number) + len(new) > CACHED_WORDS // 2 and self.newer.number:
-            self.newer, self.older = Known(), self.newer
-            new = distinct
-        met = [w for w in new if w in self.older.number]
-        if met:
-            self.newer.add(met, *self.older.of(met))
-            new = [w for w in new if w not in self.older.number]
-        self.newer.add(new, *self._tokens(new))
+    def _numbers(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The number of each of these distinct pieces among the known; new ones are encoded."""
+        if len(self.known) > CACHED_WORDS:
+            self.known = self.known.latest(CACHED_WORDS // 2)
+        self.slices += 1
+        known = self.known
+        number = known.find(data, start, end, hashes)
+        new = np.flatnonzero(number < 0)
+        number[new] = len(known) + np.arange(len(new))
+        length = end[new] - start[new]
+        theirs = data[_runs(start[new], length)]
+        ids, sizes = self._piece_tokens(theirs, length)
+        known.add(theirs, length, hashes[new], ids, sizes, self.slices)
+        known.met[number] = self.slices
+        return number
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, each with ``end_id`` at its end; where each text begins)."""
@@ -219,21 +300,20 @@ class WordEncoder:
         start, end, low, first = word_pieces(words)
         length = end - start
         stops = np.cumsum(length)
-        data = words.data[SPACED[words.data]]  # pieces cover the words without a gap
-        data = np.where(np.repeat(low, length), LOWER[data], data)
-        code, at = distinct_pieces(data, stops - length, stops)
-        raw = data.tobytes()
-        distinct = [raw[a:b].decode() for a, b in zip((stops - length)[at].tolist(), stops[at].tolist())]
-        self._learn(distinct)
-        known = self.newer
-        number = np.fromiter(map(known.number.__getitem__, distinct), np.int64, len(distinct))
+        data = LOWER[words.data]
+        cased = _runs(start[~low], length[~low])
+        data[cased] = words.data[cased]
+        data = data[SPACED[data]]  # pieces cover the words without a gap
+        code, at, hashes = distinct_pieces(data, stops - length, stops)
+        number = self._numbers(data, (stops - length)[at], stops[at], hashes)
+        known = self.known
         place, size = np.append(known.stops[number], len(known.ids)), np.append(known.stops[number + 1] - known.stops[number], 1)
         table = np.append(known.ids, np.uint32(end_id))
         # each text's pieces, then its end
-        code = np.insert(code, first[1:], len(distinct))
+        code = np.insert(code, first[1:], len(number))
         sizes = size[code]
         stops = np.cumsum(sizes)
-        ids = table[np.repeat(place[code] - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
+        ids = table[_runs(place[code], sizes)]
         ends = stops[first[1:] + np.arange(len(first) - 1)] if len(stops) else np.zeros(0, np.int64)
         return ids, np.concatenate(([0], ends))
 

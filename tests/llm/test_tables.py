@@ -304,6 +304,46 @@ def test_new_pieces_are_encoded_some_at_a_time():
         assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_new_words_are_joined_and_kept():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, given = curve_packing.WordEncoder(path), []
+    tokenizer = encoder.tokenizer
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **how):
+            given.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Recorder()
+    letters = "abcdefghijklmnopqrstuvwxyzéß"
+    words = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), 260_000)]
+    texts = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    for at in range(0, len(texts), 100):
+        ids, first = encoder.encode(pa.array(texts[at : at + 100]), 2)
+    assert ids[first[-2] :].tolist() == [*tokenizer.encode(texts[-1], add_special_tokens=False).ids, 2]
+    assert len(given) <= len(words) / 200  # hundreds of words a call
+    given.clear()
+    ids, first = encoder.encode(pa.array(texts[:5]), 2)
+    assert not given  # none was forgotten
+    assert ids[: first[1]].tolist() == [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("kept, hash_bits", [(1 << 19, 64), (40, 64), (1 << 19, 3), (40, 3)])
+def test_ids_of_odd_words(monkeypatch, kept, hash_bits):
+    rng, path = random.Random(5), public_tokenizers.path("word_bpe_49k.json")
+    encoder = curve_packing.WordEncoder(path)
+    hashes = curve_packing.Words.hashes
+    monkeypatch.setattr(curve_packing, "CACHED_WORDS", kept)
+    monkeypatch.setattr(curve_packing.Words, "hashes", lambda self: hashes(self) >> np.uint64(64 - hash_bits))
+    signs = [*"aAzZqQ", *map(chr, range(0xA0, 0x100)), "\u0130", "\u0301", "\u0149", "\u01c5", "\u2003", "\u00d7", "\u03a3", "\u4e2d", "\u2026", "'", ".", "-", "7", "don't", "I'LL", "<|endoftext|>"]
+    texts = ["".join(rng.choice([*signs, " ", "\n"]) for _ in range(rng.randrange(30))) for _ in range(600)] + ["", " ", "\u2003", "caf\u00e9 na\u00efve STRASSE stra\u00dfe"]
+    for _ in range(2):
+        for at in range(0, len(texts), 60):
+            part = texts[at : at + 60]
+            ids, first = encoder.encode(pa.array(part), 2)
+            assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == [[*encoder.tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in part]
+
+
 def test_log_gamma():
     x = np.array([0.5, 1, 1.5, 2, 7.5, 8, 100.5, 1e9])
     assert np.allclose(context_trees._lgamma(x), [math.lgamma(v) for v in x], rtol=1e-12, atol=1e-10)
